@@ -35,7 +35,7 @@ def word_count(text: Column) -> Column:
 
 def body_lines(text: Column, min_words: int = 10) -> Column:
     """Stripped lines with at least ``min_words`` pieces, joined by blank lines."""
-    lines = F.transform(F.split(text, "\n"), strip)
+    lines = F.transform(F.split(text, "\n"), lambda line: strip(line))
     return F.array_join(F.filter(lines, lambda line: word_count(line) >= min_words), "\n\n")
 
 

@@ -54,7 +54,7 @@ def clean_visits(
 
 def visit_types(raw_types: Column, rules: Sequence[tuple[str, str]] = tuple(UNIFIED_TYPES)) -> Column:
     """Array of ``;`` lists to one naturally sorted array of unified types."""
-    tokens = F.flatten(F.transform(raw_types, split_tokens))
+    tokens = F.flatten(F.transform(raw_types, lambda listed: split_tokens(listed)))
     return natural_sort(unify_tokens(tokens, rules))
 
 
