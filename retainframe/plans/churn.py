@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import (
-    CHURN_NAMES, FIELD_LABELS, OTHER_TIER, TEXT_SEPARATOR, TIER_NAMES, labelled, named_bin, pack_key, unify_tokens,
+    CHURN_NAMES, FIELD_LABELS, OTHER_TIER, TEXT_SEPARATOR, TIER_NAMES, labelled, named_bin, pack_key,
 )
 from ..functions.vectors import as_doubles, fuse, unit
 from ..operators.evaluate import classification_report, prediction_table, vote
@@ -17,16 +18,12 @@ from ..operators.features import churn_label, stratified_split, visit_features
 from ..operators.intervals import visit_intervals
 from ..operators.neighbours import nearest_neighbours
 from ..operators.profile import customer_profile
+from ..operators.retrieval import fit_text_model
 from ..operators.scaling import auto_scale
 from ..operators.visits import INTERNAL_TYPES, PASSIVE_TYPES, clean_visits, history, split_date
 from ..session import materialize
 from ..sources.schemas import NUMERIC_FEATURES
 
-__all__ = [
-    "churn_features", "customer_profile", "hybrid_vectors", "knn_churn", "labelled_dataset", "text_features", "unify_tokens",
-]
-
-
 def churn_features(
     visits: DataFrame, vehicles: DataFrame, members: DataFrame, purchases: DataFrame, as_of: date,
     internal: str = INTERNAL_TYPES, passive: str = PASSIVE_TYPES, rules: Sequence[tuple[str, str]] | None = None,
@@ -102,3 +99,9 @@ def knn_churn(
 
 def churn_report(predictions: DataFrame) -> DataFrame:
     return classification_report(predictions)
+
+
+def text_vectors(features: DataFrame, dimensions: int = 64, text: str = "text_feature") -> DataFrame:
+    """Add ``text_vector``: hashed TF-IDF of the text feature, for tables that bring no embedding."""
+    model = fit_text_model(features, text, dimensions)
+    return model.transform(features).withColumn("text_vector", vector_to_array("unit")).select(*features.columns, "text_vector")
