@@ -11,16 +11,21 @@ from ..session import materialize
 
 
 def clean_corpus(pages: DataFrame, lines: DataFrame, min_words: int = 10, min_length: int = 10) -> DataFrame:
-    """(origin, title, content) of fetched pages (title, html) and of document lines."""
-    web = page_bodies(page_text(pages), min_words).select(F.lit("web").alias("origin"), "title", "content")
-    local = document_text(lines, min_length=min_length).select(F.lit("local").alias("origin"), "title", "content")
+    """(origin, doc_key, title, content) of fetched pages (doc_key, title, html) and of document lines."""
+    web = page_bodies(page_text(pages), min_words).select(
+        F.lit("web").alias("origin"), F.col("doc_key").cast("string").alias("doc_key"), "title", "content"
+    )
+    name = F.col("title").cast("string")
+    local = document_text(lines, min_length=min_length).select(
+        F.lit("local").alias("origin"), name.alias("doc_key"), name.alias("title"), "content"
+    )
     return web.where(F.col("content") != "").unionByName(local)
 
 
 def corpus_chunks(corpus: DataFrame, method: str = "recursive", **sizes: int) -> DataFrame:
-    """Chunk rows with a stable id made of origin, title and place."""
+    """Chunk rows with a stable id made of origin, document key and place."""
     chunks = chunk(corpus, method, **sizes)
-    return chunks.withColumn("chunk_id", F.concat_ws("#", "origin", "title", F.col("chunk_no").cast("string")))
+    return chunks.withColumn("chunk_id", F.concat_ws("#", "origin", "doc_key", F.col("chunk_no").cast("string")))
 
 
 def retrieve(
@@ -42,5 +47,5 @@ def insights(chunks: DataFrame, n: int = 5, **options) -> DataFrame:
         "insight_no",
         F.col("chunk_id").cast("string").alias("insight_id"),
         F.col("text").alias("key_insight_content"),
-        F.concat(F.lit("score "), F.format_number("score", 4)).alias("strategic_relevance"),
+        F.format_string("score %.4f", F.col("score").cast("double")).alias("strategic_relevance"),
     )
