@@ -30,7 +30,7 @@ def visit_features(
     grouped = numbered(flagged).groupBy("entity_id").agg(
         F.max("visit_date").alias("last_date"),
         F.max_by("mile", "visit_date").alias("last_mile"),
-        F.max_by("visit_types", "visit_date").alias("last_visit_types"),
+        natural_sort(F.max_by("visit_types", "visit_date")).alias("last_visit_types"),
         *first_second_columns(),
         *spread_columns(),
         F.count("visit_date").alias("all_times"),

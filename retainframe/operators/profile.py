@@ -35,12 +35,12 @@ def fill_profile(
     )
     levels = (
         members.where(F.col("member_level").isNotNull())
-        .groupBy(key).agg(F.max("member_level").alias("member_level"))
+        .groupBy(F.col(key).alias("member_key")).agg(F.max("member_level").alias("member_level"))
     )
-    filled = owned.join(levels, key, "full_outer").fillna(
-        {"member_level": member_default, "owner_type": owner_default}
-    )
-    return drop_incomplete(filled)
+    joined = owned.join(levels, F.col(key) == F.col("member_key"), "full_outer").drop("member_key")
+    # a member without a vehicle has no key and no model here, so the last step drops it; the
+    # optimizer turns the outer join into a left one and keeps the partitioning on the key
+    return drop_incomplete(joined.fillna({"member_level": member_default, "owner_type": owner_default}))
 
 
 def customer_profile(

@@ -22,16 +22,11 @@ def standard(x: Column, mean: float, deviation: float) -> Column:
     return (x - F.lit(mean)) / F.lit(deviation if deviation else 1.0)
 
 
-def yeo_johnson(x: Column, power: float) -> Column:
+def yeo_johnson(x: Column, power: Column) -> Column:
     """The Yeo-Johnson power transform (Yeo and Johnson, 2000)."""
-    if power == 0:
-        positive = F.log1p(x)
-    else:
-        positive = (F.pow(x + 1, F.lit(power)) - 1) / F.lit(power)
-    if power == 2:
-        negative = -F.log1p(-x)
-    else:
-        negative = -(F.pow(1 - x, F.lit(2 - power)) - 1) / F.lit(2 - power)
+    rest = F.lit(2.0) - power
+    positive = F.when(power == 0, F.log1p(x)).otherwise((F.pow(x + 1, power) - 1) / power)
+    negative = F.when(rest == 0, -F.log1p(-x)).otherwise(-(F.pow(1 - x, rest) - 1) / rest)
     return F.when(x >= 0, positive).otherwise(negative)
 
 
@@ -43,30 +38,34 @@ def power_grids(decimals: int = 4) -> list[tuple[float, int]]:
 def fit_yeo_johnson(rows: DataFrame, columns: Sequence[str], decimals: int = 4) -> dict[str, float]:
     """Maximum-likelihood power per column.
 
-    A pass is one aggregation that scores a grid of powers for every column at once; the next pass
-    refines the grid around the best one. The likelihood has a single peak, so this finds the best
-    power on the finest grid.
+    A pass is one aggregation that scores a grid of powers for every column at once (a group is a
+    column and a power, combined on the map side, so a few dozen rows are shuffled per task); the
+    next pass refines the grid around the best one. The likelihood has a single peak, so this finds
+    the best power on the finest grid.
     """
     best = dict.fromkeys(columns, 0.0)
+    values = F.array(*(F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)))
+    exploded = rows.select(F.explode(values).alias("v")).select("v.i", "v.x").where(F.col("x").isNotNull())
+    x, power = F.col("x"), F.col("power")
     for step, reach in power_grids(decimals):
-        candidates, scores = {}, []
-        for i, c in enumerate(columns):
-            x = F.col(c).cast("double")
-            n, tilt = F.count(x), F.sum(F.signum(x) * F.log1p(F.abs(x)))
-            for j in range(-reach, reach + 1):
-                power = round(best[c] + j * step, 10) + 0.0
-                if abs(power) > LAMBDA_RANGE:
-                    continue
-                name = f"s{i}_{j + reach}"
-                candidates[name] = (c, power)
-                variance = F.var_pop(yeo_johnson(x, power))
-                scores.append((-n / 2 * F.log(variance) + F.lit(power - 1) * tilt).alias(name))
-        scored = rows.agg(*scores).first().asDict()
+        grids = [
+            [p for p in (round(best[c] + j * step, 10) + 0.0 for j in range(-reach, reach + 1)) if abs(p) <= LAMBDA_RANGE]
+            for c in columns
+        ]
+        choices = F.array(*(F.array(*(F.lit(p) for p in grid)) for grid in grids))
+        candidates = exploded.withColumn("power", F.explode(F.get(choices, F.col("i"))))
+        scored = candidates.groupBy("i", "power").agg(
+            F.count("x").alias("n"),
+            F.var_pop(yeo_johnson(x, power)).alias("variance"),
+            F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("tilt"),
+        )
         peak = dict.fromkeys(columns, -math.inf)
-        for name, score in scored.items():
-            c, power = candidates[name]
-            if score is not None and score > peak[c]:
-                peak[c], best[c] = score, power
+        for row in sorted(scored.collect()):
+            score = -math.inf
+            if row["variance"] > 0:
+                score = -row["n"] / 2 * math.log(row["variance"]) + (row["power"] - 1) * row["tilt"]
+            if score > peak[columns[row["i"]]]:
+                peak[columns[row["i"]]], best[columns[row["i"]]] = score, row["power"]
     return best
 
 
@@ -77,7 +76,7 @@ def auto_scale(rows: DataFrame, columns: Sequence[str], decimals: int = 4) -> Da
     powers = fit_yeo_johnson(rows, skewed, decimals) if skewed else {}
     moments = {}
     if skewed:
-        transformed = {c: yeo_johnson(F.col(c).cast("double"), powers[c]) for c in skewed}
+        transformed = {c: yeo_johnson(F.col(c).cast("double"), F.lit(powers[c])) for c in skewed}
         found = rows.agg(*(
             f(transformed[c]).alias(f"{kind}{i}")
             for i, c in enumerate(skewed) for kind, f in (("mean", F.avg), ("std", F.stddev_pop))
@@ -89,7 +88,7 @@ def auto_scale(rows: DataFrame, columns: Sequence[str], decimals: int = 4) -> Da
         if s.method == "robust":
             scaled[c] = robust(x, s)
         elif s.method == "yeo_johnson":
-            scaled[c] = standard(yeo_johnson(x, powers[c]), *moments[c])
+            scaled[c] = standard(yeo_johnson(x, F.lit(powers[c])), *moments[c])
         else:
             scaled[c] = standard(x, s.mean, s.std_pop)
     return rows.withColumns(scaled)

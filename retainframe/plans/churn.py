@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import (
-    CHURN_NAMES, FIELD_LABELS, OTHER_TIER, TEXT_SEPARATOR, TIER_NAMES, labelled, named_bin, pack_key,
+    CHURN_NAMES, FIELD_LABELS, OTHER_TIER, TEXT_SEPARATOR, TIER_NAMES, UNIFIED_TYPES, labelled, named_bin, pack_key,
 )
 from ..functions.vectors import as_doubles, fuse, unit
 from ..operators.evaluate import classification_report, prediction_table, vote
@@ -20,29 +20,25 @@ from ..operators.neighbours import nearest_neighbours
 from ..operators.profile import customer_profile
 from ..operators.retrieval import fit_text_model
 from ..operators.scaling import auto_scale
-from ..operators.visits import INTERNAL_TYPES, PASSIVE_TYPES, clean_visits, history, split_date
+from ..operators.visits import INTERNAL_TYPES, PASSIVE_TYPES, active_entities, clean_visits, history, split_date
 from ..session import materialize
 from ..sources.schemas import NUMERIC_FEATURES
 
 def churn_features(
     visits: DataFrame, vehicles: DataFrame, members: DataFrame, purchases: DataFrame, as_of: date,
-    internal: str = INTERNAL_TYPES, passive: str = PASSIVE_TYPES, rules: Sequence[tuple[str, str]] | None = None,
-    inactive: str = "drop", reuse_visits: bool = False,
+    internal: str = INTERNAL_TYPES, passive: str = PASSIVE_TYPES,
+    rules: Sequence[tuple[str, str]] = tuple(UNIFIED_TYPES), inactive: str = "drop",
 ) -> DataFrame:
-    """Labelled feature row per entity.
+    """Labelled feature row per entity, as one lazy plan.
 
-    The split date is a scalar subquery over the cleaned visits. ``reuse_visits`` writes those to the
-    shared folder first, so that the split and the features read them instead of cleaning twice;
-    without it the whole analysis stays one lazy plan that shares its exchanges.
+    Raw visits are shuffled once combined per day, then once by entity; every window, join and
+    aggregation after that runs on the entity partitioning. The split date is a scalar subquery.
     """
     profile = customer_profile(vehicles, members, purchases)
-    options = {} if rules is None else {"rules": rules}
-    cleaned = clean_visits(visits, profile, internal, passive, **options)
-    if reuse_visits:
-        cleaned = materialize(cleaned, "visits")
-    split = split_date(cleaned)
-    intervals = visit_intervals(history(cleaned, split), profile)
-    return churn_label(visit_features(intervals, profile, split, as_of, inactive), split)
+    split = split_date(active_entities(visits, profile, internal, passive))
+    past = history(clean_visits(visits, profile, internal, passive, rules), split)
+    features = visit_features(visit_intervals(past, profile), profile, split, as_of, inactive)
+    return churn_label(features, split)
 
 
 def labelled_dataset(features: DataFrame, valid_fraction: float = 0.1, seed: int = 42) -> DataFrame:

@@ -10,7 +10,7 @@ from ..operators.features import churn_label, stratified_split, visit_features
 from ..operators.joins import drop_entities_matching, drop_rows_matching, keep_keys
 from ..operators.profile import customer_profile, fill_profile, first_purchases
 from ..operators.visits import (
-    clean_visits, entity_counts, history, inactive_entities, latest_visits, split_date, type_history,
+    active_entities, clean_visits, entity_counts, history, in_order, inactive_entities, latest_visits, split_date, type_history,
 )
 from ..plans.churn import churn_features, labelled_dataset, text_features
 from ..session import shared_dir
@@ -32,9 +32,8 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def past(spark: SparkSession, sf_dir: str):
     """Cleaned visits up to the split date, and that date."""
-    visits = cleaned(spark, sf_dir)
-    split = split_date(visits)
-    return history(visits, split), split
+    split = split_date(active_entities(inputs.visits(spark, sf_dir), None, INTERNAL, PASSIVE))
+    return history(cleaned(spark, sf_dir), split), split
 
 
 def past_intervals(spark: SparkSession, sf_dir: str):
@@ -42,6 +41,10 @@ def past_intervals(spark: SparkSession, sf_dir: str):
     return iv.visit_intervals(visits, first_purchases(inputs.purchases(spark, sf_dir))), split
 
 
+def last_active(spark, sf_dir):
+    return tidy(active_entities(inputs.visits(spark, sf_dir), profile(spark, sf_dir), INTERNAL, PASSIVE))
+
+
 def csv_source(spark, sf_dir):
     """Write a table as CSV, read chosen columns back under new names and typed."""
     path = shared_dir(spark, "csv")
@@ -77,7 +80,7 @@ def visits_excluding_internal(spark, sf_dir):
 
 
 def visits_same_day(spark, sf_dir):
-    return tidy(cleaned(spark, sf_dir))
+    return tidy(in_order(cleaned(spark, sf_dir)))
 
 
 def visit_counts(spark, sf_dir):
@@ -117,9 +120,9 @@ def history_type_set(spark, sf_dir):
 
 def features(spark, sf_dir, inactive_rule: str = "drop"):
     known = profile(spark, sf_dir)
-    visits = clean_visits(inputs.visits(spark, sf_dir), known, INTERNAL, PASSIVE, RULES)
-    split = split_date(visits)
-    intervals = iv.visit_intervals(history(visits, split), known)
+    visits = inputs.visits(spark, sf_dir)
+    split = split_date(active_entities(visits, known, INTERNAL, PASSIVE))
+    intervals = iv.visit_intervals(history(clean_visits(visits, known, INTERNAL, PASSIVE, RULES), split), known)
     return visit_features(intervals, known, split, AS_OF, inactive_rule), split
 
 
@@ -174,6 +177,7 @@ QUERIES = {
     "customer_profile": customer_profiles,
     "visits_excluding_internal": visits_excluding_internal,
     "visits_same_day": visits_same_day,
+    "active_entities": last_active,
     "entity_counts": visit_counts,
     "visit_raw_intervals": visit_raw_intervals,
     "visit_mileage_repair": visit_mileage_repair,
@@ -334,6 +338,8 @@ SELECT entity_id, CAST(visit_date AS VARCHAR) AS visit_date, {rounded('mile')} A
     "visits_same_day": f"""WITH {cleaned_sql(False)}
 SELECT entity_id, CAST(visit_date AS VARCHAR) AS visit_date, {rounded('mile')} AS mile,
   array_to_string(visit_types, ';') AS visit_types FROM cleaned""",
+    "active_entities": f"""WITH {cleaned_sql(True)}
+SELECT entity_id, CAST(max(visit_date) AS VARCHAR) AS visit_date FROM cleaned GROUP BY 1""",
     "entity_counts": f"""WITH {cleaned_sql(False)}
 SELECT count(*) AS n_visits, count(DISTINCT entity_id) AS n_entities, count(DISTINCT visit_date) AS n_days FROM cleaned""",
     "visit_raw_intervals": f"WITH {cleaned_sql(False)} SELECT {INTERVAL_COLUMNS} FROM intervals",
