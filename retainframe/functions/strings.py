@@ -39,21 +39,18 @@ def strip(text: Column) -> Column:
 def natural_key(text: Column) -> Column:
     """Sort key that orders digit runs by value: ``b9`` before ``b10``.
 
-    One struct per (non-digits, digits) run. A number is compared by its length without leading
-    zeros and then digit by digit, so any length is exact; an absent number sorts first.
+    One struct per run of non-digits and the digits after it. A number is compared by its length
+    without leading zeros and then digit by digit, so any length is exact; an absent number sorts
+    first.
     """
-    runs = F.regexp_extract_all(text, F.lit(r"(\D*\d+|\D+)"), 1)
-
-    def key(run: Column) -> Column:
-        digits = F.regexp_replace(F.regexp_extract(run, r"(\d+)$", 1), "^0+", "")
-        has_number = run.rlike(r"\d$")
-        return F.struct(
-            F.regexp_extract(run, r"^(\D*)", 1).alias("prefix"),
-            F.when(has_number, F.length(digits)).alias("width"),
-            F.when(has_number, digits).alias("digits"),
-        )
-
-    return F.transform(runs, key)
+    runs = F.lit(r"(\D*)(\d*)")
+    prefixes, numbers = F.regexp_extract_all(text, runs, 1), F.regexp_extract_all(text, runs, 2)
+
+    def key(prefix: Column, number: Column) -> Column:
+        digits = F.when(number != "", F.ltrim(number, F.lit("0")))
+        return F.struct(prefix.alias("prefix"), F.length(digits).alias("width"), digits.alias("digits"))
+
+    return F.zip_with(prefixes, numbers, key)
 
 
 def natural_sort(items: Column) -> Column:

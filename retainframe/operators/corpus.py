@@ -97,8 +97,9 @@ def top_insights(
     compared is one row against at most ``n`` taken ones: no pairs are formed, and a group of copies
     of any size disappears in one filter.
     """
-    candidates = chunks.select(F.col(key).alias("key"), F.col(score).alias("score"), words(F.col(text)).alias("words"))
+    candidates = chunks.select(F.col(key).alias("key"), F.col(score).alias("score"), F.col(text).alias("text"))
     candidates = candidates.where(F.col("score").isNotNull())
+    own_words = words(F.col("text"))
     taken: list = []
     last = None
     while len(taken) < n:
@@ -109,8 +110,9 @@ def top_insights(
             )
             rest = rest.where(after)
         for row in taken:
-            rest = rest.where(jaccard(F.col("words"), _literal_words(row["words"])) < max_similarity)
-        page = rest.orderBy(F.desc("score"), "key").limit(batch).collect()
+            rest = rest.where(jaccard(own_words, _literal_words(row["words"])) < max_similarity)
+        best = rest.orderBy(F.desc("score"), "key").limit(batch)
+        page = best.select("key", "score", own_words.alias("words")).collect()
         for row in page:
             if len(taken) < n and all(_alike(row["words"], other["words"]) < max_similarity for other in taken):
                 taken.append(row)

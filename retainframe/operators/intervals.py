@@ -19,19 +19,21 @@ def by_date() -> WindowSpec:
     return per_entity().orderBy("visit_date")
 
 
-def raw_intervals(visits: DataFrame, purchases: DataFrame) -> DataFrame:
+def raw_intervals(visits: DataFrame, purchases: DataFrame | None = None) -> DataFrame:
     """Gap to the previous visit, or to the purchase (mileage 0) for the first one; positive gaps only.
 
-    ``visits`` holds one row per entity and day, ``purchases`` one row per entity.
+    ``visits`` holds one row per entity and day. The purchase date comes from ``purchases``, one row
+    per entity, or is a column of ``visits`` already.
     """
-    with_previous = visits.select(
+    lagged = visits.select(
         "*",
         F.lag("visit_date").over(by_date()).alias("previous_date"),
         F.lag("mile").over(by_date()).alias("previous_mile"),
     )
-    joined = with_previous.join(purchases.select("entity_id", "purchase_date"), "entity_id", "left")
-    filled = joined.select(
-        *visits.columns,
+    if purchases is not None:
+        lagged = lagged.join(purchases.select("entity_id", "purchase_date"), "entity_id", "left")
+    filled = lagged.select(
+        *(c for c in visits.columns if c != "purchase_date"),
         F.coalesce("previous_date", "purchase_date").alias("previous_date"),
         F.coalesce("previous_mile", F.lit(0.0)).alias("previous_mile"),
     )
@@ -58,7 +60,7 @@ def repair_mileage(intervals: DataFrame) -> DataFrame:
     )
 
 
-def visit_intervals(visits: DataFrame, purchases: DataFrame) -> DataFrame:
+def visit_intervals(visits: DataFrame, purchases: DataFrame | None = None) -> DataFrame:
     return repair_mileage(raw_intervals(visits, purchases))
 
 

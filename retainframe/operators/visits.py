@@ -39,21 +39,26 @@ def clean_visits(
     internal: str = INTERNAL_TYPES,
     passive: str = PASSIVE_TYPES,
     rules: Sequence[tuple[str, str]] = tuple(UNIFIED_TYPES),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Visits of known, non-internal entities: entity_id, visit_date, mile, visit_types.
 
+    ``profile`` holds one row per known entity; its ``carry`` columns are added by the same join
+    that keeps the known entities.
+
     ``visit_types`` is a set: it is put in natural order where it is shown (:func:`in_order`,
     :func:`latest_visits`, :func:`type_history`), once per result row instead of once per visit.
     """
     daily = collapse_days(visits, internal, passive)
     if profile is not None:
-        daily = daily.join(profile.select("entity_id"), "entity_id", "left_semi")
+        daily = daily.join(profile.select("entity_id", *carry), "entity_id", "inner" if carry else "left_semi")
     ever_internal = F.bool_or("internal").over(Window.partitionBy("entity_id"))
     kept = (
         daily.withColumn("ever_internal", ever_internal)
         .where(~F.col("ever_internal") & (F.size("raw_types") > 0))
     )
-    return kept.select("entity_id", "visit_date", "mile", visit_types(F.col("raw_types"), rules).alias("visit_types"))
+    types = visit_types(F.col("raw_types"), rules).alias("visit_types")
+    return kept.select("entity_id", "visit_date", "mile", types, *carry)
 
 
 def visit_types(raw_types: Column, rules: Sequence[tuple[str, str]] = tuple(UNIFIED_TYPES)) -> Column:

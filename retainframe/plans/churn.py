@@ -36,8 +36,8 @@ def churn_features(
     """
     profile = customer_profile(vehicles, members, purchases)
     split = split_date(active_entities(visits, profile, internal, passive))
-    past = history(clean_visits(visits, profile, internal, passive, rules), split)
-    features = visit_features(visit_intervals(past, profile), profile, split, as_of, inactive)
+    past = history(clean_visits(visits, profile, internal, passive, rules, ["purchase_date"]), split)
+    features = visit_features(visit_intervals(past), profile, split, as_of, inactive)
     return churn_label(features, split)
 
 

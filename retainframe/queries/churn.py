@@ -122,7 +122,8 @@ def features(spark, sf_dir, inactive_rule: str = "drop"):
     known = profile(spark, sf_dir)
     visits = inputs.visits(spark, sf_dir)
     split = split_date(active_entities(visits, known, INTERNAL, PASSIVE))
-    intervals = iv.visit_intervals(history(clean_visits(visits, known, INTERNAL, PASSIVE, RULES), split), known)
+    past_visits = history(clean_visits(visits, known, INTERNAL, PASSIVE, RULES, ["purchase_date"]), split)
+    intervals = iv.visit_intervals(past_visits)
     return visit_features(intervals, known, split, AS_OF, inactive_rule), split
 
 
