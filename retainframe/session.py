@@ -21,15 +21,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
+_FALLBACK: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, laptops) does it fall back to a temporary folder.
+    Only where that setting is absent (tests, laptops) it is a temporary folder of this process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="retainframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _FALLBACK:
+            _FALLBACK.append(tempfile.mkdtemp(prefix="retainframe-"))
+        base = _FALLBACK[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
