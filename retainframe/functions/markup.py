@@ -17,7 +17,7 @@ HTML_STEPS = [
 ]
 
 # Entities, the ampersand last so that nothing is decoded twice.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&")]
 
 
 def html_text(html: Column) -> Column:

@@ -51,6 +51,8 @@ def retrieve_by_text(
 
     Chunk vectors stay sparse: only the query's own dimensions are sliced out for the dot product.
     """
+    if chunks.isEmpty():
+        return chunks.withColumn("score", F.lit(0.0))
     model = model or fit_text_model(chunks, text)
     wanted = model.transform(chunks.sparkSession.createDataFrame([(query,)], f"{text} string")).first()["unit"]
     # dimensions every chunk shares have weight 0 and add nothing
