@@ -227,6 +227,18 @@ best{i} AS (
     return ",".join(parts) + f",\nbest AS ({previous})"
 
 
+def scale_sql(name: str, keys: str, column: str) -> str:
+    """The column scaled by the method its own profile asks for, as the operator does."""
+    return f"""WITH source AS (SELECT {keys}, CAST({column} AS DOUBLE) AS x FROM {name}),{best_power_sql()},
+moved AS (SELECT source.*, {power_sql('p')} AS y FROM source, best),
+facts AS (
+  SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS q2, quantile_cont(x, 0.75) AS q3, min(x) AS low, max(x) AS high,
+    skewness(x) AS skew, avg(x) AS mean, stddev_pop(x) AS std, avg(y) AS y_mean, stddev_pop(y) AS y_std FROM moved)
+SELECT moved.* EXCLUDE (x, y), {rounded("""CASE WHEN q3 - q1 > 0 AND (high - low) / (q3 - q1) > 10 THEN (x - q2) / (q3 - q1)
+    WHEN abs(skew) > 1 THEN (y - y_mean) / y_std ELSE (x - mean) / std END""")} AS {column}
+FROM moved, facts"""
+
+
 SPLIT_SQL = f"""
 marked AS ({churn.quota_sql('(SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CASE WHEN label < 5 THEN 1 ELSE 0 END AS y FROM embeddings) e',
                             'y', 'vec_id', 'vec_id, v, y')}),
@@ -270,15 +282,9 @@ centres AS (
 
 SQL = {
     "column_profile": "\nUNION ALL ".join(profile_sql(*p) for p in PROFILED),
-    "scale_robust": f"""SELECT doc_id, {rounded('(n_chars - q2) / (q3 - q1)')} AS n_chars FROM documents,
-  (SELECT quantile_cont(CAST(n_chars AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(n_chars AS DOUBLE), 0.5) AS q2,
-          quantile_cont(CAST(n_chars AS DOUBLE), 0.75) AS q3 FROM documents) s""",
-    "scale_standard": f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-  {rounded('(l_quantity - m) / d')} AS l_quantity
-FROM lineitem, (SELECT avg(l_quantity) AS m, stddev_pop(l_quantity) AS d FROM lineitem) s""",
-    "scale_yeo_johnson": f"""WITH source AS (SELECT event_id, value AS x FROM events),{best_power_sql()},
-moved AS (SELECT event_id, {power_sql('p')} AS y FROM source, best)
-SELECT event_id, {rounded('(y - m) / d')} AS value FROM moved, (SELECT avg(y) AS m, stddev_pop(y) AS d FROM moved) s""",
+    "scale_robust": scale_sql("documents", "doc_id", "n_chars"),
+    "scale_standard": scale_sql("lineitem", "l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber", "l_quantity"),
+    "scale_yeo_johnson": scale_sql("events", "event_id", "value"),
     "vector_fuse_normalise": f"""WITH fused AS (
   SELECT vec_id, list_concat(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * 0.3::DOUBLE),
     [label * 0.7::DOUBLE, label * 0.5::DOUBLE * 0.7::DOUBLE]) AS f FROM embeddings),
