@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import click_through_rate
 from ..functions.strings import insight_line, post_message, preview, strip
+from .joins import one_per_key
 
 # Accepted answers, and the words that approve an answer with feedback.
 APPROVALS = ["approve", "approved", "yes", "y"]
@@ -46,10 +47,17 @@ def review(decision: Column, extra_feedback: Column | None = None, whole_words:
 
 
 def reviewed(contents: DataFrame, decisions: DataFrame, key: str = "insight_id", whole_words: bool = True) -> DataFrame:
-    """Contents with approval and feedback. ``decisions``: key, decision, optional extra_feedback."""
-    extra = F.col("extra_feedback") if "extra_feedback" in decisions.columns else None
+    """Contents with approval and feedback.
+
+    ``decisions``: key, decision, optional extra_feedback, optional place; the decision with the
+    highest place counts where a content has several.
+    """
+    wanted = [c for c in (key, "decision", "extra_feedback", "place") if c in decisions.columns]
+    prefer = [F.col("place")] if "place" in wanted else []
+    last = one_per_key(decisions.select(wanted), key, prefer).drop("place")
+    extra = F.col("extra_feedback") if "extra_feedback" in wanted else None
     approval, feedback = review(F.col("decision"), extra, whole_words)
-    joined = contents.join(decisions, key, "left")
+    joined = contents.join(last, key, "left")
     return joined.select(*contents.columns, approval.alias("approval"), feedback.alias("feedback"))
 
 
@@ -84,10 +92,13 @@ def publish_queue(contents: DataFrame, page_id: str) -> DataFrame:
 def publish_results(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Queue rows with status, post_id and response.
 
-    ``outcomes``: content_id, error, post_id. A row with an error, or without any outcome, failed.
+    ``outcomes``: content_id, error, post_id; a success counts before failed attempts of the same
+    content. A row with an error, or without any outcome, failed.
     """
+    attempts = outcomes.select("content_id", "post_id", "error")
+    settled = one_per_key(attempts, "content_id", [F.col("error").isNull()]).withColumn("answered", F.lit(True))
     answered = F.col("answered") & F.col("error").isNull()
-    joined = queue.select("content_id").join(outcomes.withColumn("answered", F.lit(True)), "content_id", "left")
+    joined = queue.select("content_id").join(settled, "content_id", "left")
     success = F.coalesce(answered, F.lit(False))
     post_id = F.when(success, F.coalesce("post_id", F.lit(""))).otherwise("")
     response = F.when(success, F.create_map(F.lit("id"), post_id)).otherwise(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
-FINISH_ROWS = 200_000
+FINISH_ROWS = 20_000
 PROFILE_SCHEMA = (
     "column string, n bigint, min double, max double, q1 double, median double, q3 double, iqr double, "
     "mean double, std_pop double, skew double, method string"
@@ -107,7 +107,7 @@ def order_statistics(
     Each pass counts rows per equal-width bucket of the ranges still in question (a map-side
     aggregate of at most BUCKETS rows per range), and narrows every rank to its bucket. A bucket
     whose smallest and largest value agree, such as one very frequent value, is the answer at once.
-    What is left holds at most ``finish_rows`` distinct values per range and is read off directly.
+    What is left holds at most ``finish_rows`` rows per range and is read off directly.
     """
     found: dict[str, dict[int, float]] = defaultdict(dict)
     # an open range: (column, low, high, rows in it) -> [(rank within the range, rank asked for)]

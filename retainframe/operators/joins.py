@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,18 +17,18 @@ def _salted(rows: DataFrame, keys: DataFrame, key: str, how: str, spread_by: str
     return salted_rows.join(salted_keys, [key, "_salt"], how).drop("_salt")
 
 
-def keep_keys(rows: DataFrame, keys: DataFrame, key: str, spread_by: str, salts: int = 16) -> DataFrame:
+def keep_keys(rows: DataFrame, keys: DataFrame, key: str, spread_by: str, salts: int = 8) -> DataFrame:
     """Rows whose key occurs in ``keys`` (semi join)."""
     return _salted(rows, keys, key, "left_semi", spread_by, salts)
 
 
-def drop_keys(rows: DataFrame, keys: DataFrame, key: str, spread_by: str, salts: int = 16) -> DataFrame:
+def drop_keys(rows: DataFrame, keys: DataFrame, key: str, spread_by: str, salts: int = 8) -> DataFrame:
     """Rows whose key does not occur in ``keys`` (anti join)."""
     return _salted(rows, keys, key, "left_anti", spread_by, salts)
 
 
 def drop_entities_matching(
-    rows: DataFrame, key: str, column: str, pattern: str, spread_by: str, salts: int = 16
+    rows: DataFrame, key: str, column: str, pattern: str, spread_by: str, salts: int = 8
 ) -> DataFrame:
     """Remove every row of an entity that has at least one row matching ``pattern``."""
     return drop_keys(rows, rows.where(F.col(column).rlike(pattern)), key, spread_by, salts)
@@ -38,6 +38,18 @@ def drop_rows_matching(rows: DataFrame, column: str, pattern: str) -> DataFrame:
     return rows.where(~F.col(column).rlike(pattern))
 
 
+def one_per_key(rows: DataFrame, key: str, prefer: list[Column] | None = None) -> DataFrame:
+    """One whole row per key: the largest by ``prefer`` and then by all columns.
+
+    Brings a join side to unique keys, so that a repeated key cannot multiply the other side. Each
+    task keeps one row per key before the shuffle.
+    """
+    others = [c for c in rows.columns if c != key]
+    order = [p.alias(f"p{i}") for i, p in enumerate(prefer or [])]
+    best = rows.groupBy(key).agg(F.max(F.struct(*order, *others)).alias("best"))
+    return best.select(key, *(F.col("best")[c].alias(c) for c in others))
+
+
 def drop_incomplete(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows without a null in ``columns`` (default: all); plain predicates, so they reach the scan."""
     for name in columns or rows.columns:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import drop_incomplete
+from .joins import drop_incomplete, one_per_key
 
 # Fill-ins for missing profile fields.
 DEFAULT_MEMBER_LEVEL = "无"
@@ -28,11 +28,7 @@ def fill_profile(
 
     Both sides are brought to one row per key before the join, so a repeated key cannot multiply rows.
     """
-    attributes = ["owner_type", "car_mode", "car_level"]
-    owned = (
-        vehicles.groupBy(key).agg(F.max(F.struct(*attributes)).alias("v"))
-        .select(key, *(F.col("v")[a].alias(a) for a in attributes))
-    )
+    owned = one_per_key(vehicles.select(key, "owner_type", "car_mode", "car_level"), key)
     levels = (
         members.where(F.col("member_level").isNotNull())
         .groupBy(F.col(key).alias("member_key")).agg(F.max("member_level").alias("member_level"))

@@ -134,3 +134,12 @@ def test_vector_table_is_rebuilt(spark):
     rows = spark.createDataFrame([("1", [1.0], "t", {"k": "v"})], "id string, embedding array<float>, text string, metadata map<string,string>")
     write_vectors(rows.union(rows), path)
     assert rebuild_vectors(rows, rows.limit(0), path).count() == 1
+
+
+def test_repeated_decisions_and_attempts_do_not_multiply_rows(spark):
+    rows = contents(spark, [("a", "Poster", [])])
+    decisions = spark.createDataFrame([("a", "yes", 1), ("a", "no", 2)], "insight_id string, decision string, place int")
+    assert [r["approval"] for r in op.reviewed(rows, decisions).collect()] == ["rejected"]
+    attempts = spark.createDataFrame([("a", "timeout", None), ("a", None, "p"), ("a", "timeout", None)], "content_id string, error string, post_id string")
+    results = op.publish_results(op.publish_queue(rows, "page"), attempts)
+    assert [(r["status"], r["post_id"]) for r in results.collect()] == [("success", "p")]
