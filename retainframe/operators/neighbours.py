@@ -16,6 +16,9 @@ SHARED_SIDE_BYTES = 64 << 20
 # Vectors of one block of the grid, and similarities held at a time inside a task.
 BLOCK_BYTES = 32 << 20
 SCORES_AT_ONCE = 4 << 20
+# Pivots are held by every task; the error allowed for an angle computed from a cosine.
+MAX_PIVOTS = 1024
+ANGLE_ERROR = 1e-6
 
 
 def nearest_neighbours(
@@ -40,8 +43,9 @@ def nearest_neighbours(
     * base fits ``shared_side_bytes``: every task holds it, a query is answered where it lies, no shuffle;
     * queries fit: every task holds them, scans its part of the base and keeps k rows per query, and
       only those partial results are shuffled;
-    * neither fits: both sides are cut into blocks of bounded size, every pair of blocks is one
-      group, and the partial results are merged. The blocks hold vectors, never pairs.
+    * neither fits: the base is divided among pivots and a query is sent only to the pivots that can
+      hold one of its ``k`` nearest rows, see :func:`_by_pivot`. Groups are blocks of bounded size
+      and hold vectors, never pairs; their partial results are merged.
     """
     queries = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector")).where("vector is not null")
     base = base.select("base_id", F.col("vector").cast("array<double>").alias("vector"), *carry).where("vector is not null")
@@ -59,11 +63,7 @@ def nearest_neighbours(
         if n_queries * row_bytes <= shared_side_bytes:
             partial = _scan_base(queries, base, k, digits, result)
         else:
-            rows_per_block = max(1, block_bytes // row_bytes)
-            partial = _grid(
-                queries, base, k, digits, result,
-                math.ceil(n_queries / rows_per_block), math.ceil(n_base / rows_per_block),
-            )
+            partial = _by_pivot(queries, base, k, digits, result, n_base, max(1, block_bytes // row_bytes))
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "base_id")
         found = partial.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).drop("place")
     return found if min_similarity is None else found.where(F.col("score") >= min_similarity)
@@ -147,22 +147,108 @@ def _scan_base(queries: DataFrame, base: DataFrame, k: int, digits: int, result:
     return base.mapInArrow(scan, result)
 
 
-def _grid(
-    queries: DataFrame, base: DataFrame, k: int, digits: int, result: T.StructType, query_blocks: int, base_blocks: int
+def _by_pivot(
+    queries: DataFrame, base: DataFrame, k: int, digits: int, result: T.StructType, n_base: int, block_rows: int
 ) -> DataFrame:
-    schema = _arrow_schema(result)
+    """Exact k-nearest join by pivots (Lu et al., VLDB 2012), on the angle between vectors.
 
-    def block(id_column: str, blocks: int):
-        return F.pmod(F.xxhash64(id_column), F.lit(blocks)).cast("int")
+    Every base row belongs to its nearest pivot. By the triangle inequality the rows of a pivot lie
+    between two angles from a query, known from the pivot's nearest and farthest row. The pivots
+    that surely hold k rows within some angle bound the k-th neighbour of a query, and a pivot whose
+    rows all lie beyond that bound is skipped. The choice of pivots changes the work, not the result.
 
-    def each(blocks: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    A pivot with many rows, or many queries, is cut into blocks by key, so a large group of equal
+    vectors is spread over many groups too.
+    """
+    wanted = min(MAX_PIVOTS, max(2, 4 * math.ceil(n_base / block_rows)))
+    sample = base.orderBy(F.xxhash64("base_id"), "base_id").limit(wanted).select("vector").toArrow()
+    if not sample.num_rows:
+        return queries.sparkSession.createDataFrame([], result)
+    pivots = np.unique(_matrix(sample), axis=0)
+    pivots = pivots[np.linalg.norm(pivots, axis=1) > 0]
+
+    assigned = base.mapInArrow(
+        _assigner(pivots), T.StructType([*base.schema, T.StructField("pivot", T.IntegerType()), T.StructField("angle", T.DoubleType())])
+    )
+    rings = assigned.groupBy("pivot").agg(
+        F.count(F.lit(1)).alias("n"), F.min("angle").alias("near"), F.max("angle").alias("far")
+    ).collect()
+    routed = queries.mapInArrow(
+        _router(pivots, rings, k, digits), T.StructType([*queries.schema, T.StructField("pivots", T.ArrayType(T.IntegerType()))])
+    ).select("query_id", "vector", F.explode("pivots").alias("pivot"))
+    asked = {r["pivot"]: r["n"] for r in routed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    # at most MAX_PIVOTS + 1 rows: the number of blocks on either side of each pivot that is asked for
+    blocks = queries.sparkSession.createDataFrame(
+        [(r["pivot"], math.ceil(asked[r["pivot"]] / block_rows), math.ceil(r["n"] / block_rows)) for r in rings if r["pivot"] in asked],
+        "pivot int, query_blocks int, base_blocks int",
+    )
 
-    left = queries.withColumn("query_block", block("query_id", query_blocks)).withColumn("base_block", each(base_blocks))
-    right = base.withColumn("base_block", block("base_id", base_blocks)).withColumn("query_block", each(query_blocks))
+    def own(id_column: str, count: str):
+        return F.pmod(F.xxhash64(id_column), F.col(count)).cast("int")
+
+    def each(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    keys = ["pivot", "query_block", "base_block"]
+    left = routed.join(F.broadcast(blocks), "pivot").withColumn("query_block", own("query_id", "query_blocks"))
+    left = left.withColumn("base_block", each("base_blocks")).select("query_id", "vector", *keys)
+    right = assigned.join(F.broadcast(blocks), "pivot").withColumn("base_block", own("base_id", "base_blocks"))
+    right = right.withColumn("query_block", each("query_blocks")).select(*base.columns, *keys)
+    schema = _arrow_schema(result)
 
     def cell(q: pa.Table, b: pa.Table) -> pa.Table:
-        return _top(q.select(["query_id", "vector"]), b.drop_columns(["query_block", "base_block"]), k, digits, schema)
+        return _top(q.drop_columns(keys), b.drop_columns(keys), k, digits, schema)
 
-    keys = ["query_block", "base_block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, result)
+
+
+def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
+
+
+def _assigner(pivots: np.ndarray):
+    """Nearest pivot of each row. Zero vectors, which have no angle, share a pivot number of their own."""
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            vectors = _matrix(table)
+            # the zero vector itself stands for the last number: at a right angle to everything
+            angles = _angles(vectors, np.r_[pivots, np.zeros((1, vectors.shape[1]))])
+            zero = ~vectors.any(axis=1)
+            angles[:, -1] = np.where(zero, 0.0, np.inf)
+            nearest = angles.argmin(axis=1)
+            table = table.append_column("pivot", pa.array(nearest.astype(np.int32)))
+            table = table.append_column("angle", pa.array(angles[np.arange(len(angles)), nearest]))
+            yield from table.to_batches()
+
+    return assign
+
+
+def _router(pivots: np.ndarray, rings: list, k: int, digits: int):
+    """The pivots that can hold one of the k nearest rows of each query."""
+    numbers = np.array([r["pivot"] for r in rings], dtype=np.int32)
+    counts, near, far = (np.array([r[name] for r in rings]) for name in ("n", "near", "far"))
+    slack = 10.0 ** -digits + ANGLE_ERROR
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            vectors = _matrix(table)
+            centres = np.r_[pivots, np.zeros((1, vectors.shape[1]))][numbers]
+            angles = _angles(vectors, centres)
+            least = np.maximum(np.maximum(angles - far, near - angles), 0.0)
+            most = np.minimum(angles + far, np.pi)
+            least[~vectors.any(axis=1)] = most[~vectors.any(axis=1)] = np.pi / 2
+            order = most.argsort(axis=1)
+            reached = counts[order].cumsum(axis=1) >= k
+            last = np.take_along_axis(order, reached.argmax(axis=1)[:, None], axis=1)
+            bound = np.where(reached.any(axis=1), np.take_along_axis(most, last, axis=1)[:, 0], np.pi)
+            worst = np.cos(np.minimum(bound + ANGLE_ERROR, np.pi)) - slack
+            kept = np.cos(np.maximum(least - ANGLE_ERROR, 0.0)) >= worst[:, None]
+            offsets = np.r_[0, kept.sum(axis=1).cumsum()].astype(np.int32)
+            chosen = pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers[np.nonzero(kept)[1]]))
+            yield from table.append_column("pivots", chosen).to_batches()
+
+    return route

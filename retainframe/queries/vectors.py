@@ -73,8 +73,8 @@ def knn_neighbours(spark, sf_dir):
     return tidy(nearest_neighbours(queries, base, 10))
 
 
-def knn_neighbours_grid(spark, sf_dir):
-    """Every vector against every vector with both sides cut into blocks."""
+def knn_neighbours_pivots(spark, sf_dir):
+    """Every vector against every vector, by the way taken when neither side can be shared."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     return tidy(nearest_neighbours(
         vectors.withColumnRenamed("vec_id", "query_id"), vectors.withColumnRenamed("vec_id", "base_id"), 5,
@@ -177,7 +177,7 @@ QUERIES = {
     "scale_yeo_johnson": scale_yeo_johnson,
     "vector_fuse_normalise": vector_fuse_normalise,
     "knn_neighbours": knn_neighbours,
-    "knn_neighbours_grid": knn_neighbours_grid,
+    "knn_neighbours_pivots": knn_neighbours_pivots,
     "knn_vote": knn_vote,
     "classification_report": knn_report,
     "roc_points": roc_hard,
@@ -292,7 +292,7 @@ normed AS (SELECT vec_id, f, sqrt(list_sum(list_transform(f, lambda x: x * x)))
 SELECT vec_id, CAST(len(f) AS BIGINT) AS dims, {rounded('n / n')} AS length, {rounded('f[1] / n')} AS first_text,
   {rounded('f[len(f)] / n')} AS last_number, {rounded('list_sum(f) / n')} AS total FROM normed""",
     "knn_neighbours": f"WITH {SPLIT_SQL} SELECT query_id, base_id, {rounded('score')} AS score FROM near",
-    "knn_neighbours_grid": f"""WITH scored AS (
+    "knn_neighbours_pivots": f"""WITH scored AS (
   SELECT q.vec_id AS query_id, b.vec_id AS base_id,
     round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS score
   FROM embeddings q, embeddings b)

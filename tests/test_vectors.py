@@ -1,11 +1,13 @@
 """Column statistics, scaling, neighbours and evaluation against numpy."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from retainframe.functions.vectors import cosine, fuse, norm, unit
 from retainframe.operators import column_stats as cs
+from retainframe.operators import neighbours as nb
 from retainframe.operators.evaluate import auc, classification_report, roc_points, vote
 from retainframe.operators.neighbours import nearest_neighbours
 from retainframe.operators.scaling import auto_scale, fit_yeo_johnson
@@ -115,6 +117,28 @@ def test_neighbours_match_brute_force(spark, strategy):
     assert {(r["query_id"], r["base_id"]): r["score"] for r in found.collect()} == pytest.approx(brute(queries, base, 10))
 
 
+def test_pivots_skip_far_groups_and_stay_exact(spark, monkeypatch):
+    centres = RNG.normal(size=(12, 8)) * 5
+    base = np.repeat(centres, 60, axis=0) + RNG.normal(size=(720, 8)) * 0.05
+    queries = np.repeat(centres, 5, axis=0) + RNG.normal(size=(60, 8)) * 0.05
+    sent = []
+    router = nb._router
+
+    def counting(pivots, rings, k, digits):
+        route = router(pivots, rings, k, digits)
+        table = pa.table({"query_id": range(60), "vector": [list(map(float, q)) for q in queries]})
+        sent.append((sum(len(p) for b in route(table.to_batches()) for p in b.column("pivots").to_pylist()), len(rings)))
+        return route
+
+    monkeypatch.setattr(nb, "_router", counting)
+    found = nearest_neighbours(
+        vectors(spark, queries, "query_id"), vectors(spark, base, "base_id"), 10, shared_side_bytes=0, block_bytes=40 * 8 * 8
+    )
+    assert {(r["query_id"], r["base_id"]): r["score"] for r in found.collect()} == pytest.approx(brute(queries, base, 10))
+    routes, groups = sent[0]
+    assert routes < 60 * groups / 2
+
+
 def test_neighbour_edge_cases(spark):
     base = vectors(spark, np.eye(3), "base_id")
     few = nearest_neighbours(vectors(spark, np.eye(3)[:1], "query_id"), base, 10)
@@ -122,6 +146,7 @@ def test_neighbour_edge_cases(spark):
     assert nearest_neighbours(vectors(spark, np.eye(3)[:1], "query_id"), base, 10, min_similarity=0.5).count() == 1
     none = nearest_neighbours(vectors(spark, np.eye(3)[:1], "query_id").where("query_id < 0"), base, 10, shared_side_bytes=0)
     assert none.count() == 0
+    assert nearest_neighbours(base.withColumnRenamed("base_id", "query_id"), base.where("base_id < 0"), 10, shared_side_bytes=-1).count() == 0
     with pytest.raises(ValueError):
         nearest_neighbours(vectors(spark, np.eye(3), "query_id").unionByName(vectors(spark, np.eye(2), "query_id")), base)
 
