@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import bind
+
 CHUNK_SIZE = 1500
 CHUNK_OVERLAP = 50
 
@@ -23,13 +25,15 @@ def fixed_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
     last stride that lies inside the previous chunk's overlap is not a chunk of its own.
     """
     stride = size - overlap
-    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), 0)
     count = F.greatest(F.ceil((F.length(text) - overlap) / F.lit(stride)).cast("int"), F.lit(1))
 
-    def chunk(piece: Column, i: Column) -> Column:
-        return F.concat(piece, F.coalesce(F.substring(F.get(pieces, i + 1), 1, overlap), F.lit("")))
+    def chunks(pieces: Column) -> Column:
+        def chunk(piece: Column, i: Column) -> Column:
+            return F.concat(piece, F.coalesce(F.substring(F.get(pieces, i + 1), 1, overlap), F.lit("")))
+
+        return F.transform(F.slice(pieces, F.lit(1), count), chunk)
 
-    return F.transform(F.slice(pieces, F.lit(1), count), chunk)
+    return bind(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), 0), chunks)
 
 
 def recursive_chunks(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, separators: Sequence[str] = SEPARATORS):

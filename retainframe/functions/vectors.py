@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import bind
+
 
 def as_doubles(vector: Column) -> Column:
     return vector.cast("array<double>")
@@ -22,8 +24,12 @@ def norm(vector: Column) -> Column:
 
 def unit(vector: Column) -> Column:
     """Length-one vector; the zero vector stays as it is."""
-    length = norm(vector)
-    return F.when(length > 0, F.transform(vector, lambda x: x / length)).otherwise(vector)
+
+    def scaled(pair: Column) -> Column:
+        v, length = pair["v"], pair["length"]
+        return F.when(length > 0, F.transform(v, lambda x: x / length)).otherwise(v)
+
+    return bind(bind(vector, lambda v: F.struct(v.alias("v"), norm(v).alias("length"))), scaled)
 
 
 def cosine(left: Column, right: Column) -> Column:

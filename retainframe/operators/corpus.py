@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import bind
 from ..functions.chunking import CHUNK_OVERLAP, CHUNK_SIZE, fixed_chunks, recursive_chunks
 from ..functions.markup import body_lines, document_piece, html_text
 from ..functions.strings import strip
@@ -109,8 +112,8 @@ def top_insights(
                 (F.col("score") == F.lit(last["score"])) & (F.col("key") > F.lit(last["key"]))
             )
             rest = rest.where(after)
-        for row in taken:
-            rest = rest.where(jaccard(own_words, _literal_words(row["words"])) < max_similarity)
+        if taken:
+            rest = rest.where(bind(own_words, lambda own: _unlike(own, taken, max_similarity)))
         best = rest.orderBy(F.desc("score"), "key").limit(batch)
         page = best.select("key", "score", own_words.alias("words")).collect()
         for row in page:
@@ -127,6 +130,11 @@ def top_insights(
     return chunks.where(F.col(key).isin([row["key"] for row in taken])).withColumn("insight_no", places)
 
 
+def _unlike(own: Column, taken: list, max_similarity: float) -> Column:
+    similar = (jaccard(own, _literal_words(row["words"])) >= max_similarity for row in taken)
+    return ~functools.reduce(operator.or_, similar)
+
+
 def _literal_words(values: Sequence[int]) -> Column:
     # one folded literal instead of an expression per word
     joined = ",".join(map(str, values))
