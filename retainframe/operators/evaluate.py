@@ -53,7 +53,7 @@ def classification_report(predictions: DataFrame, truth: str = "true_label", pre
 
 
 def score_totals(
-    predictions: DataFrame, score: str, truth: str = "true_label", buckets: int = 512
+    predictions: DataFrame, score: str, truth: str = "true_label", buckets: int = 4096
 ) -> DataFrame:
     """Per distinct score: positives and negatives there, and how many lie above it.
 

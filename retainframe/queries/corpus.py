@@ -13,7 +13,7 @@ from ..plans.corpus import clean_corpus, corpus_chunks, insights, retrieve
 from . import inputs
 from .inputs import table, tidy
 
-RETRIEVAL_THRESHOLD = 0.2
+RETRIEVAL_THRESHOLD = 0.05
 
 # ---------------------------------------------------------------- Spark
 
@@ -88,8 +88,8 @@ def chunks_of_corpus(spark, sf_dir):
 
 
 def corpus_retrieve(spark, sf_dir):
-    """Chunks that resemble the shortest benchmark passage."""
-    query = table(spark, sf_dir, "benchmark").agg(F.min_by("text", F.struct(F.length("text"), "item_id"))).first()[0]
+    """Chunks that resemble the longest benchmark passage."""
+    query = table(spark, sf_dir, "benchmark").agg(F.max_by("text", F.struct(F.length("text"), "item_id"))).first()[0]
     return tidy(retrieve(pages(spark, sf_dir), inputs.lines(spark, sf_dir), query, 50, RETRIEVAL_THRESHOLD))
 
 
