@@ -78,18 +78,27 @@ def _shape(side: DataFrame) -> tuple[int, int]:
 
 def _matrix(table: pa.Table) -> np.ndarray:
     """Unit rows; zero rows stay zero and so are similar to nothing."""
+    if not table.num_rows:
+        return np.zeros((0, 1))
     flat = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     vectors = flat.reshape(table.num_rows, -1)
     lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
     return vectors / np.where(lengths > 0, lengths, 1.0)
 
 
-def _top(queries: pa.Table, base: pa.Table, k: int, digits: int, schema: pa.Schema) -> pa.Table:
+def _prepared(table: pa.Table, id_column: str) -> tuple[pa.Table, np.ndarray]:
+    """Rows in id order without their vectors, and the unit vectors."""
+    table = table.sort_by(id_column)
+    return table.drop_columns("vector"), _matrix(table)
+
+
+def _top(
+    queries: tuple[pa.Table, np.ndarray], base: tuple[pa.Table, np.ndarray], k: int, digits: int, schema: pa.Schema
+) -> pa.Table:
     """Top k rows of one base block for each query of one query block."""
-    if not queries.num_rows or not base.num_rows:
+    (query_rows, q), (base_rows, b) = queries, base
+    if not query_rows.num_rows or not base_rows.num_rows:
         return schema.empty_table()
-    base = base.sort_by("base_id")
-    q, b = _matrix(queries), _matrix(base)
     step = max(1, SCORES_AT_ONCE // len(b))
     from_query, from_base, scores = [], [], []
     for start in range(0, len(q), step):
@@ -105,8 +114,8 @@ def _top(queries: pa.Table, base: pa.Table, k: int, digits: int, schema: pa.Sche
             from_query.append(np.full(len(chosen), start + i))
             from_base.append(chosen)
             scores.append(row[chosen])
-    picked = base.drop_columns("vector").take(pa.array(np.concatenate(from_base)))
-    query_ids = queries.column("query_id").take(pa.array(np.concatenate(from_query)))
+    picked = base_rows.take(pa.array(np.concatenate(from_base)))
+    query_ids = query_rows.column("query_id").take(pa.array(np.concatenate(from_query)))
     return pa.table([query_ids, *picked.columns, pa.array(np.concatenate(scores))], schema=schema)
 
 
@@ -129,8 +138,10 @@ def _scan_queries(queries: DataFrame, base: DataFrame, k: int, digits: int, resu
     shared, schema = base.toArrow(), _arrow_schema(result)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prepared = _prepared(shared, "base_id")
         for batch in batches:
-            yield from _top(pa.Table.from_batches([batch]), shared, k, digits, schema).to_batches()
+            asked = _prepared(pa.Table.from_batches([batch]), "query_id")
+            yield from _top(asked, prepared, k, digits, schema).to_batches()
 
     return queries.mapInArrow(answer, result)
 
@@ -139,9 +150,10 @@ def _scan_base(queries: DataFrame, base: DataFrame, k: int, digits: int, result:
     shared, schema = queries.toArrow(), _arrow_schema(result)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = schema.empty_table()
+        best, asked = schema.empty_table(), _prepared(shared, "query_id")
         for batch in batches:
-            best = _merge([best, _top(shared, pa.Table.from_batches([batch]), k, digits, schema)], k)
+            rows = _prepared(pa.Table.from_batches([batch]), "base_id")
+            best = _merge([best, _top(asked, rows, k, digits, schema)], k)
         yield from best.to_batches()
 
     return base.mapInArrow(scan, result)
@@ -198,7 +210,7 @@ def _by_pivot(
     schema = _arrow_schema(result)
 
     def cell(q: pa.Table, b: pa.Table) -> pa.Table:
-        return _top(q.drop_columns(keys), b.drop_columns(keys), k, digits, schema)
+        return _top(_prepared(q.drop_columns(keys), "query_id"), _prepared(b.drop_columns(keys), "base_id"), k, digits, schema)
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, result)
 
