@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
+from .schemas import VISIT_FILES
 
 
 def read_csv(spark: SparkSession, path: str, columns: Mapping[str, str], header: list[str] | None = None) -> DataFrame:
@@ -39,6 +40,15 @@ def typed(rows: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFra
     return good, marked.where(F.size("misfits") > 0)
 
 
+def read_visit_tables(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The vehicle, member, purchase and visit tables of a folder of CSV files, and their rejected rows."""
+    good, rejected = {}, {}
+    for name, (file, columns, types) in VISIT_FILES.items():
+        rows = read_csv(spark, f"{folder.rstrip('/')}/{file}", columns)
+        good[name], rejected[name] = typed(rows, types) if types else (rows, rows.limit(0))
+    return good, rejected
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     """Result table as CSV; arrays become ``;``-joined strings."""
     flat = [

@@ -1,11 +1,14 @@
 """Review, publishing, reports and sources on hand-made rows."""
 
+from datetime import date
+
 import pytest
 
 from retainframe.operators import campaign as op
 from retainframe.plans.campaign import gated_queue, post_performance_report
+from retainframe.plans.churn import churn_features
 from retainframe.session import shared_dir
-from retainframe.sources.files import read_csv, rebuild_vectors, typed, write_csv, write_vectors
+from retainframe.sources.files import read_csv, read_visit_tables, rebuild_vectors, typed, write_csv, write_vectors
 from retainframe.sources.schemas import CONTENTS, MEMBER_COLUMNS, VISIT_COLUMNS
 from retainframe.sources.web import news_results, post_metric_rows, rejected_posts
 
@@ -123,6 +126,22 @@ def test_csv_with_original_headers(spark, tmp_path):
     assert tuple(read_csv(spark, str(tmp_path / "m.csv"), MEMBER_COLUMNS, ["VIN", "会员等级"]).first()) == ("v1", "金卡")
 
 
+def test_churn_features_from_csv_files(spark, tmp_path):
+    (tmp_path / "vehicle3.csv").write_text("VIN,车主性质,车型,family_name,x\nv1,,m1,family_2,1\nv2,公司,m2,family_1,1\n", encoding="utf-8")
+    (tmp_path / "member_info.csv").write_text("VIN,会员等级\nv1,金卡\nv1,金卡\nv9,银卡\n", encoding="utf-8")
+    visits = ["VIN,purchase_date,修理日期,公里数,修理类型"]
+    visits += [f"v1,2020-01-01,2020-{m:02d}-10,{m * 1000},普修A;首保" for m in (3, 5, 7)]
+    visits += ["v2,2020-01-01,2020-12-01,100,保养", "v2,2020-01-01,2020-13-01,100,保养", "v1,2020-01-01,2020-08-01,1,事故车"]
+    (tmp_path / "repare_maintain_info1.csv").write_text("\n".join(visits) + "\n", encoding="utf-8")
+    tables, rejected = read_visit_tables(spark, str(tmp_path))
+    found = churn_features(**tables, as_of=date(2021, 1, 1)).collect()
+    assert [r["entity_id"] for r in found] == ["v1"]
+    row = found[0]
+    assert (row["owner_type"], row["member_level"], row["all_times"], row["day_diff_median"]) == ("个人", "金卡", 3, 61.0)
+    assert (row["last_visit_types"], row["mile_diff_mean"], row["churn_label"]) == (["普通维修", "首次保养"], 7000 / 3, 0)
+    assert rejected["visits"].count() == 1 and rejected["vehicles"].count() == 0
+
+
 def test_csv_sink_joins_lists(spark):
     path = shared_dir(spark, "csv")
     write_csv(spark.createDataFrame([("a", ["x", "y"])], "k string, t array<string>"), path)
