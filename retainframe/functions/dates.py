@@ -27,9 +27,10 @@ def age_in_years(as_of: Column, since: Column) -> Column:
     return F.ceil(day_gap(as_of, since) / F.lit(365)).cast("int")
 
 
-def parse_date(text: Column, fmt: str | None = None) -> Column:
-    """Date of a string; null, not an error, when the text is no date."""
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("date") if fmt else text.try_cast("date")
+def parse_date(text: Column) -> Column:
+    """Date of ``2020-1-5``, ``2020/01/05`` or ``20200105``, with or without a time; null otherwise."""
+    compact = F.regexp_replace(text, r"^\s*(\d{4})(\d{2})(\d{2})\b", "$1-$2-$3")
+    return F.translate(compact, "/", "-").try_cast("date")
 
 
 def parse_timestamp(text: Column) -> Column:

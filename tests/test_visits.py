@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from retainframe.functions.dates import shift_days, shift_months
+from retainframe.functions.dates import parse_date, shift_days, shift_months
 from retainframe.functions.strings import natural_sort, pack_key, unpack_key
 from retainframe.operators import intervals as iv
 from retainframe.operators.features import stratified_split
@@ -111,6 +111,13 @@ def test_moments(spark):
     assert days == datetime(2020, 2, 11, 0, 30)
 
 
+def test_date_forms(spark):
+    texts = ["2020-01-05", "2020/1/5", "20200105", "2020/01/05 10:30", "2020-01-05T10:30:00", " 2020-1-5 ", "2020-13-05", "x", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = [r[0] for r in rows.orderBy("i").select(parse_date(F.col("t"))).collect()]
+    assert found == [date(2020, 1, 5)] * 6 + [None] * 4
+
+
 def profile_tables(spark, entities):
     vehicles = spark.createDataFrame([(e, None, "m", "family_1") for e in entities], "entity_id string, owner_type string, car_mode string, car_level string")
     members = spark.createDataFrame([("zz", "gold")], "entity_id string, member_level string")
