@@ -5,13 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding
+from retainframe.session import shared_dir
+
+from . import bpe, sharding, simhash, warc
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 SHARDS = 40
 
 
+def op2_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archives."""
+    pages = table(spark, sf_dir, "pages")
+    read = warc.read_archives(warc.write_archives(pages, shared_dir(spark, "warc")), with_payload=False)
+    return read.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), g AS (
+  SELECT h, max(page_id) AS last FROM p GROUP BY h HAVING count(*) > 1
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+    (((instr('0123456789abcdef', substr(p.h, (5 * i) // 4 + 1, 1)) - 1) * 16
+      + instr('0123456789abcdef', substr(p.h || '0', (5 * i) // 4 + 2, 1)) - 1) >> (3 - (5 * i) % 4)) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+  CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM p LEFT JOIN g ON p.h = g.h"""
+
+
+def op5_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=3, distance=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op9_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes."""
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
@@ -24,7 +54,9 @@ def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_zip_archives": op2_zip_archives,
+    "op5_simhash_pigeonhole": op5_simhash_pigeonhole,
     "op9_sampled_splitters": op9_sampled_splitters,
     "op10_bpe_segment_tree": op10_bpe_segment_tree,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL}
