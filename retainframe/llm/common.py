@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from retainframe.session import shared_dir
@@ -32,7 +33,7 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose texts take about ``limit`` bytes, one row at least."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     start, held = 0, 0
     for i, n in enumerate(sizes):
         if i > start and held + n > limit:

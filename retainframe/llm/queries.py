@@ -7,13 +7,28 @@ from pyspark.sql import functions as F
 
 from retainframe.session import shared_dir
 
-from . import bpe, sharding, simhash, warc
+from . import bpe, quality, sharding, simhash, toxicity, warc
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 SHARDS = 40
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the verdict of the trained model for every document."""
+    documents = table(spark, sf_dir, "documents")
+    return quality.quality_table(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
+
+
+def op4_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels of three folds of four."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit(documents, labels.where(~held_out))
+    scored = toxicity.score(documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back from the archives."""
     pages = table(spark, sf_dir, "pages")
@@ -54,6 +69,8 @@ def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op4_noisy_channel": op4_noisy_channel,
     "op2_zip_archives": op2_zip_archives,
     "op5_simhash_pigeonhole": op5_simhash_pigeonhole,
     "op9_sampled_splitters": op9_sampled_splitters,
