@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retainframe.session import shared_dir
 
-from . import bpe, quality, sharding, simhash, toxicity, warc
+from . import bpe, positional, quality, secrets, sharding, simhash, toxicity, warc
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -57,6 +57,45 @@ def op5_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op3_entropy_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base patterns and windows of high entropy."""
+    found = secrets.secret_table(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] < 3)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), "n_entropy")
+
+
+def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark phrases of ten words in every document."""
+    found = positional.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, w, least(10, len(w)) AS n FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark) WHERE len(w) > 0
+), bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s : s + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM b)
+), dw AS (
+  SELECT r, s, n, array_to_string(w[s : s + n - 1], ' ') AS g
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM b) WHERE len(w) >= n)
+), hit AS (
+  SELECT r, s, dw.n, item_id FROM dw JOIN bw ON dw.g = bw.g AND dw.n = bw.n
+), h AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r
+), i AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)"""
+
+
 def op9_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes."""
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
@@ -72,8 +111,10 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_noisy_channel": op4_noisy_channel,
     "op2_zip_archives": op2_zip_archives,
+    "op3_entropy_windows": op3_entropy_windows,
+    "op8_positional_index": op8_positional_index,
     "op5_simhash_pigeonhole": op5_simhash_pigeonhole,
     "op9_sampled_splitters": op9_sampled_splitters,
     "op10_bpe_segment_tree": op10_bpe_segment_tree,
 }
-SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL}
+SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL, "op8_positional_index": OP8_SQL}
