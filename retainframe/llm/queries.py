@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retainframe.session import shared_dir
 
-from . import bpe, positional, quality, secrets, sharding, simhash, toxicity, warc
+from . import bpe, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -64,6 +64,35 @@ def op3_entropy_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), "n_entropy")
 
 
+def op7_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings of 50 bytes in documents with smaller ids cover."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False).drop("spans", "kept")
+
+
+OP7_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), p AS (
+  SELECT r, doc_id, i, substr(x, 2 * i + 1, 100) AS g FROM (SELECT *, unnest(range(greatest(0, length(x) // 2 - 49))) AS i FROM d)
+), m AS (
+  SELECT g, min(doc_id) AS least FROM p GROUP BY g HAVING min(doc_id) <> max(doc_id) OR bool_or(doc_id IS NULL)
+), s AS (
+  SELECT r, i FROM p JOIN m USING (g) WHERE least < coalesce(doc_id, 9223372036854775807)
+), c AS (
+  SELECT DISTINCT r, i + k AS b FROM s, (SELECT unnest(range(50)) AS k)
+), runs AS (
+  SELECT r, min(b) AS a, max(b) + 1 AS e FROM (SELECT r, b, b - row_number() OVER (PARTITION BY r ORDER BY b) AS run FROM c) GROUP BY r, run
+), gaps AS (
+  SELECT r, a AS until, coalesce(lag(e) OVER w, 0) AS since, e FROM runs WINDOW w AS (PARTITION BY r ORDER BY a)
+), kept AS (
+  SELECT r, sum(gaps.e - until) AS n_removed, count(*) AS n_spans, string_agg(substr(x, 2 * since + 1, 2 * (until - since)), '' ORDER BY since) || substr(any_value(x), 2 * max(gaps.e) + 1) AS y
+  FROM gaps JOIN d USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(y, x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
 def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark phrases of ten words in every document."""
     found = positional.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -112,9 +141,10 @@ QUERIES = {
     "op4_noisy_channel": op4_noisy_channel,
     "op2_zip_archives": op2_zip_archives,
     "op3_entropy_windows": op3_entropy_windows,
+    "op7_suffix_sort": op7_suffix_sort,
     "op8_positional_index": op8_positional_index,
     "op5_simhash_pigeonhole": op5_simhash_pigeonhole,
     "op9_sampled_splitters": op9_sampled_splitters,
     "op10_bpe_segment_tree": op10_bpe_segment_tree,
 }
-SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL, "op8_positional_index": OP8_SQL}
+SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL, "op7_suffix_sort": OP7_SQL, "op8_positional_index": OP8_SQL}
