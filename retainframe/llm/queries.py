@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retainframe.session import shared_dir
 
-from . import bpe, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
+from . import bpe, lines, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -64,6 +64,12 @@ def op3_entropy_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), "n_entropy")
 
 
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that are near copies of earlier ones."""
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op7_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that strings of 50 bytes in documents with smaller ids cover."""
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False).drop("spans", "kept")
@@ -141,6 +147,7 @@ QUERIES = {
     "op4_noisy_channel": op4_noisy_channel,
     "op2_zip_archives": op2_zip_archives,
     "op3_entropy_windows": op3_entropy_windows,
+    "op6_fuzzy_lines": op6_fuzzy_lines,
     "op7_suffix_sort": op7_suffix_sort,
     "op8_positional_index": op8_positional_index,
     "op5_simhash_pigeonhole": op5_simhash_pigeonhole,
