@@ -125,6 +125,6 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text"
     hit = found.select("row", F.explode(F.sequence("first", "last")).alias("pos")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
     ids = found.select("row", "item").distinct().join(shared(index.items.select("item", "item_id").distinct()), "item")
     items = ids.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    ends = index.postings.where("term = -1").select("row", F.col("key").alias(key), F.col("pos").cast("long").alias("n_words"))
+    ends = index.postings.where("term = -1").select("row", "key", F.col("pos").cast("long").alias("n_words"))
     out = ends.join(hit, "row", "left").join(items, "row", "left")
-    return out.select(key, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")).withColumn("contaminated", F.col("n_hit") > 0)
+    return out.select(F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")).withColumn("contaminated", F.col("n_hit") > 0)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import keep, mix
 from .components import components
 
 BITS, SEED = 64, 42
@@ -35,7 +35,7 @@ BITS, SEED = 64, 42
 PARTS, PAIRED = 3, 64
 
 
-def shingle_hashes(text: str | None, words_each: int) -> np.ndarray:
+def shingle_hashes(text: str | None, words_each: int, seed: int = SEED) -> np.ndarray:
     """XXH64 of every run of words, lower-cased in A-Z and joined by one space; repeats included."""
     words = text.encode().lower().split() if text else []
     if not words:
@@ -44,12 +44,15 @@ def shingle_hashes(text: str | None, words_each: int) -> np.ndarray:
     ends = list(accumulate(len(w) + 1 for w in words))
     starts = [0, *ends]
     whole, last = xxhash.xxh64_intdigest, min(words_each, len(words)) - 1
-    return np.fromiter((whole(line[starts[i] : ends[i + last] - 1], SEED) for i in range(n)), dtype=np.uint64, count=n)
+    return np.fromiter((whole(line[starts[i] : ends[i + last] - 1], seed) for i in range(n)), dtype=np.uint64, count=n)
 
 
-def fingerprint(text: str | None, words_each: int) -> int:
+def fingerprint(text: str | None, words_each: int, seed: int = SEED) -> int:
     """Bits that are set in over half of the shingle hashes, as a signed 64-bit number."""
-    hashes = shingle_hashes(text, words_each)
+    return majority(shingle_hashes(text, words_each, seed))
+
+
+def majority(hashes: np.ndarray) -> int:
     counts = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(hashes), 1 << 14):
         part = hashes[i : i + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -163,28 +166,33 @@ def _keys(groups: list[list[int]], flips: list[int]) -> Column:
 
 
 def links(fps: DataFrame, distance: int = 2, parts: int = PARTS, paired: int = PAIRED) -> DataFrame:
-    """(a, b): links whose components are those of all pairs of different fingerprints within the distance."""
+    """(tab, a, b): links whose components are those of all pairs of different fingerprints within the distance.
+
+    With a column ``tab`` in ``fps``, fingerprints are compared within one value of it only.
+    """
     if not 0 <= distance <= 2:
         raise ValueError("distances of 0 to 2 bits are supported")
-    fps = keep(fps.select("fp").distinct(), "fingerprints")
+    fps = keep((fps if "tab" in fps.columns else fps.withColumn("tab", F.lit(0))).select("tab", "fp").distinct(), "fingerprints")
     groups, thresholds = plan(fps, distance, parts)
     probed = any(t > 0 for t in thresholds)
-    index = fps.select("fp", _keys(groups, [min(t, 0) for t in thresholds]).alias("x")).select("fp", "x.*")
-    probe = fps.select("fp", _keys(groups, thresholds).alias("x")).select("fp", "x.*") if probed else index
-    sizes = keep(index.groupBy("part", "value").agg(F.count("*").alias("n")).where("n > 1" if not probed else "n > 0"), "buckets")
+    at = ["tab", "part", "value"]
+    index = fps.select("tab", "fp", _keys(groups, [min(t, 0) for t in thresholds]).alias("x")).select("tab", "fp", "x.*")
+    probe = fps.select("tab", "fp", _keys(groups, thresholds).alias("x")).select("tab", "fp", "x.*") if probed else index
+    sizes = keep(index.groupBy(*at).agg(F.count("*").alias("n")).where("n > 1" if not probed else "n > 0"), "buckets")
     small, hot = sizes.where(F.col("n") <= paired).drop("n"), sizes.where(F.col("n") > paired).drop("n")
-    left = keep(index.join(small, ["part", "value"]), "bucket-index").select("part", "value", F.col("fp").alias("a"))
-    right = (keep(probe.join(small, ["part", "value"]), "bucket-probes") if probed else left.withColumnRenamed("a", "fp")).select("part", "value", F.col("fp").alias("b"))
+    left = keep(index.join(small, at), "bucket-index").select(*at, F.col("fp").alias("a"))
+    right = (keep(probe.join(small, at), "bucket-probes") if probed else left.withColumnRenamed("a", "fp")).select(*at, F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    found = left.join(right, ["part", "value"]).where(near & ((F.col("a") < F.col("b")) if not probed else (F.col("a") != F.col("b")))).select("a", "b")
-    crowd = probe.join(hot, ["part", "value"], "left_semi").select("fp").distinct()
+    found = left.join(right, at).where(near & ((F.col("a") < F.col("b")) if not probed else (F.col("a") != F.col("b")))).select("tab", "a", "b")
+    crowd = probe.join(hot, at, "left_semi").select("tab", "fp").distinct()
     if distance == 2:
-        points = crowd.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in _masks(list(range(BITS)), 1)])).alias("point"))
-        lowest = keep(points.groupBy("point").agg(F.min("fp").alias("a"), F.max("fp").alias("last")).where("a != last").drop("last"), "points")
-        crowded = keep(points.repartition("point"), "crowd").join(lowest, "point").where("a != fp").select("a", F.col("fp").alias("b"))
+        points = crowd.select("tab", "fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in _masks(list(range(BITS)), 1)])).alias("point"))
+        points = keep(points.repartition("tab", "point"), "crowd")
+        lowest = keep(points.groupBy("tab", "point").agg(F.min("fp").alias("a"), F.max("fp").alias("last")).where("a != last").drop("last"), "points")
+        crowded = points.join(lowest, ["tab", "point"]).where("a != fp").select("tab", "a", F.col("fp").alias("b"))
     else:
-        points = crowd.select(F.col("fp").alias("a"), F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in _masks(list(range(BITS)), distance)[1:]] or [F.col("fp")])).alias("b"))
-        crowded = points.join(fps.withColumnRenamed("fp", "b"), "b", "left_semi").select("a", "b")
+        points = crowd.select("tab", F.col("fp").alias("a"), F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in _masks(list(range(BITS)), distance)[1:]] or [F.col("fp")])).alias("b"))
+        crowded = points.join(fps.withColumnRenamed("fp", "b"), ["tab", "b"], "left_semi").select("tab", "a", "b")
     return found.unionByName(crowded).distinct()
 
 
@@ -197,3 +205,64 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     least = keep(rooted.groupBy("root").agg(F.min("least").alias("component")), "least")
     named = keep(rooted.join(least, "root").select("fp", "component"), "named")
     return rows.join(named, "fp").select(F.col("key").alias(key), "fp", "component")
+
+
+# --- near copies above a similarity --------------------------------------------------------------------------
+
+#: Independent fingerprints of single words per text; words of a shingle and similarity that make two texts near copies.
+TABLES, SHINGLE_WORDS, SIMILARITY = 4, 5, 0.8
+
+
+def similarity(a: str | None, b: str | None, words_each: int = SHINGLE_WORDS) -> float:
+    """Jaccard similarity of the texts' sets of word shingles."""
+    x, y = np.unique(shingle_hashes(a, words_each)), np.unique(shingle_hashes(b, words_each))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+
+
+def near_copies(df: DataFrame, text: str = "text", key: str = "doc_id", tables: int = TABLES, words_each: int = SHINGLE_WORDS, least: float = SIMILARITY) -> DataFrame:
+    """``df`` without the near copies of rows with a smaller key (null last): one row of each group stays, all columns pass.
+
+    Fingerprints of single words barely move under small edits, so ``tables`` of them with different seeds find most
+    pairs above the similarity within two bits; what they link is verified by the exact similarity of shingles of
+    ``words_each`` words. Equal texts are one node and need no check. Texts without words are copies of each other.
+    """
+    row = "_row"
+    while row in df.columns:
+        row = f"_{row}"
+    numbered = keep(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    slim = numbered.select(F.col(row).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, fps = [], []
+            for t in batch.column("text"):
+                value = t.as_py() or ""
+                words = value.encode().lower().split()
+                names.append(xxhash.xxh3_128_digest(value) if words else b"")
+                known, number = np.unique(np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], dtype=np.uint64), return_inverse=True)
+                # a seed is one more mixing of the word's hash
+                fps.append([majority(mix(known + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))[number]) for k in range(tables)])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), pa.array(names, pa.binary()), pa.array(fps, pa.list_(pa.int64()))], names=["row", "key", "t", "fps"])
+
+    rows = keep(slim.mapInArrow(run, f"row bigint, key {slim.schema['key'].dataType.simpleString()}, t binary, fps array<bigint>"), "fingerprints")
+    texts = keep(rows.groupBy("t").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row")).alias("first"), F.first("fps").alias("fps")), "texts")
+    nodes = texts.where("t != X''").select(F.col("first.row").alias("node"), F.posexplode("fps").alias("tab", "fp"))
+    same = keep(nodes.groupBy("tab", "fp").agg(F.min("node").alias("least")), "same")
+    twins = keep(nodes, "nodes").join(same, ["tab", "fp"]).where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    at = lambda name: same.select("tab", F.col("fp").alias(name), F.col("least").alias(f"node_{name}"))
+    across = links(same).join(at("a"), ["tab", "a"]).join(at("b"), ["tab", "b"]).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    pairs = keep(twins.unionByName(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
+    bodies = keep(slim.join(wanted, "row").select("row", "text"), "bodies")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = pa.array([similarity(x.as_py(), y.as_py(), words_each) >= least for x, y in zip(batch.column("x"), batch.column("y"))], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
+
+    both = pairs.join(bodies.select(F.col("row").alias("a"), F.col("text").alias("x")), "a").join(bodies.select(F.col("row").alias("b"), F.col("text").alias("y")), "b")
+    roots = components(keep(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"), "near-copies"))
+    member = texts.select("first", F.col("first.row").alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stays = member.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return numbered.join(keep(stays, "stays"), row, "left_semi").drop(row)
