@@ -52,6 +52,11 @@ def classification_report(predictions: DataFrame, truth: str = "true_label", pre
     )
 
 
+def scored(predictions: DataFrame, score: str) -> DataFrame:
+    """The rows that have a score; the others are in no point of a curve and in no denominator."""
+    return predictions.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+
+
 def score_totals(
     predictions: DataFrame, score: str, truth: str = "true_label", buckets: int = 4096
 ) -> DataFrame:
@@ -59,9 +64,9 @@ def score_totals(
 
     Running totals over many scores are taken in two steps, so that no task sees all of them: cut
     points give each bucket its range of scores, bucket totals (at most ``buckets`` + 1 rows) give
-    the offset, and a window inside the bucket gives the rest.
+    the offset, and a window inside the bucket gives the rest. Rows without a score are left out.
     """
-    per_score = predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
+    per_score = scored(predictions, score).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(truth) == 1).alias("pos"), F.count_if(F.col(truth) == 0).alias("neg")
     )
     shares = [i / buckets for i in range(1, buckets)]
@@ -88,7 +93,7 @@ def score_totals(
 def roc_points(predictions: DataFrame, score: str, truth: str = "true_label") -> DataFrame:
     """(threshold, fpr, tpr) per distinct score plus the (0, 0) start, whose threshold is null."""
     totals = score_totals(predictions, score, truth)
-    overall = predictions.agg(
+    overall = scored(predictions, score).agg(
         F.count_if(F.col(truth) == 1).alias("all_pos"), F.count_if(F.col(truth) == 0).alias("all_neg")
     )
     positives = overall.select("all_pos").scalar()

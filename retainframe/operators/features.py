@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import age_in_years, day_gap, shift_days, shift_months
 from ..functions.strings import natural_sort
+from ..session import materialize
 from .intervals import first_second_columns, mark_inactive, numbered, spread_columns
 
-MAX_CLASSES = 1_000
-
 
 def visit_features(
     intervals: DataFrame, profile: DataFrame, split: Column, as_of: date, inactive: str = "drop"
@@ -79,24 +78,10 @@ def stratified_split(
         F.round(F.sum("n").over(Window.partitionBy("label")) * F.lit(valid_fraction)).cast("bigint").alias("quota"),
     )
     crossing = totals.where((F.col("before") < F.col("quota")) & (F.col("upto") >= F.col("quota")))
-    starts = crossing.limit(MAX_CLASSES + 1).collect()
-    if len(starts) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    if not starts:
-        return rows.withColumn("dataset", F.lit("train"))
-
-    in_crossing = F.lit(False)
-    needed = F.lit(None).cast("bigint")
-    for row in starts:
-        hit = F.col("label").eqNullSafe(F.lit(row["label"])) & F.col("place").startswith(row["start"])
-        in_crossing = in_crossing | hit
-        needed = F.when(hit, F.lit(row["quota"] - row["before"])).otherwise(needed)
-    ranked = hashed.where(in_crossing).select(
-        "label", "place", needed.alias("needed"),
-        F.row_number().over(Window.partitionBy("label").orderBy("place")).alias("rank"),
-    )
-    cuts = ranked.where(F.col("rank") == F.col("needed")).select("label", "place").collect()
-    valid = F.lit(False)
-    for row in cuts:
-        valid = valid | (F.col(label).eqNullSafe(F.lit(row["label"])) & (place <= F.lit(row["place"])))
-    return rows.withColumn("dataset", F.when(valid, "valid").otherwise("train"))
+    crossing = crossing.select(F.col("label").alias("class"), "start", (F.col("quota") - F.col("before")).alias("needed"))
+    # one row per class from here on, joined by Spark in the way their number asks for
+    inside = hashed.join(crossing, F.col("label").eqNullSafe(F.col("class")) & (F.substring("place", 1, prefix) == F.col("start")))
+    rank = F.row_number().over(Window.partitionBy("class").orderBy("place"))
+    cuts = materialize(inside.withColumn("rank", rank).where(F.col("rank") == F.col("needed")).select(F.col("class").alias("_class"), F.col("place").alias("_cut")), "cuts")
+    marked = rows.join(cuts, F.col(label).eqNullSafe(F.col("_class")), "left")
+    return marked.withColumn("dataset", F.when(place <= F.col("_cut"), "valid").otherwise("train")).drop("_class", "_cut")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .column_stats import ColumnStats, profile_columns
 
-LAMBDA_RANGE = 2.0
+# Half steps to each side of the centre of a coarse pass; the centre moves until the best power lies inside.
+COARSE_REACH = 8
 
 
 def robust(x: Column, stats: ColumnStats) -> Column:
@@ -31,8 +32,8 @@ def yeo_johnson(x: Column, power: Column) -> Column:
 
 
 def power_grids(decimals: int = 4) -> list[tuple[float, int]]:
-    """(step, steps to each side) per pass: halves over the whole range, then one decimal more each."""
-    return [(0.5, 4)] + [(10.0 ** -d, 5 if d == 1 else 10) for d in range(1, decimals + 1)]
+    """(step, steps to each side) per pass: halves, moved on while the best is at the edge, then one decimal more each."""
+    return [(0.5, COARSE_REACH)] + [(10.0 ** -d, 5 if d == 1 else 10) for d in range(1, decimals + 1)]
 
 
 def fit_yeo_johnson(rows: DataFrame, columns: Sequence[str], decimals: int = 4) -> dict[str, float]:
@@ -41,31 +42,39 @@ def fit_yeo_johnson(rows: DataFrame, columns: Sequence[str], decimals: int = 4)
     A pass is one aggregation that scores a grid of powers for every column at once (a group is a
     column and a power, combined on the map side, so a few dozen rows are shuffled per task); the
     next pass refines the grid around the best one. The likelihood has a single peak, so this finds
-    the best power on the finest grid.
+    the best power on the finest grid; no range is set beforehand.
     """
     best = dict.fromkeys(columns, 0.0)
     values = F.array(*(F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)))
     exploded = rows.select(F.explode(values).alias("v")).select("v.i", "v.x").where(F.col("x").isNotNull())
-    x, power = F.col("x"), F.col("power")
-    for step, reach in power_grids(decimals):
-        grids = [
-            [p for p in (round(best[c] + j * step, 10) + 0.0 for j in range(-reach, reach + 1)) if abs(p) <= LAMBDA_RANGE]
-            for c in columns
-        ]
-        choices = F.array(*(F.array(*(F.lit(p) for p in grid)) for grid in grids))
+
+    def score_grids(grids: dict[str, list[float]]) -> dict[str, tuple[float, float]]:
+        """Best (likelihood, power) of each column's grid; a power that overflows does not count."""
+        x, power = F.col("x"), F.col("power")
+        choices = F.array(*(F.array(*(F.lit(p) for p in grids.get(c, []))).cast("array<double>") for c in columns))
         candidates = exploded.withColumn("power", F.explode(F.get(choices, F.col("i"))))
         scored = candidates.groupBy("i", "power").agg(
             F.count("x").alias("n"),
             F.var_pop(yeo_johnson(x, power)).alias("variance"),
             F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("tilt"),
         )
-        peak = dict.fromkeys(columns, -math.inf)
+        peak = {c: (-math.inf, best[c]) for c in grids}
         for row in sorted(scored.collect()):
             score = -math.inf
-            if row["variance"] > 0:
+            if row["variance"] is not None and 0 < row["variance"] < math.inf:
                 score = -row["n"] / 2 * math.log(row["variance"]) + (row["power"] - 1) * row["tilt"]
-            if score > peak[columns[row["i"]]]:
-                peak[columns[row["i"]]], best[columns[row["i"]]] = score, row["power"]
+            if score > peak[columns[row["i"]]][0]:
+                peak[columns[row["i"]]] = (score, row["power"])
+        return peak
+
+    for k, (step, reach) in enumerate(power_grids(decimals)):
+        moving = list(columns)
+        while moving:
+            found = score_grids({c: [round(best[c] + j * step, 10) + 0.0 for j in range(-reach, reach + 1)] for c in moving})
+            edge = [c for c in moving if abs(found[c][1] - best[c]) > (reach - 0.5) * step]
+            best.update({c: p for c, (_, p) in found.items()})
+            # the likelihood has one peak: at the edge of the coarse grid it still rises outwards
+            moving = edge if k == 0 else []
     return best
 
 

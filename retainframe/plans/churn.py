@@ -85,11 +85,9 @@ def knn_churn(
     train = vectors.where(F.col("dataset") == "train").select(F.col(key).alias("base_id"), "vector", F.col(label).alias("label"))
     valid = vectors.where(F.col("dataset") == "valid").select(F.col(key).alias("query_id"), "vector", F.col(label).alias("true_label"))
     neighbours = nearest_neighbours(valid.drop("true_label"), train, k, ["label"], min_similarity, **sizes)
-    # a query whose neighbours are all below min_similarity still gets its (zero) vote
-    votes = vote(neighbours, k=k, threshold=threshold)
+    # a row without a neighbour (none similar enough, no vector, no train rows) still gets its zero vote
     truth = valid.select("query_id", "true_label")
-    if min_similarity is not None:
-        votes = truth.select("query_id").join(votes, "query_id", "left").fillna(0, ["total_score", "pred_label"])
+    votes = truth.select("query_id").join(vote(neighbours, k=k, threshold=threshold), "query_id", "left").fillna(0, ["total_score", "pred_label"])
     return prediction_table(votes, truth)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,12 +30,16 @@ _FALLBACK: list[str] = []
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, laptops) it is a temporary folder of this process.
+    Only where that setting is absent and Spark runs in this process alone (tests, laptops) it is a temporary
+    folder of this process, removed at its end; on a cluster executors would each write to a disk of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _FALLBACK:
             _FALLBACK.append(tempfile.mkdtemp(prefix="retainframe-"))
+            atexit.register(shutil.rmtree, _FALLBACK[0], ignore_errors=True)
         base = _FALLBACK[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -46,3 +53,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors of a running session, where it is not installed on them."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="retainframe-package-")
+    path = shutil.make_archive(f"{folder}/retainframe", "zip", root, "retainframe")
+    spark.sparkContext.addPyFile(path)
