@@ -10,8 +10,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
-FINISH_ROWS = 20_000
+# Rows of a range that are read off directly, and how finely the sketch that proposes pivots is kept.
+FINISH_ROWS, ACCURACY = 20_000, 10_000
 PROFILE_SCHEMA = (
     "column string, n bigint, min double, max double, q1 double, median double, q3 double, iqr double, "
     "mean double, std_pop double, skew double, method string"
@@ -52,11 +52,17 @@ def scaling_method(low: float, high: float, iqr: float, skew: float | None) -> s
     return "standard"
 
 
+def finite(name: str) -> Column:
+    """The column as a double; NaN and infinities count as null."""
+    x = F.col(name).cast("double")
+    return F.when(F.abs(x) < math.inf, x)
+
+
 def profile_columns(rows: DataFrame, columns: Sequence[str]) -> list[ColumnStats]:
-    """Count, range, quartiles, moments and scaling method of each column (nulls skipped)."""
+    """Count, range, quartiles, moments and scaling method of each column (nulls, NaN and infinities skipped)."""
     measures = []
     for i, name in enumerate(columns):
-        x = F.col(name).cast("double")
+        x = finite(name)
         measures += [
             F.count(x).alias(f"n{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
             F.avg(x).alias(f"mean{i}"), F.stddev_pop(x).alias(f"std{i}"), F.skewness(x).alias(f"skew{i}"),
@@ -96,90 +102,100 @@ def quantile_ranks(n: int, shares: Iterable[float]) -> list[tuple[int, int, floa
     return ranks
 
 
+class _Range:
+    """An open interval of a column's values that holds some of the ranks asked for, with the rows below it and in it."""
+
+    def __init__(self, column: str, low: float, high: float, below: int, n: int, ranks: set[int]):
+        self.column, self.low, self.high, self.below, self.n, self.ranks = column, low, high, below, n, ranks
+
+    def inside(self) -> Column:
+        x = finite(self.column)
+        return (x > F.lit(self.low)) & (x < F.lit(self.high))
+
+
 def order_statistics(
     rows: DataFrame,
     ranks: dict[str, set[int]],
     ranges: dict[str, tuple[float, float, int]],
     finish_rows: int = FINISH_ROWS,
+    passes: list | None = None,
 ) -> dict[str, dict[int, float]]:
     """Exact values at zero-based ranks, without sorting a column or collecting it anywhere.
 
-    Each pass counts rows per equal-width bucket of the ranges still in question (a map-side
-    aggregate of at most BUCKETS rows per range), and narrows every rank to its bucket. A bucket
-    whose smallest and largest value agree, such as one very frequent value, is the answer at once.
-    What is left holds at most ``finish_rows`` rows per range and is read off directly.
+    A round proposes two pivots around each range's ranks from an approximate sketch, and then counts exactly what lies
+    below, at, between and above them. A rank at a pivot is found; the others go on in an open range without the
+    pivots, so every round narrows, and by the sketch's accuracy a range keeps a few thousandths of its rows. Ranges
+    of at most ``finish_rows`` rows are read off. ``passes`` collects one entry per pass over the rows.
     """
     found: dict[str, dict[int, float]] = defaultdict(dict)
-    # an open range: (column, low, high, rows in it) -> [(rank within the range, rank asked for)]
-    open_ranges = {}
-    for c, wanted in ranks.items():
-        low, high, n = ranges[c]
-        open_ranges[(c, low, high, n)] = [(r, r) for r in sorted(wanted)]
-    while open_ranges:
-        small = {k: v for k, v in open_ranges.items() if k[3] <= finish_rows}
+    done = passes if passes is not None else []
+    todo = [_Range(c, -math.inf, math.inf, 0, ranges[c][2], group) for c in ranks for group in _neighbouring(ranks[c])]
+    while todo:
+        small = [r for r in todo if r.n <= finish_rows]
         if small:
-            _pick_ranks(_counts_per_value(rows, list(small)), small, found)
-        large = {k: v for k, v in open_ranges.items() if k[3] > finish_rows}
-        open_ranges = _narrow(rows, large, found) if large else {}
+            done.append("read")
+            _read_off(rows, small, found)
+        todo = [r for r in todo if r.n > finish_rows]
+        if todo:
+            done += ["sketch", "count"]
+            todo = _narrowed(rows, todo, found)
     return found
 
 
-def _in_ranges(rows: DataFrame, keys: list[tuple], extra) -> DataFrame:
-    """One row per (range, value inside it); ``extra`` adds fields to the struct of a range."""
-    entries = []
-    for i, (c, low, high, _) in enumerate(keys):
-        x = F.col(c).cast("double")
-        inside = x.between(F.lit(low), F.lit(high))
-        entries.append(F.when(inside, F.struct(F.lit(i).alias("range"), x.alias("x"), *extra(x, low, high))))
-    # column by column, so that only the needed columns are read and nulls are dropped before the shuffle
-    exploded = rows.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-    return exploded.select("e.*")
-
-
-def _counts_per_value(rows: DataFrame, keys: list[tuple]) -> list:
-    inside = _in_ranges(rows, keys, lambda x, low, high: [])
-    return inside.groupBy("range", "x").agg(F.count(F.lit(1)).alias("n")).collect()
-
-
-def _pick_ranks(counts: list, open_ranges: dict, found: dict) -> None:
-    per_range = defaultdict(list)
-    for row in counts:
-        per_range[row["range"]].append((row["x"], row["n"]))
-    for i, (key, wanted) in enumerate(open_ranges.items()):
-        upto, values = 0, iter(sorted(per_range[i]))
+def _neighbouring(ranks: set[int]) -> list[set[int]]:
+    """Ranks next to each other share a range."""
+    out: list[set[int]] = []
+    for r in sorted(ranks):
+        if out and r - max(out[-1]) <= 1:
+            out[-1].add(r)
+        else:
+            out.append({r})
+    return out
+
+
+def _read_off(rows: DataFrame, ranges: list[_Range], found: dict) -> None:
+    entries = [F.when(r.inside(), F.struct(F.lit(i).alias("range"), finite(r.column).alias("x"))) for i, r in enumerate(ranges)]
+    exploded = rows.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
+    values = defaultdict(list)
+    for row in exploded.groupBy("range", "x").count().collect():
+        values[row["range"]].append((row["x"], row["count"]))
+    for i, r in enumerate(ranges):
+        upto, ordered = r.below, iter(sorted(values[i]))
         value = None
-        for inner, asked in wanted:
-            while upto <= inner:
-                value, n = next(values)
+        for rank in sorted(r.ranks):
+            while upto <= rank:
+                value, n = next(ordered)
                 upto += n
-            found[key[0]][asked] = value
-
-
-def _bucket(x: Column, low: float, high: float) -> Column:
-    width = (high - low) / BUCKETS
-    place = F.floor((x - F.lit(low)) / F.lit(width)) if width > 0 else F.lit(0)
-    return F.least(place.cast("int"), F.lit(BUCKETS - 1))
-
-
-def _narrow(rows: DataFrame, open_ranges: dict, found: dict) -> dict:
-    keys = list(open_ranges)
-    inside = _in_ranges(rows, keys, lambda x, low, high: [_bucket(x, low, high).alias("bucket")])
-    buckets = defaultdict(list)
-    counted = inside.groupBy("range", "bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
-    )
-    for row in counted.collect():
-        buckets[row["range"]].append((row["bucket"], row["low"], row["high"], row["n"]))
-    narrowed = defaultdict(list)
-    for i, key in enumerate(keys):
-        before, parts = 0, iter(sorted(buckets[i]))
-        _, low, high, n = next(parts)
-        for inner, asked in open_ranges[key]:
-            while inner >= before + n:
-                before += n
-                _, low, high, n = next(parts)
-            if low == high:
-                found[key[0]][asked] = low
-            else:
-                narrowed[(key[0], low, high, n)].append((inner - before, asked))
-    return dict(narrowed)
+            found[r.column][rank] = value
+
+
+def _narrowed(rows: DataFrame, ranges: list[_Range], found: dict) -> list[_Range]:
+    sketches = []
+    for i, r in enumerate(ranges):
+        slack = 2 * r.n / ACCURACY
+        shares = [max(0.0, (min(r.ranks) - r.below - slack) / r.n), min(1.0, (max(r.ranks) - r.below + 1 + slack) / r.n)]
+        sketches.append(F.percentile_approx(F.when(r.inside(), finite(r.column)), shares, ACCURACY).alias(f"p{i}"))
+    pivots = rows.agg(*sketches).first()
+    counts = []
+    for i, r in enumerate(ranges):
+        x = finite(r.column)
+        first, last = (F.lit(v) for v in pivots[f"p{i}"])
+        counts += [
+            F.count_if(r.inside() & (x < first)).alias(f"a{i}"), F.count_if(x == first).alias(f"b{i}"),
+            F.count_if((x > first) & (x < last)).alias(f"c{i}"), F.count_if((x == last) & (x > first)).alias(f"d{i}"),
+        ]
+    counted = rows.agg(*counts).first()
+    out = []
+    for i, r in enumerate(ranges):
+        first, last = pivots[f"p{i}"]
+        at = r.below
+        parts = [(r.low, first, counted[f"a{i}"]), (first, None, counted[f"b{i}"]), (first, last, counted[f"c{i}"]), (last, None, counted[f"d{i}"])]
+        parts.append((last, r.high, r.below + r.n - at - sum(n for _, _, n in parts)))
+        for low, high, n in parts:
+            here = {k for k in r.ranks if at <= k < at + n}
+            if here and high is None:
+                found[r.column].update(dict.fromkeys(here, low))
+            elif here:
+                out.append(_Range(r.column, low, high, at, n, here))
+            at += n
+    return out

@@ -54,6 +54,27 @@ def csv_source(spark, sf_dir):
     return tidy(good)
 
 
+def csv_documents(spark, sf_dir):
+    """Texts with quotes, commas and line breaks, written as CSV and read back."""
+    path = shared_dir(spark, "csv")
+    text = F.concat(F.lit('"'), "lang", F.lit('", '), "text", F.lit(' ""\n'))
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "source", text.alias("text")), path)
+    good, _ = typed(read_csv(spark, path, {"text": "body", "doc_id": "doc_id"}), {"doc_id": "bigint"})
+    return tidy(good)
+
+
+def csv_dates(spark, sf_dir):
+    """Dates and timestamps in several spellings, written as CSV, read back and typed."""
+    path = shared_dir(spark, "csv")
+    day = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy/MM/dd")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyyMMdd"))
+    moment = F.date_format(F.col("o_orderdate") + F.expr("make_dt_interval(0, 0, 0, o_orderkey % 86400)"), "yyyy-MM-dd HH:mm:ss")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", day.otherwise(F.date_format("o_orderdate", "yyyy-M-d")).alias("day"), moment.alias("moment"))
+    write_csv(orders, path)
+    rows = read_csv(spark, path, {"o_orderkey": "order_id", "day": "visit_date", "moment": "visit_time"}, multi_line=False)
+    good, _ = typed(rows, {"order_id": "bigint", "visit_date": "date", "visit_time": "timestamp"})
+    return tidy(good)
+
+
 def csv_rejects(spark, sf_dir):
     """Orders read as text, with the date missing its form in cancelled orders: the rejected rows."""
     text = table(spark, sf_dir, "orders").select(
@@ -173,6 +194,8 @@ def feature_table_sink(spark, sf_dir):
 
 QUERIES = {
     "csv_source": csv_source,
+    "csv_documents": csv_documents,
+    "csv_dates": csv_dates,
     "csv_rejects": csv_rejects,
     "profile_outer_fill": profile_outer_fill,
     "customer_profile": customer_profiles,
@@ -330,6 +353,9 @@ FROM labelled"""
 
 SQL = {
     "csv_source": f"SELECT c_custkey AS entity_id, c_mktsegment AS owner_type, {rounded('c_acctbal')} AS balance FROM customer",
+    "csv_documents": """SELECT doc_id, '"' || lang || '", ' || text || ' ""' || chr(10) AS body FROM documents""",
+    "csv_dates": """SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS visit_date,
+  o_orderdate + to_seconds(o_orderkey % 86400) AS visit_time FROM orders""",
     "csv_rejects": """SELECT o_orderkey AS order_id, strftime(o_orderdate, '%d.%m.%y') AS visit_date,
   'visit_date' AS misfits FROM orders WHERE o_orderstatus = 'F'""",
     "profile_outer_fill": f"WITH {PROFILE_SQL} SELECT * FROM filled WHERE car_mode IS NOT NULL AND car_level IS NOT NULL",

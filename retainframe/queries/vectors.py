@@ -34,6 +34,18 @@ def profile_of_columns(spark, sf_dir):
     return tidy(result)
 
 
+def profile_hard(spark, sf_dir):
+    """Columns with NaN and infinities, spread over many orders of magnitude, and with one very frequent value."""
+    events = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 97 == 0, F.lit(float("nan"))).when(F.col("event_id") % 89 == 0, F.lit(float("inf"))).when(F.col("event_id") % 83 == 0, F.lit(float("-inf"))).otherwise(F.col("value")).alias("broken"),
+        F.pow(F.lit(2.0), F.pmod(F.col("event_id") * 7919, F.lit(1999)) / 2 - 500).alias("spread"),
+        F.when(F.col("event_id") % 3 == 0, F.lit(5.0)).otherwise(F.col("event_id") / 2).alias("frequent"),
+    )
+    found = column_profile(events, ["broken", "spread", "frequent"])
+    relative = [F.col(c) if c in ("column", "n", "method") else F.signum(c) * F.log2(1 + F.abs(c)) for c in ("column", "n", "q1", "median", "q3")]
+    return tidy(found.select(*[e.alias(c) for e, c in zip(relative, ("column", "n", "q1", "median", "q3"))]))
+
+
 def scale_robust(spark, sf_dir):
     return tidy(auto_scale(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), ["n_chars"]))
 
@@ -182,6 +194,7 @@ def hybrid_churn_report(spark, sf_dir):
 
 QUERIES = {
     "column_profile": profile_of_columns,
+    "column_profile_hard": profile_hard,
     "scale_robust": scale_robust,
     "scale_standard": scale_standard,
     "scale_yeo_johnson": scale_yeo_johnson,
@@ -294,6 +307,16 @@ centres AS (
 
 SQL = {
     "column_profile": "\nUNION ALL ".join(profile_sql(*p) for p in PROFILED),
+    "column_profile_hard": "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count(x) AS n, {rounded('sign(quantile_cont(x, 0.25)) * log2(1 + abs(quantile_cont(x, 0.25)))')} AS q1,
+  {rounded('sign(quantile_cont(x, 0.5)) * log2(1 + abs(quantile_cont(x, 0.5)))')} AS median, {rounded('sign(quantile_cont(x, 0.75)) * log2(1 + abs(quantile_cont(x, 0.75)))')} AS q3
+FROM (SELECT {value} AS x FROM events) t"""
+        for name, value in (
+            ("broken", "CASE WHEN event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0 THEN value END"),
+            ("spread", "pow(2.0, ((event_id * 7919) % 1999) / 2.0 - 500)"),
+            ("frequent", "CASE WHEN event_id % 3 = 0 THEN 5.0 ELSE event_id / 2.0 END"),
+        )
+    ),
     "scale_robust": scale_sql("documents", "doc_id", "n_chars"),
     "scale_standard": scale_sql("lineitem", "l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber", "l_quantity"),
     "scale_yeo_johnson": scale_sql("events", "event_id", "value"),

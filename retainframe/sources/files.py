@@ -7,36 +7,50 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_date
+from ..functions.dates import parse_date, parse_timestamp
 from .schemas import VISIT_FILES
 
 
-def read_csv(spark: SparkSession, path: str, columns: Mapping[str, str], header: list[str] | None = None) -> DataFrame:
-    """Chosen columns of a CSV file under new names, all as strings.
+CORRUPT = "corrupt_record"
 
-    ``header`` is the full column list of the file; without it the first line is read for it.
-    Nothing is inferred from the data, types come from :func:`typed`.
+
+def read_csv(
+    spark: SparkSession, path: str, columns: Mapping[str, str], header: list[str] | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Chosen columns of a CSV file under new names, all as strings, and ``corrupt_record``.
+
+    ``header`` is the full column list of the file; without it the first line is read for it. Nothing is inferred
+    from the data, types come from :func:`typed`. Quotes are doubled inside quoted values. A line with too few or too
+    many values keeps its text in ``corrupt_record``, else that is null. ``multi_line=False`` lets Spark
+    split large files, for files known to have no line breaks inside quotes.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", False)
-    if header:
-        reader = reader.schema(", ".join(f"`{name}` string" for name in header))
-    return reader.csv(path).select(*(F.col(f"`{old}`").alias(new) for old, new in columns.items()))
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    names = header or reader.csv(path).columns
+    reader = reader.option("enforceSchema", header is None).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    # without column pruning every line is counted out, also for columns that are not asked for
+    reader = reader.option("columnPruning", False).schema(", ".join(f"`{name}` string" for name in [*names, CORRUPT]))
+    # Spark does not read the corrupt record alone, so it takes no characters of the first column along
+    nothing = F.left(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), F.lit(0))
+    return reader.csv(path).select(*(F.col(f"`{old}`").alias(new) for old, new in columns.items()), F.concat(F.col(CORRUPT), nothing).alias(CORRUPT))
 
 
 def typed(rows: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """(good, rejected): columns cast to ``types``; a row with a value that does not fit is rejected.
 
-    An empty value is a null, not a misfit. Rejected rows keep their strings and name the columns.
+    An empty value is a null, not a misfit. Rejected rows keep their strings and name the columns; a corrupt line
+    names ``corrupt_record``, which good rows do not have.
     """
 
     def cast(name: str):
-        return parse_date(F.col(name)) if types[name] == "date" else F.col(name).try_cast(types[name])
+        if types[name] == "date":
+            return parse_date(F.col(name))
+        return parse_timestamp(F.col(name)) if types[name] == "timestamp" else F.col(name).try_cast(types[name])
 
-    misfits = F.filter(
-        F.array(*(F.when(F.col(c).isNotNull() & cast(c).isNull(), F.lit(c)) for c in types)), lambda c: c.isNotNull()
-    )
+    corrupt = [F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT))] if CORRUPT in rows.columns else []
+    wrong = [F.when(F.col(c).isNotNull() & cast(c).isNull(), F.lit(c)) for c in types] + corrupt
+    misfits = F.filter(F.array(*wrong).cast("array<string>"), lambda c: c.isNotNull())
     marked = rows.withColumn("misfits", misfits)
-    good = marked.where(F.size("misfits") == 0).drop("misfits").withColumns({c: cast(c) for c in types})
+    good = marked.where(F.size("misfits") == 0).drop("misfits", CORRUPT).withColumns({c: cast(c) for c in types})
     return good, marked.where(F.size("misfits") > 0)
 
 
@@ -45,7 +59,7 @@ def read_visit_tables(spark: SparkSession, folder: str) -> tuple[dict[str, DataF
     good, rejected = {}, {}
     for name, (file, columns, types) in VISIT_FILES.items():
         rows = read_csv(spark, f"{folder.rstrip('/')}/{file}", columns)
-        good[name], rejected[name] = typed(rows, types) if types else (rows, rows.limit(0))
+        good[name], rejected[name] = typed(rows, types)
     return good, rejected
 
 
@@ -54,7 +68,8 @@ def write_csv(rows: DataFrame, path: str) -> None:
     flat = [
         F.array_join(name, ";").alias(name) if dtype == "array<string>" else F.col(name) for name, dtype in rows.dtypes
     ]
-    rows.select(*flat).write.mode("overwrite").option("header", True).csv(path)
+    writer = rows.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_table(rows: DataFrame, path: str) -> DataFrame:

@@ -20,9 +20,18 @@ def one(spark, text, column):
     return spark.createDataFrame([(text,)], "t string").select(column(F.col("t"))).first()[0]
 
 
+def test_visible_text_literal_cases(spark):
+    nav = "<nav>" + " ".join(f'<a href="/{x}"><span>{x}</span></a>' for x in ("Home", "News", "Shop", "Help")) + "</nav>"
+    assert one(spark, nav, html_text) == "\nHome News Shop Help\n"
+    assert one(spark, nav, lambda c: body_lines(html_text(c))) == ""
+    assert one(spark, "<p>a<b>b</b>c<path d='1'>d</p><pre>e</pre>", html_text) == "\nabcd\n\ne\n"
+    assert one(spark, "&#65;&#x42;&#39;&#38;lt; &mdash; &eacute; &unknown; &#0; 1 < 2", html_text) == "AB'&lt; \u2014 \u00e9 &unknown; \ufffd 1 < 2"
+    assert one(spark, "&#128512;&amp;#39;", html_text) == "\U0001f600&#39;"
+
+
 def test_html_to_text(spark):
     html = "<title>A &amp;lt; B</title><SCRIPT x='1'>if(a<b){}</SCRIPT><style>\np{}</style><!-- no\n --><p>x&nbsp;y<b>z</b></p><br/>1 &lt; 2"
-    assert one(spark, html, html_text) == "\nA &lt; B \nx\xa0y z  \n1 < 2"
+    assert one(spark, html, html_text) == "\nA &lt; B\n\nx\xa0yz\n\n1 < 2"
 
 
 def test_body_lines(spark):

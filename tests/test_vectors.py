@@ -24,8 +24,7 @@ def frame(spark, **columns):
 @pytest.mark.parametrize("finish_rows", [10, 100_000])
 def test_quantiles_match_numpy(spark, finish_rows, monkeypatch):
     monkeypatch.setattr(cs, "FINISH_ROWS", finish_rows)
-    monkeypatch.setattr(cs.order_statistics, "__defaults__", (finish_rows,))
-    monkeypatch.setattr(cs, "BUCKETS", 16)
+    monkeypatch.setattr(cs.order_statistics, "__defaults__", (finish_rows, None))
     a = np.exp(RNG.normal(size=3000) * 3)
     b = np.where(np.arange(3000) % 3 == 0, 5.0, RNG.normal(size=3000))  # a third of the rows are equal
     for s, values in zip(cs.profile_columns(frame(spark, a=a, b=b), ["a", "b"]), (a, b)):
@@ -189,3 +188,16 @@ def test_roc_of_many_scores_uses_all_buckets(spark):
     rows = spark.createDataFrame([(float(s), int(y)) for s, y in zip(score, label)], "s double, true_label int")
     pos, neg = score[label == 1], score[label == 0]
     assert auc(rows, "s").first()["auc"] == pytest.approx((pos[:, None] > neg).mean())
+
+
+def test_order_statistics_end_in_few_passes(spark):
+    from retainframe.operators.column_stats import order_statistics, profile_columns
+
+    rows = spark.range(100_000).selectExpr("pow(10D, (id * 7919 % 100003) / 100003D * 600D - 300D) AS x", "CASE WHEN id = 5 THEN double('NaN') WHEN id = 6 THEN double('Infinity') ELSE double(id) END AS y")
+    values = sorted(10.0 ** ((i * 7919 % 100003) / 100003.0 * 600 - 300) for i in range(100_000))
+    passes = []
+    got = order_statistics(rows, {"x": {0, 25_000, 50_000, 50_001, 99_999}}, {"x": (values[0], values[-1], 100_000)}, 2_000, passes)
+    assert len(passes) <= 3
+    assert all(abs(got["x"][r] / values[r] - 1) < 1e-9 for r in got["x"]) and len(got["x"]) == 5
+    (stats,) = profile_columns(rows, ["y"])
+    assert stats.n == 99_998 and stats.max == 99_999.0 and abs(stats.median - 50_000) < 2
