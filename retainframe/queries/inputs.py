@@ -169,30 +169,32 @@ def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Decisions: one per conversation, for the content of the same number. The wording follows from the
-# length of the first turn, and that turn's text is the reviewer's remark.
+# Decisions: every turn of a conversation, for the content of the same number; the turn is its place. The wording
+# follows from the length of the turn's text, and that text is the reviewer's remark.
 WORDINGS = ["approve", " YES ", "no", "approve but shorten: ", "disapprove: ", "", "Reject", "please say yes: "]
 DECISIONS_SQL = f"""
-first_turns AS (
-  SELECT conv_id, min_by(text, turn) AS remark FROM conversations GROUP BY 1),
 worded AS (
-  SELECT conv_id, remark, [{', '.join(repr(w) for w in WORDINGS)}][1 + length(remark) % {len(WORDINGS)}] AS wording
-  FROM first_turns),
-decisions AS (
-  SELECT CAST(conv_id AS VARCHAR) AS insight_id,
+  SELECT conv_id, turn, text AS remark, [{', '.join(repr(w) for w in WORDINGS)}][1 + length(text) % {len(WORDINGS)}] AS wording
+  FROM conversations),
+all_decisions AS (
+  SELECT CAST(conv_id AS VARCHAR) AS insight_id, turn,
     CASE WHEN wording LIKE '%: ' THEN wording || remark ELSE wording END AS decision,
     CASE WHEN wording = 'no' THEN remark END AS extra_feedback
-  FROM worded)"""
+  FROM worded),
+decisions AS (
+  SELECT insight_id, decision, extra_feedback FROM (
+    SELECT *, row_number() OVER (PARTITION BY insight_id ORDER BY turn DESC) AS back FROM all_decisions) t WHERE back = 1)"""
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("remark"))
+    turns = table(spark, sf_dir, "conversations").withColumn("remark", F.col("text"))
     wording = F.element_at(F.array(*(F.lit(w) for w in WORDINGS)), F.length("remark") % len(WORDINGS) + 1)
-    worded = first.withColumn("wording", wording)
+    worded = turns.withColumn("wording", wording)
     return worded.select(
         F.col("conv_id").cast("string").alias("insight_id"),
         F.when(F.col("wording").endswith(": "), F.concat("wording", "remark")).otherwise(F.col("wording")).alias("decision"),
         F.when(F.col("wording") == "no", F.col("remark")).alias("extra_feedback"),
+        F.col("turn").alias("place"),
     )
 
 
@@ -212,12 +214,12 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Posts: the events of a user as the metrics of one post: the latest event of each type gives one
-# entry of the post's JSON list, so the list is short however many events a user has. Views, signups
+# Posts: all events of a user in a calendar month as the metrics of one post, each event an entry of the post's
+# JSON list, in their order; the last entry of a name counts. Views, signups
 # and purchases give a number, clicks an object by type (nested for large values).
 METRICS_SQL = """
 metric_events AS (
-  SELECT user_id AS post_id, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, value AS amount,
+  SELECT user_id * 12 + month(ts) - 1 AS post_id, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, value AS amount,
     CASE event_type WHEN 'view' THEN 'impressions' WHEN 'signup' THEN 'reach'
       WHEN 'click' THEN 'clicks' WHEN 'purchase' THEN 'engagement' END AS measure
   FROM events),
@@ -245,10 +247,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.concat(F.lit('{"other clicks":5,"link click":'), k, F.lit("}")))
     value = F.when(kind == "click", clicks).otherwise(k)
     entry = F.concat(F.lit('{"name":"'), name, F.lit('","values":[{"value":'), value, F.lit("}]}"))
-    latest = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("post_id"), name.alias("name")).agg(
-        F.max("event_id").alias("event_id"), F.max_by(entry, "event_id").alias("entry")
-    )
+    post = F.col("user_id") * 12 + F.month("ts") - 1
     ordered = F.sort_array(F.collect_list(F.struct("event_id", "entry")))
-    return latest.groupBy("post_id").agg(
+    return table(spark, sf_dir, "events").select(post.alias("post_id"), "event_id", entry.alias("entry")).groupBy("post_id").agg(
         F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda x: x["entry"]), ","), F.lit("]")).alias("metrics")
     )
