@@ -37,7 +37,7 @@ from .common import BASE, RollingHash, chunks, keep, mix, powers
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text in a block, and of texts per hash bucket (which hold a sixteenth of it as anchors).
-BLOCK_BYTES, BUCKET_BYTES = 2 << 20, 32 << 20
+BLOCK_BYTES, BUCKET_BYTES = 2 << 20, 16 << 20
 LAST = np.iinfo(np.int64).max  # the rank of a null key
 
 
@@ -45,56 +45,76 @@ LAST = np.iinfo(np.int64).max  # the rank of a null key
 
 
 class Suffixes:
-    """Suffixes of ``data`` compared on their first ``length`` bytes, within segments."""
+    """Suffixes of ``data`` compared on their first ``length`` bytes (16 or more), within segments.
+
+    Segments are cut finer by the first 16 bytes at the outset; the mergesort orders what these leave equal.
+    """
 
     def __init__(self, data: np.ndarray, at: np.ndarray, segment: np.ndarray, length: int):
-        self.data, self.at, self.segment, self.length = data, at, segment, length
-        self.hash = RollingHash(data)
+        self.data, self.at, self.length = data, at, length
+        lead = [np.zeros(len(at), dtype=np.uint64) for _ in range(2)]
+        for k in range(16):
+            lead[k // 8] = lead[k // 8] << np.uint64(8) | data[at + k]
+        self.order = np.lexsort((lead[1], lead[0], segment))
+        keys = [x[self.order] for x in (segment, *lead)]
+        new = np.logical_or.reduce([np.concatenate([[True], k[1:] != k[:-1]]) for k in keys]) if len(at) else np.empty(0, bool)
+        self.segment = np.empty(len(at), dtype=np.int64)
+        self.segment[self.order] = np.cumsum(new)
+        hashes = RollingHash(data)
+        self.prefix, self.back = hashes.prefix, hashes.back[at]
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the common extension of suffixes a and b: binary search on prefix hashes."""
-        x, y = self.at[a], self.at[b]
-        low, high = np.zeros(len(a), dtype=np.int64), np.full(len(a), self.length)
+        """Length of the common extension of suffixes a and b of one segment: binary search on prefix hashes."""
+        x, y, u, v = self.at[a], self.at[b], self.back[a], self.back[b]
+        p, q = self.prefix[x], self.prefix[y]
+        low, high = np.full(len(a), 16), np.full(len(a), self.length)
         while (low < high).any():
             mid = (low + high + 1) // 2
-            same = self.hash.of(x, x + mid) == self.hash.of(y, y + mid)
+            same = (self.prefix[x + mid] - p) * u == (self.prefix[y + mid] - q) * v
             low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
         return low
 
     def before(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether suffix a sorts before suffix b."""
-        k = self.common(a, b)
-        inside = k < self.length
-        x, y = self.at[a] + np.where(inside, k, 0), self.at[b] + np.where(inside, k, 0)
-        less = inside & (self.data[x] < self.data[y])
-        return np.where(self.segment[a] == self.segment[b], less, self.segment[a] < self.segment[b])
+        out = self.segment[a] < self.segment[b]
+        tie = np.flatnonzero(self.segment[a] == self.segment[b])
+        if len(tie):
+            a, b = a[tie], b[tie]
+            k = self.common(a, b)
+            inside = k < self.length
+            k = np.where(inside, k, 0)
+            out[tie] = inside & (self.data[self.at[a] + k] < self.data[self.at[b] + k])
+        return out
+
+    def _search(self, order: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray, after_equal: np.ndarray) -> np.ndarray:
+        """Place of each item in the sorted run order[low:high], before or after its equals."""
+        low, high = low.copy(), high.copy()
+        while len(w := np.flatnonzero(low < high)):
+            mid = (low[w] + high[w]) // 2
+            goes = np.empty(len(w), dtype=bool)
+            late = after_equal[w]
+            goes[~late] = self.before(order[mid[~late]], item[w][~late])
+            goes[late] = ~self.before(item[w][late], order[mid[late]])
+            low[w], high[w] = np.where(goes, mid + 1, low[w]), np.where(goes, high[w], mid)
+        return low
 
     def sort(self) -> np.ndarray:
-        """Bottom-up mergesort; the runs of one level are merged together, each element by its rank in the other run."""
-        order, n, width = np.argsort(self.segment, kind="stable"), len(self.at), 1
+        """Bottom-up mergesort; the runs of one level are merged together, where they overlap, each element by its rank in the other run."""
+        order, n, width = self.order.copy(), len(self.at), 1
         while width < n:
-            left = np.arange(0, n - width, 2 * width)
-            pending = self.before(order[left + width], order[left + width - 1])  # others are in order already
-            left = left[pending]
-            if len(left):
-                middle, end = left + width, np.minimum(left + 2 * width, n)
+            middle = np.arange(width, n, 2 * width)
+            middle = middle[self.before(order[middle], order[middle - 1])]  # other runs are in order already
+            if len(middle):
+                yes = np.ones(len(middle), dtype=bool)
+                left = self._search(order, middle - width, middle, order[middle], yes)
+                end = self._search(order, middle, np.minimum(middle + width, n), order[middle - 1], ~yes)
                 sizes = end - left
                 run = np.repeat(np.arange(len(left)), sizes)
                 place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + left[run]
                 first = place < middle[run]
-                low = np.where(first, middle[run], left[run])
-                base, high = low.copy(), np.where(first, end[run], middle[run])
-                while (open_ := low < high).any():
-                    w = np.flatnonzero(open_)
-                    mid = (low[w] + high[w]) // 2
-                    other, own = order[mid], order[place[w]]
-                    # from the left run: others strictly before; from the right run: others before or equal
-                    goes = np.where(first[w], self.before(other, own), ~self.before(own, other))
-                    low[w], high[w] = np.where(goes, mid + 1, low[w]), np.where(goes, high[w], mid)
-                target = np.where(first, place + (low - base), left[run] + (place - middle[run]) + (low - base))
-                merged = order.copy()
-                merged[target] = order[place]
-                order = merged
+                rank = self._search(order, np.where(first, middle[run], left[run]), np.where(first, end[run], middle[run]), order[place], ~first)
+                target = np.where(first, place + rank - middle[run], place - middle[run] + rank)
+                order[target] = order[place]
             width *= 2
         return order
 
@@ -105,7 +125,8 @@ class Suffixes:
         for i in range(1, len(order), 1 << 16):
             a, b = order[i - 1 : i - 1 + (1 << 16)], order[i : i + (1 << 16)]
             a = a[: len(b)]
-            hit = np.flatnonzero((self.segment[a] == self.segment[b]) & (self.common(a, b) == self.length))
+            hit = np.flatnonzero(self.segment[a] == self.segment[b])
+            hit = hit[self.common(a[hit], b[hit]) == self.length]
             exact = (self.data[self.at[a[hit], None] + span] == self.data[self.at[b[hit], None] + span]).all(axis=1)
             same[i + hit[exact]] = True
         return np.cumsum(~same) - 1
