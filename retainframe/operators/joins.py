@@ -6,32 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _salted(rows: DataFrame, keys: DataFrame, key: str, how: str, spread_by: str, salts: int) -> DataFrame:
-    # A hot key is split over `salts` tasks by another column; the key list, one row per key, is
-    # repeated once per salt. Where the list is small Spark broadcasts it and the salt costs nothing.
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
-    salted_keys = (
-        keys.select(key).distinct()
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    )
-    return salted_rows.join(salted_keys, [key, "_salt"], how).drop("_salt")
+def keep_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs in ``keys`` (semi join).
 
-
-def keep_keys(rows: DataFrame, keys: DataFrame, key: str, spread_by: str, salts: int = 8) -> DataFrame:
-    """Rows whose key occurs in ``keys`` (semi join)."""
-    return _salted(rows, keys, key, "left_semi", spread_by, salts)
+    Both sides reach the join as they are, repeated keys included: then adaptive execution can split a key that holds
+    many rows into as many tasks as its size asks for, and the other side is read up to its first match only.
+    """
+    return rows.join(keys.select(key), key, "left_semi")
 
 
-def drop_keys(rows: DataFrame, keys: DataFrame, key: str, spread_by: str, salts: int = 8) -> DataFrame:
+def drop_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not occur in ``keys`` (anti join)."""
-    return _salted(rows, keys, key, "left_anti", spread_by, salts)
+    return rows.join(keys.select(key), key, "left_anti")
 
 
-def drop_entities_matching(
-    rows: DataFrame, key: str, column: str, pattern: str, spread_by: str, salts: int = 8
-) -> DataFrame:
+def drop_entities_matching(rows: DataFrame, key: str, column: str, pattern: str) -> DataFrame:
     """Remove every row of an entity that has at least one row matching ``pattern``."""
-    return drop_keys(rows, rows.where(F.col(column).rlike(pattern)), key, spread_by, salts)
+    return drop_keys(rows, rows.where(F.col(column).rlike(pattern)), key)
 
 
 def drop_rows_matching(rows: DataFrame, column: str, pattern: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import campaign as op
 from ..plans.campaign import gated_queue, post_performance_report
+from ..session import shared_dir
+from ..sources.files import write_table
 from ..sources.web import news_results, post_metric_rows
 from . import inputs
 from .inputs import rounded, table, tidy
@@ -77,6 +79,14 @@ def publish_results(spark, sf_dir):
     return tidy(found.withColumn("response", F.to_json("response")))
 
 
+def publish_sink(spark, sf_dir):
+    """Queue and status tables, written and read back."""
+    folder = shared_dir(spark, "publish")
+    queued = write_table(queue(spark, sf_dir, gated=False), f"{folder}/queue")
+    status = write_table(op.publish_results(queued, inputs.outcomes(spark, sf_dir)).select("content_id", "post_id", "status"), f"{folder}/status")
+    return tidy(queued.join(status, "content_id"))
+
+
 def published_posts(spark, sf_dir):
     return tidy(op.published_posts(results(spark, sf_dir)))
 
@@ -113,6 +123,7 @@ QUERIES = {
     "publish_queue": publish_queue,
     "publish_queue_unreviewed": publish_queue_unreviewed,
     "publish_results": publish_results,
+    "publish_sink": publish_sink,
     "published_posts": published_posts,
     "publish_counts": publish_counts,
     "post_metrics": post_metrics,
@@ -183,6 +194,9 @@ FROM contents WHERE {ELIGIBLE}""",
     "publish_results": f"""WITH {RESULTS_SQL}
 SELECT content_id, post_id, status, CASE status WHEN 'success' THEN '{{"id":"' || post_id || '"}}'
   ELSE '{{"error":"' || reason || '"}}' END AS response FROM results""",
+    "publish_sink": f"""WITH {RESULTS_SQL},
+queue AS (SELECT {MESSAGE} FROM contents WHERE {ELIGIBLE})
+SELECT queue.*, post_id, status FROM queue JOIN results ON queue.content_id = results.content_id""",
     "published_posts": f"WITH {RESULTS_SQL} SELECT post_id FROM results WHERE status = 'success' AND post_id <> ''",
     "publish_counts": f"""WITH {RESULTS_SQL}
 SELECT count(*) FILTER (WHERE status = 'success') AS successful, count(*) AS total FROM results""",

@@ -95,8 +95,8 @@ def customer_profiles(spark, sf_dir):
 
 
 def visits_excluding_internal(spark, sf_dir):
-    visits = keep_keys(inputs.visits(spark, sf_dir), profile(spark, sf_dir), "entity_id", "visit_date")
-    own = drop_entities_matching(visits, "entity_id", "visit_type", INTERNAL, "visit_date")
+    visits = keep_keys(inputs.visits(spark, sf_dir), profile(spark, sf_dir), "entity_id")
+    own = drop_entities_matching(visits, "entity_id", "visit_type", INTERNAL)
     return tidy(drop_rows_matching(own, "visit_type", PASSIVE))
 
 

@@ -14,7 +14,7 @@ from ..operators.retrieval import retrieve_by_vector
 from ..operators.scaling import auto_scale
 from ..plans.churn import churn_report, hybrid_vectors, knn_churn, labelled_dataset, text_features, text_vectors
 from ..session import materialize, shared_dir
-from ..sources.files import rebuild_vectors, write_vectors
+from ..sources.files import read_csv, rebuild_vectors, typed, write_csv, write_vectors
 from . import churn
 from .inputs import rounded, table, tidy
 
@@ -112,6 +112,15 @@ def knn_vote(spark, sf_dir):
     return tidy(predictions(spark, sf_dir))
 
 
+def prediction_sink(spark, sf_dir):
+    """Predictions written as CSV and read back typed."""
+    path = shared_dir(spark, "predictions")
+    columns = {"query_id": "bigint", "total_score": "bigint", "pred_label": "bigint", "true_label": "bigint"}
+    write_csv(predictions(spark, sf_dir), path)
+    good, _ = typed(read_csv(spark, path, {c: c for c in [*columns, "key_label"]}, multi_line=False), columns)
+    return tidy(good)
+
+
 def knn_report(spark, sf_dir):
     return tidy(classification_report(predictions(spark, sf_dir)))
 
@@ -203,6 +212,7 @@ QUERIES = {
     "knn_neighbours": knn_neighbours,
     "knn_neighbours_pivots": knn_neighbours_pivots,
     "knn_vote": knn_vote,
+    "prediction_sink": prediction_sink,
     "classification_report": knn_report,
     "roc_points": roc_hard,
     "roc_points_vote_share": roc_share,
@@ -335,6 +345,8 @@ SELECT vec_id, CAST(len(f) AS BIGINT) AS dims, {rounded('n / n')} AS length, {ro
 SELECT query_id, base_id, {rounded('score')} AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, base_id) AS place FROM scored) t WHERE place <= 5""",
     "knn_vote": f"""WITH {SPLIT_SQL}
+SELECT *, CAST(query_id AS VARCHAR) || ':' || CAST(true_label AS VARCHAR) AS key_label FROM votes""",
+    "prediction_sink": f"""WITH {SPLIT_SQL}
 SELECT *, CAST(query_id AS VARCHAR) || ':' || CAST(true_label AS VARCHAR) AS key_label FROM votes""",
     "classification_report": f"""WITH {SPLIT_SQL},
 counts AS (
