@@ -11,7 +11,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "16g") -> SparkSession:
+    # worker processes import this package by name, from wherever the session was started
+    paths = [ROOT, *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    os.environ["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(p for p in paths if p))
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("retainframe")
@@ -57,7 +63,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors of a running session, where it is not installed on them."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     folder = tempfile.mkdtemp(prefix="retainframe-package-")
-    path = shutil.make_archive(f"{folder}/retainframe", "zip", root, "retainframe")
+    path = shutil.make_archive(f"{folder}/retainframe", "zip", ROOT, "retainframe")
     spark.sparkContext.addPyFile(path)
