@@ -13,6 +13,7 @@ from ..functions import bind
 from ..functions.chunking import CHUNK_OVERLAP, CHUNK_SIZE, fixed_chunks, recursive_chunks
 from ..functions.markup import body_lines, document_piece, html_text
 from ..functions.strings import strip
+from ..session import materialize
 
 
 def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -96,10 +97,12 @@ def top_insights(
     Similarity is the Jaccard share of common words, so copies and near copies are merged into the
     best-scored one. Rows are visited in (score descending, key) order. A pass takes the next
     ``batch`` rows that resemble nothing taken so far, each task keeping at most ``batch`` rows, and
-    settles them among themselves; passes go on until ``n`` are found or no row is left. Everything
+    settles them among themselves; passes go on until ``n`` are found or no row is left. The input is written
+    once to the shared folder, so that a pass does not repeat what is behind it. Everything
     compared is one row against at most ``n`` taken ones: no pairs are formed, and a group of copies
     of any size disappears in one filter.
     """
+    chunks = materialize(chunks, "insights")
     candidates = chunks.select(F.col(key).alias("key"), F.col(score).alias("score"), F.col(text).alias("text"))
     candidates = candidates.where(F.col("score").isNotNull())
     own_words = words(F.col("text"))
