@@ -1,5 +1,3 @@
-import os
-
 import corpus_pipeline
 import pytest
 from llm_fixtures import edge_documents, no_documents
@@ -81,10 +79,9 @@ def test_edge_rows(spark, tmp_path):
         assert corpus_pipeline.tokens(spark, docs, str(tmp_path)).count() == docs.count()
 
 
-def test_run_is_registered(spark, sf_dir):
+def test_run_is_registered():
     import __spark_entry__ as entry
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     names = set(entry.queries())
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
-    assert os.path.exists(f"{sf_dir}/documents.parquet")

@@ -6,7 +6,6 @@ import re
 from collections import Counter
 
 from llm_fixtures import edge_documents, no_documents
-from pyspark.sql import functions as F
 
 from retainframe.llm import secrets
 from retainframe.llm.queries import QUERIES
@@ -78,4 +77,3 @@ def test_digests_of_the_query(spark, sf_dir):
         say = lambda xs: ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in xs)
         assert r["spans"] == say(spans)
         assert r["base_sha256"] == hashlib.sha256(say(x for x in spans if x[1] < 3).encode()).hexdigest()
-    assert F is not None
