@@ -7,8 +7,9 @@ occurrences of a component's lines the first (smallest key, then place) stays.
 
 Equal lines are one node throughout. Members of a band's group are paired out up to ``PAIRED``; in a larger group
 all are compared with one member, the pivot. As Jaccard distance is a metric, two members can only be within the
-threshold if their distances to the pivot differ by no more than it; pairs of two members that are both linked to
-the pivot need no check, and the rest are verified under that bound. So no link between components is lost.
+threshold if their distances to the pivot differ by no more than it, and only if each has enough shingles that occur
+in other members' lines at all. Pairs of two members that are both linked to the pivot need no check, and the rest are
+verified under these bounds. So no link between components is lost.
 
 Documents are packed into blocks that are written once; only hashes, and the texts of candidate lines, are shuffled
 line by line. Hashes of lines are 64 bits wide; lines of which a second hash tells that they share the first
@@ -68,16 +69,20 @@ _SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 _FACTORS, _FLIPS = (_SEEDS[: BANDS * ROWS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (_SEEDS[BANDS * ROWS :] >> np.uint64(32)).astype(np.uint32)
 
 
+def _shingle_hashes(lines: list[str], size: int = SHINGLE) -> np.ndarray:
+    """Hashes of the shingles of all lines (of ``size`` characters or more) in turn."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    count = np.array([len(x) for x in lines]) - size + 1
+    start = np.arange(count.sum()) + np.repeat(np.arange(len(lines)), count) * (size - 1)
+    return RollingHash(codes).of(start, start + size)
+
+
 def bands(lines: list[str], size: int = SHINGLE) -> np.ndarray:
     """Band keys of lines of ``size`` characters or more, one row per line."""
     if not lines:
         return np.empty((0, BANDS), dtype=np.uint64)
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = np.array([len(x) for x in lines])
-    count = sizes - size + 1
-    line = np.repeat(np.arange(len(lines)), count)
-    start = np.arange(count.sum()) + (line * (size - 1))
-    x = (RollingHash(codes).of(start, start + size) >> np.uint64(32)).astype(np.uint32)
+    x = (_shingle_hashes(lines, size) >> np.uint64(32)).astype(np.uint32)
+    count = np.array([len(x) for x in lines]) - size + 1
     first, work = np.cumsum(count) - count, np.empty_like(x)
     least = np.empty((BANDS * ROWS, len(lines)), dtype=np.uint64)
     for k in range(BANDS * ROWS):
@@ -122,7 +127,7 @@ def _open(batch: pa.RecordBatch) -> Iterator[tuple[int, str, pa.RecordBatch]]:
 
 
 def _distinct(rows: pa.RecordBatch, text: str) -> dict[str, tuple[int, int]]:
-    """Distinct lines of a block with the row and number of their first occurrence by key order being the block's order."""
+    """Distinct lines of a block with the row and line number of their first occurrence; rows are in the order of their key."""
     found: dict[str, tuple[int, int]] = {}
     for i, t in enumerate(rows.column(text)):
         for n, line in enumerate(lines_of(t.as_py())):
@@ -221,6 +226,46 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return keep(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, similarity double"), "verified")
 
 
+def shareable(lines: DataFrame, buckets: int) -> DataFrame:
+    """(h, size, common): a line's number of distinct shingles, and of those that another of ``lines`` has too."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4_096):
+                part = batch.slice(i, 4_096)
+                h = np.asarray(part.column("h"))
+                found = [np.unique(_shingle_hashes([x])) for x in part.column("line").to_pylist()]
+                key, line = np.concatenate(found), np.repeat(np.arange(len(h), dtype=np.uint32), [len(f) for f in found])
+                bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
+                bodies = []
+                for p in parts:
+                    used, local = np.unique(line[p], return_inverse=True)
+                    bodies.append(pack(np.array([len(p), len(used)], "<u4").tobytes() + key[p].tobytes() + h[used].tobytes() + local.astype("<u4").tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([int(bucket[p[0]]) for p in parts], pa.int32()), pa.array(bodies, pa.binary())], names=["bucket", "body"])
+
+    def find(table: pa.Table) -> pa.Table:
+        keys, lines_ = [], []
+        for body in table.column("body"):
+            raw = zstandard.decompress(body.as_py())
+            n, m = (int(v) for v in np.frombuffer(raw, "<u4", 2))
+            keys.append(np.frombuffer(raw, "<u8", n, 8))
+            lines_.append(np.frombuffer(raw, "<i8", m, 8 + 8 * n)[np.frombuffer(raw, "<u4", n, 8 + 8 * (n + m))])
+        k, h = np.concatenate(keys), np.concatenate(lines_)
+        order = np.argsort(k, kind="stable")
+        k, h = k[order], h[order]
+        same = k[1:] == k[:-1]
+        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        line, number = np.unique(h, return_inverse=True)
+        return pa.table({"h": line, "size": np.bincount(number).astype(np.int64), "common": np.bincount(number, shared).astype(np.int64)})
+
+    sent = lines.mapInArrow(send, "bucket int, body binary")
+    found = sent.groupBy("bucket").applyInArrow(find, "h bigint, size bigint, common bigint")
+    return keep(found.groupBy("h").agg(F.sum("size").alias("size"), F.sum("common").alias("common")), "shareable")
+
+
 def links(blocks: DataFrame, text: str) -> DataFrame:
     """(a, b): links between hashes of lines whose components are those of all verified candidates."""
     found = candidates(blocks, text, _buckets(blocks))
@@ -232,9 +277,15 @@ def links(blocks: DataFrame, text: str) -> DataFrame:
     pivots = keep(members.groupBy("band").agg(F.min("h").alias("pivot")), "pivots")
     grouped = keep(members.join(pivots, "band"), "grouped")
     spokes = verified(grouped.where("h != pivot").select(F.col("pivot").alias("a"), F.col("h").alias("b")).distinct(), lines)
-    near = keep(grouped.join(spokes.withColumnsRenamed({"a": "pivot", "b": "h"}), ["pivot", "h"], "left").select("band", "h", F.coalesce("similarity", F.lit(1.0)).alias("s")), "spokes")
-    left = near.where(F.col("s") < THRESHOLD).select("band", F.col("h").alias("a"), F.col("s").alias("sa"))
-    rest = left.join(near.select("band", F.col("h").alias("b"), F.col("s").alias("sb")), "band").where((F.abs(F.col("sa") - F.col("sb")) <= 1 - THRESHOLD + 1e-9) & (F.col("a") != F.col("b")))
+    near = grouped.join(spokes.withColumnsRenamed({"a": "pivot", "b": "h"}), ["pivot", "h"], "left").select("band", "h", F.coalesce("similarity", F.lit(1.0)).alias("s"))
+    crowd = keep(lines.join(members.select("h").distinct(), "h", "left_semi"), "crowd")
+    near = keep(near.join(shareable(crowd, _buckets(blocks)), "h"), "spokes")
+    side = lambda x: near.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("h", "s", "size", "common")])
+    both = F.least("common_a", "common_b")
+    possible = (F.col("h_a") != F.col("h_b")) & (F.abs(F.col("s_a") - F.col("s_b")) <= 1 - THRESHOLD + 1e-9) & (both >= (F.col("size_a") + F.col("size_b") - both) * F.lit(THRESHOLD) - 1e-9)
+    # a line that shares too few shingles with all others has no partner, whatever its size
+    left = side("a").where((F.col("s_a") < THRESHOLD) & (F.col("common_a") >= F.col("size_a") * THRESHOLD - 1e-9))
+    rest = left.join(side("b").where(F.col("common_b") >= F.col("size_b") * THRESHOLD - 1e-9), "band").where(possible).select(F.col("h_a").alias("a"), F.col("h_b").alias("b"))
     others = verified(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), lines)
     return pairs.where(alike).unionByName(spokes.where(alike)).unionByName(others.where(alike)).select("a", "b")
 
