@@ -101,3 +101,28 @@ def test_near_copies_leave_one_of_each_group(spark):
     edge = simhash.near_copies(edge_documents(spark)).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in edge if r["doc_id"] is not None) == [(False, 1), (False, 4), (False, 5)]
     assert len(edge) == 4 and simhash.near_copies(no_documents(spark)).count() == 0
+
+
+def kept_by_brute_force(rows):
+    sets = [(i, set(simhash.shingle_hashes(t, 5).tolist())) for i, t in rows]
+    near = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[:k] if len(x & y) >= simhash.SIMILARITY * len(x | y)]
+    root = components_of([i for i, _ in rows], near)
+    return {i for i, _ in rows if root[i] == i}
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = babble(rng, 1) + str(rng.random())
+    return " ".join(words)
+
+
+def test_near_copies_of_one_base_in_a_large_group(spark):
+    rng = random.Random(11)
+    base = babble(rng, 300)
+    rows = [(0, base), *((i, edited(rng, base, 6)) for i in range(1, 200)), *((300 + i, babble(rng, 300)) for i in range(20))]
+    rows += [(400 + i, edited(rng, base, 9)) for i in range(40)]  # some only hang on other variants, some on none
+    want = kept_by_brute_force(rows)
+    for given in (rows, [(1_000 - i, t) for i, t in rows if i]):  # also without the base
+        got = {r["doc_id"] for r in simhash.near_copies(spark.createDataFrame(given, "doc_id long, text string").repartition(4)).collect()}
+        assert got == (want if given is rows else kept_by_brute_force(given))
