@@ -126,3 +126,15 @@ def test_near_copies_of_one_base_in_a_large_group(spark):
     for given in (rows, [(1_000 - i, t) for i, t in rows if i]):  # also without the base
         got = {r["doc_id"] for r in simhash.near_copies(spark.createDataFrame(given, "doc_id long, text string").repartition(4)).collect()}
         assert got == (want if given is rows else kept_by_brute_force(given))
+
+
+def test_near_copies_with_the_words_of_another_text(spark):
+    rng = random.Random(12)
+    words = babble(rng, 200).split()
+    turned = words[:]
+    rng.shuffle(turned)
+    swapped = words[:]
+    swapped[99], swapped[100] = swapped[100], swapped[99]
+    rows = [(1, " ".join(turned)), (2, " ".join(words)), (3, " ".join(swapped))]  # the same words, so equal fingerprints of words
+    got = {r["doc_id"] for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == kept_by_brute_force(rows) == {1, 2}
