@@ -138,3 +138,21 @@ def test_near_copies_with_the_words_of_another_text(spark):
     rows = [(1, " ".join(turned)), (2, " ".join(words)), (3, " ".join(swapped))]  # the same words, so equal fingerprints of words
     got = {r["doc_id"] for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == kept_by_brute_force(rows) == {1, 2}
+
+
+def test_no_pair_above_the_similarity_is_missed(spark):
+    rng = random.Random(13)
+    rows, pairs = [], []
+    for length in (50, 200, 1_000):
+        for k in range(60):
+            text = " ".join(str(rng.randrange(50_000)) for _ in range(length))
+            other = edited(rng, text, max(1, round(length * rng.uniform(0.001, 0.025))))
+            pairs.append((length, simhash.similarity(text, other), 2 * len(pairs) + 1))
+            rows += [(2 * len(pairs) - 2, text), (2 * len(pairs) - 1, other)]
+    got = {r["doc_id"] for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    for length in (50, 200, 1_000):
+        for low, high in ((0.0, 0.8), (0.8, 0.85), (0.85, 0.9), (0.9, 1.01)):
+            these = [i for n, s, i in pairs if n == length and low <= s < high]
+            found = sum(i not in got for i in these)
+            print(f"{length} words, similarity {low} to {high}: {found} of {len(these)} found")
+            assert found == (len(these) if low else 0)
