@@ -37,8 +37,8 @@ from .common import RollingHash, chunks, free_name, keep, mix
 from .components import components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 10, 0.8, 12, 4
-#: Shortest line that is looked at, members of a group that are paired out, bytes of a block and of a hash bucket.
-LEAST, PAIRED, BLOCK_BYTES, BUCKET_BYTES = 30, 8, 2 << 20, 32 << 20
+#: Shortest line that is looked at (one shingle), members of a group that are paired out, bytes of a block and of a hash bucket.
+LEAST, PAIRED, BLOCK_BYTES, BUCKET_BYTES = SHINGLE, 8, 2 << 20, 32 << 20
 _SPACE = " \t\n\v\f\r"
 LAST = np.iinfo(np.int64).max
 

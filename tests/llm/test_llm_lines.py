@@ -73,3 +73,9 @@ def test_edge_rows(spark):
     assert lines.dedup_lines(no_documents(spark)).count() == 0
     twice = spark.createDataFrame([(1, line), (1, line), (None, line)], "doc_id long, text string")
     assert sorted(r["text"] for r in lines.dedup_lines(twice).collect()) == ["", "", line]
+
+
+def test_short_lines(spark):
+    rows = [(1, "All rights reserved.\nalone"), (2, "first\nAll rights reserved."), (3, "  All rights reserved. \nten chars!"), (4, "ten chars!\nlast")]
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {1: (rows[0][1], 1, 0), 2: ("first", 1, 1), 3: ("ten chars!", 2, 1), 4: ("last", 1, 1)}
