@@ -28,15 +28,22 @@ CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 WIDTH = 20
 LIMITS = {"hex": ("^[0-9a-fA-F]+$", 3.0), "upper": ("^[A-Z0-9]+$", 3.6), "mixed": ("^.+$", 3.85)}
-#: Candidates that are no secrets: no digit or no letter, placeholders, sequences, unique ids, dates, paths of words.
+# What hides the text it touches: placeholders, sequences, dates; letters or digits alone between separators are words.
+_HARMLESS = r"(?i:example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0000000|abcdefgh)|0123456789|12345678|[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_WORD = "(?<![A-Za-z0-9+])(?:[A-Za-z]{1,15}|[0-9]+)(?![A-Za-z0-9+])"
+#: No window's length of other text follows the start, a separator or a placeholder.
+_NOTHING_BESIDE = f"(?!.*(?:^|[_/=-]|{_HARMLESS})(?:(?!{_HARMLESS}|{_WORD}).){{20}})"
+#: Letters that read as words: no long runs of consonants, case changes not at every other letter.
+_READABLE = "(?!.*(?:[bcdfghjklmnpqrstvwxz]{5}|[BCDFGHJKLMNPQRSTVWXZ]{6}|(?i:[bcdfghjklmnpqrstvwxz]{7})|[a-z][A-Z]{1,2}[a-z]{1,2}[A-Z]{1,2}[a-z]{1,2}[A-Z]))"
+#: Candidates that are no secrets as a whole: words, no letter, placeholders and sequences and dates with nothing beside them, unique ids, paths of words.
 ALLOWED = (
-    "^[^0-9]+$",
+    f"^{_READABLE}[^0-9]+$",
     "^[^A-Za-z]+$",
-    "(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0000000",
-    "0123456789|(?i:abcdefgh)|12345678",
+    f"^(?=.*(?i:example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0000000)){_NOTHING_BESIDE}.+$",
+    f"^(?=.*(?:0123456789|(?i:abcdefgh)|12345678)){_NOTHING_BESIDE}.+$",
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    "^[A-Za-z]*[-_/]?[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    "^/?([A-Za-z]+[/_=-])+[A-Za-z]*[0-9]{0,4}$",
+    f"^(?=[A-Za-z]*[-_/]?[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}){_NOTHING_BESIDE}.+$",
+    f"^{_READABLE}/?([A-Za-z]+[/_=-])+[A-Za-z]*[0-9]{{0,4}}$",
 )
 
 

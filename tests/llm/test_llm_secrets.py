@@ -77,3 +77,17 @@ def test_digests_of_the_query(spark, sf_dir):
         say = lambda xs: ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in xs)
         assert r["spans"] == say(spans)
         assert r["base_sha256"] == hashlib.sha256(say(x for x in spans if x[1] < 3).encode()).hexdigest()
+
+
+def test_harmless_text_does_not_hide_a_secret(spark):
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = lambda among: "".join(rng.choice(among) for _ in range(40))
+    kinds = {"sample_key=": letters + "0123456789", "/srv/example/": letters + "0123456789", "2024-01-01-": letters + "0123456789", "": letters}
+    rows = [(1_000 * k + i, f"see {prefix}{key(among)} here") for k, (prefix, among) in enumerate(kinds.items()) for i in range(200)]
+    found = {r["doc_id"] for r in secrets.secret_table(spark.createDataFrame(rows, "doc_id long, text string")).where("n_entropy > 0").collect()}
+    shares = [sum(i // 1_000 == k for i in found) / 200 for k in range(len(kinds))]
+    print(shares)
+    assert min(shares) > 0.9
+    harmless = ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "2024-01-01T10-00-00_build_of_the_day", "some_long_function_name_here", "HttpServerRequestHandlerFactory", "src/main/java/org/words/Thing12"]
+    assert all(r["n_entropy"] == 0 for r in secrets.secret_table(spark.createDataFrame(list(enumerate(harmless)), "doc_id long, text string")).collect())
