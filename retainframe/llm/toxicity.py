@@ -1,9 +1,10 @@
 """Toxicity: noisy-channel deobfuscation, then a score of the restored text.
 
 Method: a character trigram model is counted over all documents. A word that looks disguised (letters mixed with
-look-alike digits and signs, letters drawn out, letters set apart) becomes a lattice: each written character
-may stand for itself, for a letter it looks like, or for nothing (a separator, a repetition). The Viterbi
-path of best channel and model probability is the restored word. A regression on the words and character
+look-alike digits and signs, look-alikes alone, letters drawn out or doubled, letters set apart) becomes a lattice: each written
+character may stand for itself, for a letter it looks like, or for nothing (a separator, a repetition, an outer sign). The Viterbi
+path of best channel and model probability is the restored word. Where signs end a word, the reading that keeps them as letters
+counts as well if the model finds it plausible; look-alikes alone and three letters set apart are read only then. A regression on the words and character
 n-grams of restored texts, fitted on a bounded sample of labelled rows (``PER_CLASS`` of each label),
 gives the score.
 
@@ -37,6 +38,8 @@ LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 SEPARATORS = " .-_*~'`^,:;/\\"
 #: Log probabilities of the channel.
 AS_IS, LOOK_ALIKE, DROPPED, KEPT_GAP, REPEATED = -0.05, -0.7, -0.3, -1.5, -0.4
+#: Mean log probability a character from which a reading is plausible, its least length, and what leaving out a doubled letter must gain.
+PLAUSIBLE, LEAST_READ, GAIN = -2.8, 3, 3.0
 
 #: Characters of the model: 0 is a word's edge, then a-z, then the letters from U+00DF to U+00FF, then any other letter.
 EDGE, OTHER, SIZE = 0, 60, 64
@@ -96,16 +99,42 @@ _LETTERS = "a-zß-öø-ÿ"
 _WORD = re.compile(rf"[{_LETTERS}]+")
 _OUTER = "\"'.,;:!?()[]{}<>«»¡¿#%&*=~`^|/\\_-+$€@"
 _TRAILING = "\"'.,;:!?()[]{}<>«»#%&*=~`^|/\\_-+$€@"
+_PLAIN_END = _TRAILING.translate({ord(c): None for c in LOOKS_LIKE})
 _LONG = re.compile(r"(.)\1\1", re.S)
-#: Four or more single characters set apart by single separators.
-_APART = re.compile(r"(?<!\S)[^\s](?:[ .\-_*][^\s]){3,}(?=[.,;:!?]?(?:\s|$))")
+_DOUBLED = re.compile(rf"([{_LETTERS}])\1")
+_SIGNS = "@$€!|(+"
+_LEADING = _OUTER.translate({ord(c): None for c in _SIGNS})
+#: Three or more single characters set apart by separators.
+_APART = re.compile(r"(?<!\S)[^\s.\-_*](?:[ .\-_*]{1,4}[^\s.\-_*]){2,}(?=[.,;:!?]?(?:\s|$))")
 
 
-def restore_span(span: str, model: np.ndarray) -> str:
-    """The best reading of a disguised span: Viterbi over (last two characters) with what each character may be."""
+def plausible(word: str, model: np.ndarray) -> bool:
+    """Whether the model expects a word like this."""
+    if len(word) < LEAST_READ:
+        return False
+    codes = [EDGE, EDGE, *map(code, word), EDGE]
+    return sum(float(model[codes[i - 2], codes[i - 1], codes[i]]) for i in range(2, len(codes))) >= PLAUSIBLE * (len(word) + 1)
+
+
+def together(lower: str, model: np.ndarray) -> str:
+    """A lower-cased text whose characters set apart are joined; three only to a plausible word."""
+
+    def join(m: re.Match) -> str:
+        found = restore_span(m[0], model)
+        return found if sum(c not in " .-_*" for c in m[0]) > LEAST_READ or plausible(found, model) and " " not in found else m[0]
+
+    return _APART.sub(join, lower) if _APART.search(lower) else lower
+
+
+def restore_span(span: str, model: np.ndarray, head: int = 0, tail: int = 0, repeats: bool = True) -> str:
+    """The best reading of a disguised span: Viterbi over (last two characters) with what each character may be.
+
+    The first ``head`` and last ``tail`` characters are outer signs, which may also stand for nothing; without
+    ``repeats`` no character counts as a repetition.
+    """
     paths: dict[tuple[int, int], tuple[float, tuple | None, str]] = {(EDGE, EDGE): (0.0, None, "")}
     before = ""
-    for c in span:
+    for i, c in enumerate(span):
         choices: list[tuple[str, float]] = []
         if c in SEPARATORS:
             choices = [("", DROPPED), (" ", KEPT_GAP)]
@@ -113,14 +142,14 @@ def restore_span(span: str, model: np.ndarray) -> str:
             own = code(c)
             if own:
                 choices.append((c, AS_IS))
-                if c == before:
+                if repeats and c == before:
                     choices.append(("", REPEATED))
             for x in LOOKS_LIKE.get(c, ""):
                 choices.append((x, LOOK_ALIKE))
-                if c == before:
+                if repeats and c == before:
                     choices.append(("", REPEATED))
-            if not choices:
-                choices = [("", DROPPED)]
+            if not choices or i < head or i >= len(span) - tail:
+                choices.append(("", DROPPED))
         before, grown = c, {}
         for (a, b), (score, back, out) in paths.items():
             for x, cost in choices:
@@ -158,34 +187,69 @@ class Restorer:
     young: dict = field(default_factory=dict)
     old: dict = field(default_factory=dict)
 
-    def token(self, token: str) -> str:
-        """The restored token, lower-cased; a plain one comes back as it is."""
+    def __post_init__(self):
+        m = self.model
+        # what leaving out the second of two equal letters c gains between a and d
+        self.gain = m + REPEATED - np.einsum("acc->ac", m)[:, :, None] - np.einsum("ccd->cd", m)[None]
+
+    def doubled(self, word: str) -> bool:
+        """Whether the model prefers the word without one of its doubled letters, by far."""
+        if not _DOUBLED.search(word):
+            return False
+        codes = [EDGE, *map(code, word), EDGE]
+        return any(codes[i] == codes[i + 1] and self.gain[codes[i - 1], codes[i], codes[i + 2]] >= GAIN for i in range(1, len(codes) - 2))
+
+    def kept(self, core: str) -> list[str]:
+        """Plausible readings in which no outer sign is left out, with and without repetitions."""
+        both = dict.fromkeys((restore_span(core, self.model), restore_span(core, self.model, repeats=False)))
+        return [x for x in both if plausible(x, self.model)]
+
+    def read(self, token: str) -> tuple[str, str]:
+        """The restored token, and other plausible readings or nothing."""
+        core = token.lstrip(_LEADING).rstrip(_PLAIN_END)
+        if not core:
+            return token, ""
+        bare = core.lstrip(_SIGNS).rstrip(_TRAILING)
+        if not _WORD.search(bare):
+            if all(c in LOOKS_LIKE for c in core):
+                if found := self.kept(core):
+                    return found[0], " ".join(found[1:])
+            core = token.lstrip(_LEADING).rstrip(_TRAILING)
+            return (restore_span(core, self.model) if core and disguised(core) else token), ""
+        head, tail = len(core) - len(core.lstrip(_SIGNS)), len(core) - len(core.rstrip(_TRAILING))
+        plain = not disguised(bare) and not self.doubled(bare)
+        if not (head or tail):
+            return (token if plain else restore_span(core, self.model)), ""
+        found = restore_span(core, self.model, head, tail)
+        return (token if plain and found == bare else found), " ".join(x for x in self.kept(core) if x != found)
+
+    def readings(self, token: str) -> tuple[str, str]:
         found = self.young.get(token)
         if found is None:
             found = self.old.get(token)
             if found is None:
-                core = token.lstrip(_OUTER.translate({ord(c): None for c in "@$€!|("})).rstrip(_TRAILING)
-                found = restore_span(core, self.model) if core and disguised(core) else token
+                found = self.read(token)
             if len(self.young) >= self.remember:
                 self.old, self.young = self.young, {}
             self.young[token] = found
         return found
 
+    def token(self, token: str) -> str:
+        """The restored token, lower-cased; a plain one comes back as it is."""
+        return self.readings(token)[0]
+
     def text(self, text: str | None) -> str:
         """Whole text, lower-cased, its disguised spans restored and white space of tokens kept as one space."""
-        lower = (text or "").lower()
-        if _APART.search(lower):
-            lower = _APART.sub(lambda m: restore_span(m[0], self.model), lower)
+        lower = together((text or "").lower(), self.model)
         return " ".join(map(self.token, lower.split()))
 
     def words(self, text: str | None) -> set[str]:
-        lower = (text or "").lower()
-        if _APART.search(lower):
-            lower = _APART.sub(lambda m: restore_span(m[0], self.model), lower)
+        lower = together((text or "").lower(), self.model)
         return set().union(*(self.split(t) for t in set(lower.split()))) if lower else set()
 
     def split(self, token: str) -> list[str]:
-        return _WORD.findall(self.token(token))
+        best, other = self.readings(token)
+        return _WORD.findall(best) + _WORD.findall(other)
 
 
 def word_features(word: str) -> set[int]:
@@ -273,9 +337,7 @@ def score(df: DataFrame, model: Model, text: str = "text", name: str = "score")
         for batch in batches:
             z = np.full(batch.num_rows, known.offset)
             for i, t in enumerate(batch.column(text)):
-                lower = (t.as_py() or "").lower()
-                if _APART.search(lower):
-                    lower = _APART.sub(lambda m: restore_span(m[0], known.language), lower)
+                lower = together((t.as_py() or "").lower(), known.language)
                 hits: set[int] = set()
                 for token in set(lower.split()):
                     found = young.get(token)

@@ -97,3 +97,13 @@ def test_edge_rows(spark, corpus):
     assert toxicity.score(no_documents(spark), none).count() == 0
     assert toxicity.count_trigrams(no_documents(spark)).sum() == 0
     assert toxicity.restored(edge, none.language).count() == edge.count()
+
+
+def test_disguises_at_the_gate():
+    rng = random.Random(3)
+    text = " ".join(w for _ in range(4_000) for w in (babble(rng, 1), rng.choice([*BAD, "ass", "bad", "as"])))
+    restorer = toxicity.Restorer(toxicity.log_model(toxicity.trigram_counts([text])))
+    for written, meant in (("idio+", "idiot"), ("as$", "ass"), ("@$$", "ass"), ("455", "ass"), ("4$5", "ass"), ("iiddiioott", "idiot"), ("stuupid", "stupid"), ("b a d", "bad"), ("i  d  i  o  t", "idiot"), ("idiot!", "idiot"), ("(idiot)", "idiot")):
+        assert meant in restorer.words(f"kalo {written} kalo"), written
+    for plain in ("worthless kalo!", "ass", "a b c", "42", "2024", "1 - 2 - 3", "$$$", "!!!"):
+        assert restorer.text(plain) == plain
