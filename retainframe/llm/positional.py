@@ -4,7 +4,7 @@ Method: the documents' words that occur in the benchmark are stored as postings
 each window of an item the occurrences of its rarest term, counted over all documents, are shifted to where the
 item would begin; they are intersected with the shifted list of the second rarest term, and what is left is
 checked against the shifted lists of all words of the item. Runs of matched words as long as a window are
-exact phrase matches. ``proximity`` returns documents that hold the two rarest terms of a window near each other.
+exact phrase matches. ``proximity`` returns documents that hold the two rarest terms (of those that any document holds) of a window near each other.
 
 Edge cases: null and empty texts have no words (0 hits, not contaminated); an item without words has no window; an
 item shorter than a window is one window; repeated documents and items are rows of their own, repeated item ids
@@ -68,16 +68,19 @@ def build(documents: DataFrame, benchmark: DataFrame, text: str = "text", key: s
     return Index(postings, keep(items.join(terms, "word").drop("word"), "items"), frequency)
 
 
-def rarest_pairs(index: Index, window: int = WINDOW) -> DataFrame:
-    """(item, p1, t1, p2, t2): places and terms of the rarest two words of each window; windows with an unseen word are left out."""
+def rarest_pairs(index: Index, window: int = WINDOW, whole: bool = True) -> DataFrame:
+    """(item, p1, t1, p2, t2): places and terms of the rarest two words of each window.
+
+    Windows with an unseen word are left out if ``whole``; else the two are the rarest of the words that documents hold.
+    """
     known = index.items.join(index.frequency, "term", "left").withColumn("frequency", F.coalesce("frequency", F.lit(0)))
     size = F.least(F.lit(window), F.col("n_words"))
     starts = F.explode(F.sequence(F.greatest(F.lit(0), F.col("ipos") - size + 1), F.least(F.col("ipos"), F.col("n_words") - size)))
     inside = Window.partitionBy("item", "start")
+    # of a window of one word, that one stands for both
+    placed = known.withColumn("start", starts).withColumn("seen", F.count_if(F.col("frequency") > 0).over(inside)).where("frequency > 0")
     ranked = (
-        known.withColumn("start", starts)
-        .withColumn("least", F.min("frequency").over(inside))
-        .where("least > 0")
+        placed.where(F.col("seen") >= (size if whole else F.least(F.lit(2), size)))
         .withColumn("rank", F.row_number().over(inside.orderBy("frequency", "ipos")))
         .where("rank <= 2")
     )
@@ -106,7 +109,7 @@ def phrases(index: Index, window: int = WINDOW) -> DataFrame:
 
 def proximity(index: Index, slop: int = 20, window: int = WINDOW) -> DataFrame:
     """(key, item_id, pos, other): documents in which the rarest two words of a window stand at most ``slop`` words apart."""
-    rarest = rarest_pairs(index, window)
+    rarest = rarest_pairs(index, window, whole=False)
     listed = index.postings.where("term >= 0").drop("key")
     cell = lambda c: F.floor(F.col(c) / slop)
     first = listed.join(shared(rarest.withColumnRenamed("t1", "term")), "term").select("row", "item", "pos", F.col("t2").alias("term")).distinct()

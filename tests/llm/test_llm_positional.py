@@ -90,3 +90,10 @@ def test_query_matches_sql_without_python(spark, sf_dir):
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
     equal, message = compare(df, connect(sf_dir), SQL["op8_positional_index"])
     assert equal, message
+
+
+def test_proximity_with_an_unseen_word(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine changed"), (2, "nine " + "x " * 30 + "one"), (3, "apart")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "one two three four five six seven eight nine ten"), (8, "apart unseen")], "item_id long, text string")
+    found = positional.proximity(positional.build(docs, items), slop=10).collect()
+    assert {(r["key"], r["item_id"]) for r in found} == {(1, "7")}
