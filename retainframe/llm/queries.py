@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retainframe.session import shared_dir
 
-from . import bpe, lines, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
+from . import bpe, divergence, lines, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -142,6 +142,40 @@ def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_table(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that a source overuses most."""
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM (SELECT lang, source, r, unnest(w) AS term FROM (SELECT *, row_number() OVER () AS r FROM d)) GROUP BY ALL
+), t AS (
+  SELECT lang, term, sum(n) AS m FROM c GROUP BY ALL HAVING sum(docs) >= 30
+), v AS (
+  SELECT lang, count(*) AS kept, sum(m) AS lang_n FROM t GROUP BY lang
+), g AS (
+  SELECT lang, source, coalesce(sum(n) FILTER (m IS NOT NULL), 0) AS group_n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT c.*, m FROM c JOIN t USING (lang, term)) USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, t.term, coalesce(n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)::HUGEINT) // (group_n + 5 * kept)::HUGEINT AS p, 1 + (1000000000::HUGEINT * (m + 5)::HUGEINT) // (lang_n + 5 * kept)::HUGEINT AS q
+  FROM g JOIN v USING (lang) JOIN t USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term
+), pair AS (
+  SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value
+  FROM (SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source)
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) USING (lang, source, item)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_noisy_channel": op4_noisy_channel,
@@ -153,5 +187,6 @@ QUERIES = {
     "op5_simhash_pigeonhole": op5_simhash_pigeonhole,
     "op9_sampled_splitters": op9_sampled_splitters,
     "op10_bpe_segment_tree": op10_bpe_segment_tree,
+    "op12_source_divergence": op12_source_divergence,
 }
-SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL, "op7_suffix_sort": OP7_SQL, "op8_positional_index": OP8_SQL}
+SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL, "op7_suffix_sort": OP7_SQL, "op8_positional_index": OP8_SQL, "op12_source_divergence": OP12_SQL}
