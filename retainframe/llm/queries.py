@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retainframe.session import shared_dir
 
-from . import bpe, divergence, lines, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
+from . import bpe, collocations, divergence, lines, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -176,6 +176,41 @@ WITH d AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of two and three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, array_to_string(w[s : s + k - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS s FROM (SELECT *, unnest([1, 2, 3]) AS k FROM w))
+  ) GROUP BY ALL
+), c AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+), cut AS (
+  SELECT lang, phrase, k, f AS a, j, array_to_string(w[1 : j], ' ') AS x, array_to_string(w[j + 1 : k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM c)
+), s AS (
+  SELECT cut.lang, cut.phrase, cut.k, a, j, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN f AS x ON x.lang = cut.lang AND x.phrase = cut.x AND x.k = j JOIN f AS y ON y.lang = cut.lang AND y.phrase = cut.y AND y.k = cut.k - j
+), low AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase, k ORDER BY score, j) = 1
+), big AS (
+  SELECT lang, phrase, max(f) AS f FROM (SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE k = 3) GROUP BY ALL
+), kept AS (
+  SELECT low.* FROM low LEFT JOIN big ON big.lang = low.lang AND big.phrase = low.phrase AND low.k = 2 WHERE big.f IS NULL OR 100 * big.f < 50 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang) USING (lang) WHERE rank <= 2000"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_noisy_channel": op4_noisy_channel,
@@ -188,5 +223,6 @@ QUERIES = {
     "op9_sampled_splitters": op9_sampled_splitters,
     "op10_bpe_segment_tree": op10_bpe_segment_tree,
     "op12_source_divergence": op12_source_divergence,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
-SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL, "op7_suffix_sort": OP7_SQL, "op8_positional_index": OP8_SQL, "op12_source_divergence": OP12_SQL}
+SQL: dict[str, str] = {"op2_zip_archives": OP2_SQL, "op7_suffix_sort": OP7_SQL, "op8_positional_index": OP8_SQL, "op12_source_divergence": OP12_SQL, "op13_phrase_collocations": OP13_SQL}
