@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retainframe.session import shared_dir
 
-from . import bpe, collocations, divergence, lines, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
+from . import bpe, collocations, divergence, langid, lines, positional, quality, secrets, sharding, simhash, suffixes, toxicity, warc
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -142,6 +142,14 @@ def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_table(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the languages of three folds of four."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    model = langid.fit(documents.where(~held_out))
+    return langid.predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances between the sources of each language, and the terms that a source overuses most."""
     return divergence.divergences(table(spark, sf_dir, "documents"))
@@ -222,6 +230,7 @@ QUERIES = {
     "op5_simhash_pigeonhole": op5_simhash_pigeonhole,
     "op9_sampled_splitters": op9_sampled_splitters,
     "op10_bpe_segment_tree": op10_bpe_segment_tree,
+    "op11_hyperdimensional_language": op11_hyperdimensional_language,
     "op12_source_divergence": op12_source_divergence,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
