@@ -1,16 +1,18 @@
-"""Query-to-chunk retrieval: by embedding columns, or by TF-IDF vectors where only text exists."""
+"""Query-to-chunk retrieval: by embedding columns, or by TF-IDF over an inverted index where only text exists."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer, VectorSlicer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import as_doubles, cosine, dot
+from ..functions import bind
+from ..functions.vectors import as_doubles, cosine, unit
+from .text_index import TextIndex, build_index, idf, search, terms_of
+
+# Places of a dense text vector; texts with more terms bring an embedding of their own.
+MOST_TERMS = 4_096
 
 
 def keep_similar(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -33,35 +35,46 @@ def retrieve_by_vector(
     return keep_similar(top_rows(scored, k, tie), threshold)
 
 
-def fit_text_model(chunks: DataFrame, text: str = "text", features: int = 1 << 18) -> PipelineModel:
-    """Unit-length TF-IDF vectors of lower-case words; one pass collects the document frequencies."""
-    return Pipeline(stages=[
-        RegexTokenizer(inputCol=text, outputCol="words", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="words", outputCol="counts", numFeatures=features),
-        IDF(inputCol="counts", outputCol="weights"),
-        Normalizer(inputCol="weights", outputCol="unit", p=2.0),
-    ]).fit(chunks)
-
-
 def retrieve_by_text(
     chunks: DataFrame, query: str, k: int = 50, threshold: float = 0.5, text: str = "text", tie: str = "chunk_id",
-    model: PipelineModel | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """Top ``k`` chunks by TF-IDF cosine with the query text, then those at or above the threshold.
 
-    Chunk vectors stay sparse: only the query's own dimensions are sliced out for the dot product.
+    ``tie`` is the chunks' unique key. An ``index`` built before serves any number of calls. Chunks without a weighted term
+    of the query are not listed.
     """
-    if chunks.isEmpty():
-        return chunks.withColumn("score", F.lit(0.0))
-    model = model or fit_text_model(chunks, text)
-    wanted = model.transform(chunks.sparkSession.createDataFrame([(query,)], f"{text} string")).first()["unit"]
-    # dimensions every chunk shares have weight 0 and add nothing
-    pairs = [(int(i), float(x)) for i, x in zip(wanted.indices, wanted.values) if x != 0.0]
-    if not pairs:
-        return chunks.withColumn("score", F.lit(0.0)).where(F.lit(threshold <= 0)).limit(k)
-    sliced = VectorSlicer(inputCol="unit", outputCol="shared", indices=[i for i, _ in pairs])
-    weights = F.array(*(F.lit(x) for _, x in pairs))
-    scored = sliced.transform(model.transform(chunks)).withColumn(
-        "score", F.round(dot(vector_to_array("shared"), weights), 9)
-    )
-    return keep_similar(top_rows(scored.select(*chunks.columns, "score"), k, tie), threshold)
+    asked = chunks.sparkSession.createDataFrame([(0, query)], "query_id int, text string")
+    found = search(index or build_index(chunks, tie, text), asked, k, threshold)
+    best = found.select(F.col("row").alias(tie), "score")
+    return chunks.join(F.broadcast(best), tie).select(*chunks.columns, "score")  # at most k rows
+
+
+def retrieve_many(
+    chunks: DataFrame, queries: DataFrame, k: int = 50, threshold: float = 0.5, text: str = "text", tie: str = "chunk_id",
+    index: TextIndex | None = None,
+) -> DataFrame:
+    """(query_id, ``tie``, score) for every row of ``queries`` (query_id, text), each as in :func:`retrieve_by_text`."""
+    found = search(index or build_index(chunks, tie, text), queries, k, threshold)
+    return found.withColumnRenamed("row", tie)
+
+
+def fit_vocabulary(rows: DataFrame, text: str, most: int = MOST_TERMS) -> list[tuple[str, float]]:
+    """(term, idf) of every term of a text column with a closed vocabulary, in term order; at most ``most`` of them."""
+    n = rows.count()
+    counted = rows.select(F.explode(terms_of(F.col(text))["term"]).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_rows"))
+    found = counted.select("term", idf(F.col("n_rows"), n).alias("idf")).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{text} holds more than {most} terms: give an embedding column instead")
+    return sorted((r["term"], r["idf"]) for r in found)
+
+
+def vocabulary_vector(text: Column, vocabulary: list[tuple[str, float]]) -> Column:
+    """Unit-length TF-IDF vector with one place for every term of the vocabulary."""
+    known = F.array(*(F.struct(F.lit(t).alias("term"), F.lit(w).alias("idf")) for t, w in vocabulary))
+
+    def placed(counts: Column) -> Column:
+        return F.transform(known, lambda t: F.coalesce(F.element_at(counts, t["term"]), F.lit(0)) * t["idf"])
+
+    weights = bind(F.map_from_entries(terms_of(text)), placed) if vocabulary else F.array().cast("array<double>")
+    return unit(weights)

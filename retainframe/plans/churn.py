@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +17,7 @@ from ..operators.features import churn_label, stratified_split, visit_features
 from ..operators.intervals import visit_intervals
 from ..operators.neighbours import nearest_neighbours
 from ..operators.profile import customer_profile
-from ..operators.retrieval import fit_text_model
+from ..operators.retrieval import fit_vocabulary, vocabulary_vector
 from ..operators.scaling import auto_scale
 from ..operators.visits import INTERNAL_TYPES, PASSIVE_TYPES, active_entities, clean_visits, history, split_date
 from ..session import materialize
@@ -95,7 +94,6 @@ def churn_report(predictions: DataFrame) -> DataFrame:
     return classification_report(predictions)
 
 
-def text_vectors(features: DataFrame, dimensions: int = 64, text: str = "text_feature") -> DataFrame:
-    """Add ``text_vector``: hashed TF-IDF of the text feature, for tables that bring no embedding."""
-    model = fit_text_model(features, text, dimensions)
-    return model.transform(features).withColumn("text_vector", vector_to_array("unit")).select(*features.columns, "text_vector")
+def text_vectors(features: DataFrame, text: str = "text_feature") -> DataFrame:
+    """Add ``text_vector``: TF-IDF of the text feature over all its terms, for tables that bring no embedding."""
+    return features.withColumn("text_vector", vocabulary_vector(F.col(text), fit_vocabulary(features, text)))

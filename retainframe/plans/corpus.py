@@ -33,8 +33,7 @@ def retrieve(
 ) -> DataFrame:
     """Chunks of both sources that answer the query, best first by score.
 
-    The chunk table is rebuilt in the shared folder, then read once for the word statistics and
-    once for the scores.
+    The chunk table is rebuilt in the shared folder and indexed by term; see ``operators/text_index.py``.
     """
     chunks = materialize(corpus_chunks(clean_corpus(pages, lines), method), "chunks")
     return retrieve_by_text(chunks, query, k, threshold)

@@ -195,7 +195,7 @@ def vector_rebuild(spark, sf_dir):
 
 
 def hybrid_churn_report(spark, sf_dir):
-    """Visits to features, hashed text and scaled numbers, fused vectors, votes and the report."""
+    """Visits to features, TF-IDF of the text and scaled numbers, fused vectors, votes and the report."""
     features = text_features(labelled_dataset(churn.labelled(spark, sf_dir)))
     vectors = materialize(hybrid_vectors(text_vectors(features), "text_vector"), "hybrid")
     return tidy(churn_report(knn_churn(vectors)))

@@ -1,10 +1,16 @@
 """Every registered query against its SQL twin, and what its plan may not contain."""
 
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 from oracle import compare, connect
 
 from retainframe.queries import all_queries, all_sql
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 QUERIES, SQL = all_queries(), all_sql()
 
 
@@ -39,3 +45,16 @@ def test_entry_point(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("gone", ["retainframe/llm corpus_pipeline.py", "retainframe/llm", "corpus_pipeline.py"])
+def test_entry_point_without_training_data_operators(tmp_path, gone):
+    """The other queries stay registered where the subpackage, the pipeline or both are left out."""
+    left_out = shutil.ignore_patterns(".git", "__pycache__", "tests", *(os.path.basename(g) for g in gone.split()))
+    shutil.copytree(ROOT, tmp_path / "copy", ignore=left_out)
+    code = "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), any(q.startswith('op') for q in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""}, timeout=120)
+    assert out.returncode == 0, out.stderr
+    operators = "retainframe/llm" not in gone and os.path.isdir(os.path.join(ROOT, "retainframe", "llm"))
+    number, pipeline, others = out.stdout.split()
+    assert int(number) >= len(QUERIES) and pipeline == "False" and others == str(operators)

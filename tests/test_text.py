@@ -2,17 +2,19 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
-from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
+from retainframe.functions import chunking
 from retainframe.functions.chunking import fixed_chunks, recursive_chunks
 from retainframe.functions.markup import body_lines, html_text
 from retainframe.operators.campaign import insight_text
 from retainframe.operators.corpus import chunk, document_text, drop_copies, top_insights
-from retainframe.operators.retrieval import retrieve_by_text, retrieve_by_vector
+from retainframe.operators.retrieval import fit_vocabulary, retrieve_by_text, retrieve_by_vector, vocabulary_vector
+from retainframe.operators.text_index import build_index, search
 from retainframe.plans.corpus import clean_corpus, insights, retrieve
 
 
@@ -78,6 +80,58 @@ def test_recursive_chunks_by_hand(spark):
     assert split("short", 50, 5) == ["short"]
 
 
+def plain_cut(text, separators, size, overlap):
+    """The rule piece by piece: cut at the first separator, pack what fits, cut the rest by the next ones."""
+    separator, finer = separators[0], separators[1:]
+    head, *rest = text.split(separator) if separator else [""] + list(text)
+    pieces = [p for p in (head, *(separator + r for r in rest)) if p]
+    held, out = [], []
+
+    def flush():
+        first = last = 0
+        while last < len(held):
+            if sum(map(len, held[first : last + 1])) > size and first < last:
+                out.append("".join(held[first:last]))
+                while first < last and (sum(map(len, held[first:last])) > overlap or sum(map(len, held[first : last + 1])) > size):
+                    first += 1
+            last += 1
+        out.append("".join(held[first:last]))
+        held.clear()
+
+    for piece in pieces:
+        if len(piece) < size or not finer:
+            held.append(piece)
+        else:
+            flush()
+            out.extend(plain_cut(piece, finer, size, overlap))
+    flush()
+    return [c.strip() for c in out if c.strip()]
+
+
+@pytest.mark.parametrize("block", [64, 1 << 16])
+def test_recursive_chunks_match_the_rule(spark, monkeypatch, block):
+    monkeypatch.setattr(chunking, "BLOCK", block)
+    rng = random.Random(block)
+
+    def some_text():
+        words = ["".join(rng.choice("abé") for _ in range(rng.choice([1, 2, 3, 5, 9, 14, 30]))) for _ in range(rng.randint(0, 60))]
+        return "".join(w + rng.choice([" ", " ", " ", "  ", "\n", "\n\n", "\n\n\n", "\n\n\n\n", " \n", "\t"]) for w in words)
+
+    texts = [some_text() for _ in range(150)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    for size, overlap in ((20, 5), (12, 0), (40, 13)):
+        for row in frame.select("i", recursive_chunks(size, overlap)(F.col("t")).alias("c")).collect():
+            assert row["c"] == plain_cut(texts[row["i"]], chunking.SEPARATORS, size, overlap), texts[row["i"]]
+    assert one(spark, None, recursive_chunks()) is None
+    with pytest.raises(ValueError):
+        recursive_chunks(50, 50)
+
+
+def test_recursive_chunks_stay_in_the_jvm(spark):
+    plan = spark.createDataFrame([("a",)], "t string").select(recursive_chunks()(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
 def test_recursive_chunks_cover_long_texts(spark):
     rng = random.Random(3)
     words = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 12))) for _ in range(4000)] + ["z" * 4000]
@@ -141,17 +195,15 @@ TEXTS = ["red apple pie", "green apple", "blue sky over the sea", "apple apple r
 
 
 def tfidf(texts, query):
-    hashing = HashingTF(numFeatures=1 << 18)
-    rows = [Counter(hashing.indexOf(w) for w in t.lower().split()) for t in texts]
+    rows = [Counter(re.findall(r"[^\W_]+", t.lower())) for t in texts]
     seen = Counter(i for r in rows for i in r)
-    weight = {i: math.log((len(texts) + 1) / (n + 1)) for i, n in seen.items()}
 
     def unit(counts):
-        v = {i: n * weight.get(i, math.log(len(texts) + 1)) for i, n in counts.items()}
+        v = {i: n * math.log((len(texts) + 1) / (seen[i] + 1)) for i, n in counts.items()}
         length = math.sqrt(sum(x * x for x in v.values()))
         return {i: x / length for i, x in v.items()} if length else v
 
-    q = unit(Counter(hashing.indexOf(w) for w in query.split()))
+    q = unit(Counter(re.findall(r"[^\W_]+", query.lower())))
     return [round(sum(x * q.get(i, 0) for i, x in unit(r).items()), 9) for r in rows]
 
 
@@ -164,6 +216,61 @@ def test_text_retrieval_matches_brute_force(spark):
     assert retrieve_by_text(frame, "?!", k=3).count() == 0
 
 
+def some_corpus(seed, n):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    # a few words are nearly everywhere, one is everywhere
+    return ["all " + " ".join(rng.choice(words[: rng.choice([3, 10, 60])]) for _ in range(rng.randint(0, 25))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("threshold, light, k", [(0.0, 5, 4), (0.3, 0, 50), (0.05, 10_000, 7), (0.5, 20, 3)])
+def test_many_queries_match_brute_force(spark, threshold, light, k):
+    texts, asked = some_corpus(1, 120), some_corpus(2, 25) + ["", "all", "never seen", "w1 never seen", "W1, w1! w50"]
+    rows = spark.createDataFrame([(f"c{i:03d}", t) for i, t in enumerate(texts)], "chunk_id string, text string").repartition(5)
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, text string").repartition(3)
+    index = build_index(rows)
+    found = search(index, queries, k, threshold, light_rows=light).collect()
+    got = {(r["query_id"], r["row"]): r["score"] for r in found}
+    assert len(got) == len(found)
+    for q, query in enumerate(asked):
+        scores = tfidf(texts, query)
+        order = sorted((i for i in range(len(texts)) if scores[i] > 0), key=lambda i: (-scores[i], i))[:k]
+        expected = {f"c{i:03d}": scores[i] for i in order if scores[i] >= threshold}
+        assert {row: s for (i, row), s in got.items() if i == q} == pytest.approx(expected, abs=2e-9), query
+
+
+def test_common_terms_propose_nothing(spark):
+    """A word of nearly every row is only looked up for rows that a rare word proposes."""
+    texts = [f"common r{i}" for i in range(200)] + ["plain r7"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "chunk_id int, text string")
+    index = build_index(rows)
+    queries = spark.createDataFrame([(0, "common r7")], "query_id int, text string")
+    kept = [r["row"] for r in search(index, queries, 5, 0.5).collect()]
+    assert sorted(kept) == [7, 200]
+    terms = {r["term"]: (r["n_rows"], r["peak"]) for r in index.terms.collect()}
+    assert terms["common"][0] == 200 and terms["common"][1] < 0.05 and index.n == 201
+    assert not any(f.name.startswith("hash") for f in index.postings.schema)
+
+
+def test_text_index_edge_cases(spark):
+    rows = spark.createDataFrame([(1, None), (2, ""), (3, "?! --"), (4, "same same"), (5, "x" * 100_000), (6, "Straße 12 été")], "chunk_id int, text string")
+    index = build_index(rows)
+    queries = spark.createDataFrame([(1, None), (2, "same"), (3, "ÉTÉ straße"), (4, "x" * 100_000)], "query_id int, text string")
+    assert {(r["query_id"], r["row"]) for r in search(index, queries).collect()} == {(2, 4), (3, 6), (4, 5)}
+    assert search(build_index(rows.limit(0)), queries).count() == 0
+    assert search(index, queries.limit(0)).count() == 0
+
+
+def test_vocabulary_vectors(spark):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, text string")
+    vocabulary = fit_vocabulary(frame, "text")
+    vectors = {r["i"]: r["v"] for r in frame.select("i", vocabulary_vector(F.col("text"), vocabulary).alias("v")).collect()}
+    for i, text in enumerate(TEXTS):
+        assert sum(a * b for a, b in zip(vectors[i], vectors[3])) == pytest.approx(tfidf(TEXTS, TEXTS[3])[i])
+    with pytest.raises(ValueError):
+        fit_vocabulary(frame, "text", most=3)
+
+
 def test_vector_retrieval_keeps_the_threshold(spark):
     frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 1.0]), (4, [0.0, 0.0])], "chunk_id int, vector array<double>")
     found = retrieve_by_vector(frame, [1.0, 0.0], k=3, threshold=0.7)
