@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .column_stats import ColumnStats, profile_columns
+from ..session import materialize
+from .column_stats import ColumnStats, finite, profile_columns
 
 # Half steps to each side of the centre of a coarse pass; the centre moves until the best power lies inside.
 COARSE_REACH = 8
@@ -37,34 +38,40 @@ def power_grids(decimals: int = 4) -> list[tuple[float, int]]:
 
 
 def fit_yeo_johnson(rows: DataFrame, columns: Sequence[str], decimals: int = 4) -> dict[str, float]:
-    """Maximum-likelihood power per column.
+    """Maximum-likelihood power per column; nulls, NaN and infinities are skipped.
 
-    A pass is one aggregation that scores a grid of powers for every column at once (a group is a
-    column and a power, combined on the map side, so a few dozen rows are shuffled per task); the
-    next pass refines the grid around the best one. The likelihood has a single peak, so this finds
-    the best power on the finest grid; no range is set beforehand.
+    Rows are first combined to distinct values with their counts, on the map side, and written; all passes read those. A
+    pass scores a grid of powers for every column at once in two sums; the next one refines the grid
+    around the best power. The likelihood has a single peak, so this finds the best power on the finest grid; no range
+    is set beforehand.
     """
-    best = dict.fromkeys(columns, 0.0)
-    values = F.array(*(F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)))
+    values = F.array(*(F.struct(F.lit(i).alias("i"), finite(c).alias("x")) for i, c in enumerate(columns)))
     exploded = rows.select(F.explode(values).alias("v")).select("v.i", "v.x").where(F.col("x").isNotNull())
+    counted = materialize(exploded.groupBy("i", "x").agg(F.count(F.lit(1)).alias("n")), "counted")
+    x, n = F.col("x"), F.col("n")
+    facts = {r["i"]: r for r in counted.groupBy("i").agg(F.sum(n).alias("n"), (F.sum(x * n) / F.sum(n)).alias("mean"), F.sum(n * F.signum(x) * F.log1p(F.abs(x))).alias("tilt")).collect()}
+    best = dict.fromkeys(columns, 0.0)
 
     def score_grids(grids: dict[str, list[float]]) -> dict[str, tuple[float, float]]:
         """Best (likelihood, power) of each column's grid; a power that overflows does not count."""
-        x, power = F.col("x"), F.col("power")
+        def per_column(numbers: list[float]) -> Column:
+            return F.get(F.array(*(F.lit(float(v)) for v in numbers)), F.col("i"))
+
+        centre = per_column([facts[i]["mean"] if i in facts else 0.0 for i in range(len(columns))])
+        # powers are data, so that all passes share one compiled plan
         choices = F.array(*(F.array(*(F.lit(p) for p in grids.get(c, []))).cast("array<double>") for c in columns))
-        candidates = exploded.withColumn("power", F.explode(F.get(choices, F.col("i"))))
-        scored = candidates.groupBy("i", "power").agg(
-            F.count("x").alias("n"),
-            F.var_pop(yeo_johnson(x, power)).alias("variance"),
-            F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("tilt"),
-        )
+        power = F.col("power")
+        away = yeo_johnson(x, power) - yeo_johnson(F.col("centre"), power)  # distances from a middle value keep the variance exact
+        candidates = counted.withColumn("centre", centre).withColumn("power", F.explode(F.get(choices, F.col("i"))))
+        scored = candidates.groupBy("i", "power").agg(F.sum(n * away).alias("a"), F.sum(n * away * away).alias("b"))
         peak = {c: (-math.inf, best[c]) for c in grids}
         for row in sorted(scored.collect()):
-            score = -math.inf
-            if row["variance"] is not None and 0 < row["variance"] < math.inf:
-                score = -row["n"] / 2 * math.log(row["variance"]) + (row["power"] - 1) * row["tilt"]
-            if score > peak[columns[row["i"]]][0]:
-                peak[columns[row["i"]]] = (score, row["power"])
+            column, fact = columns[row["i"]], facts[row["i"]]
+            variance = row["b"] / fact["n"] - (row["a"] / fact["n"]) ** 2
+            if 0 < variance < math.inf:
+                score = -fact["n"] / 2 * math.log(variance) + (row["power"] - 1) * fact["tilt"]
+                if score > peak[column][0]:
+                    peak[column] = (score, row["power"])
         return peak
 
     for k, (step, reach) in enumerate(power_grids(decimals)):
@@ -79,21 +86,24 @@ def fit_yeo_johnson(rows: DataFrame, columns: Sequence[str], decimals: int = 4)
 
 
 def auto_scale(rows: DataFrame, columns: Sequence[str], decimals: int = 4) -> DataFrame:
-    """Replace each column by its scaled form; the method follows from the column's own profile."""
+    """Replace each column by its scaled form; the method follows from the column's own profile.
+
+    NaN and infinities count as null in the profile and the fit, and are null in the result.
+    """
     stats = {s.column: s for s in profile_columns(rows, columns)}
     skewed = [c for c, s in stats.items() if s.method == "yeo_johnson"]
     powers = fit_yeo_johnson(rows, skewed, decimals) if skewed else {}
     moments = {}
     if skewed:
-        transformed = {c: yeo_johnson(F.col(c).cast("double"), F.lit(powers[c])) for c in skewed}
+        transformed = {c: yeo_johnson(finite(c), F.lit(powers[c])) for c in skewed}
         found = rows.agg(*(
             f(transformed[c]).alias(f"{kind}{i}")
             for i, c in enumerate(skewed) for kind, f in (("mean", F.avg), ("std", F.stddev_pop))
         )).first()
         moments = {c: (found[f"mean{i}"], found[f"std{i}"]) for i, c in enumerate(skewed)}
-    scaled = {}
+    scaled = {c: F.lit(None).cast("double") for c in columns}  # a column without a value stays empty
     for c, s in stats.items():
-        x = F.col(c).cast("double")
+        x = finite(c)
         if s.method == "robust":
             scaled[c] = robust(x, s)
         elif s.method == "yeo_johnson":

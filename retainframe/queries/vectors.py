@@ -69,6 +69,12 @@ def scale_yeo_johnson_left(spark, sf_dir):
     return tidy(auto_scale(left_skewed(spark, sf_dir), ["share"]))
 
 
+def scale_with_gaps(spark, sf_dir):
+    """A skewed column with NaN, infinities and nulls."""
+    value = F.when(F.col("event_id") % 97 == 0, F.lit(float("nan"))).when(F.col("event_id") % 89 == 0, F.lit(float("inf"))).when(F.col("event_id") % 83 == 0, F.lit(float("-inf"))).when(F.col("event_id") % 79 != 0, F.col("value"))
+    return tidy(auto_scale(table(spark, sf_dir, "events").select("event_id", value.alias("value")), ["value"]))
+
+
 def vector_fuse_normalise(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     fused = vectors.select("vec_id", unit(fuse(F.col("embedding"), [F.col("label"), F.col("label") * 0.5])).alias("v"))
@@ -208,6 +214,7 @@ QUERIES = {
     "scale_standard": scale_standard,
     "scale_yeo_johnson": scale_yeo_johnson,
     "scale_yeo_johnson_left": scale_yeo_johnson_left,
+    "scale_with_gaps": scale_with_gaps,
     "vector_fuse_normalise": vector_fuse_normalise,
     "knn_neighbours": knn_neighbours,
     "knn_neighbours_pivots": knn_neighbours_pivots,
@@ -255,7 +262,7 @@ grid{i} AS (
   SELECT round(p + j * {step!r}::DOUBLE, 10) AS p FROM ({previous}) b, (SELECT unnest(range(-{reach}, {reach + 1})) AS j) g),
 best{i} AS (
   SELECT p FROM (
-    SELECT p, -count(*) / 2.0::DOUBLE * ln(nullif(var_pop({power_sql('p')}), 0)) + (p - 1) * sum(sign(x) * ln(1 + abs(x))) AS score
+    SELECT p, -count(x) / 2.0::DOUBLE * ln(nullif(var_pop({power_sql('p')}), 0)) + (p - 1) * sum(sign(x) * ln(1 + abs(x))) AS score
     FROM grid{i}, source GROUP BY p) s
   WHERE isfinite(score) ORDER BY score DESC LIMIT 1)""")
         previous = f"SELECT p FROM best{i}"
@@ -331,6 +338,7 @@ FROM (SELECT {value} AS x FROM events) t"""
     "scale_standard": scale_sql("lineitem", "l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber", "l_quantity"),
     "scale_yeo_johnson": scale_sql("events", "event_id", "value"),
     "scale_yeo_johnson_left": scale_sql("(SELECT l_orderkey, l_linenumber, pow(l_quantity / 50.0, 0.125) AS share FROM lineitem) l", "l_orderkey, l_linenumber", "share"),
+    "scale_with_gaps": scale_sql("(SELECT event_id, CASE WHEN event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0 AND event_id % 79 <> 0 THEN value END AS value FROM events) e", "event_id", "value"),
     "vector_fuse_normalise": f"""WITH fused AS (
   SELECT vec_id, list_concat(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * 0.3::DOUBLE),
     [label * 0.7::DOUBLE, label * 0.5::DOUBLE * 0.7::DOUBLE]) AS f FROM embeddings),

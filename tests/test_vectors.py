@@ -77,6 +77,24 @@ def test_power_has_the_highest_likelihood(spark):
         assert found[name] == pytest.approx(best, abs=1e-9)
 
 
+def test_values_that_are_not_finite_do_not_count(spark):
+    values = np.exp(RNG.normal(size=2000))
+    holes = [float("nan"), float("inf"), float("-inf"), None]
+    rows = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)] + [(2000 + i, h) for i, h in enumerate(holes)], "i int, x double")
+    plain = {r["i"]: r["x"] for r in auto_scale(rows.where("i < 2000"), ["x"]).collect()}
+    found = {r["i"]: r["x"] for r in auto_scale(rows, ["x"]).collect()}
+    assert [found.pop(2000 + i) for i in range(4)] == [None] * 4
+    assert found == pytest.approx(plain)
+    grid = np.arange(-3000, 1000) / 1000
+    assert fit_yeo_johnson(rows, ["x"], 3)["x"] == pytest.approx(grid[np.argmax([log_likelihood(values, p) for p in grid])])
+
+
+def test_columns_without_values_and_constant_columns(spark):
+    rows = spark.createDataFrame([(None, 2.0), (float("nan"), 2.0)], "none double, same double")
+    assert [tuple(r) for r in auto_scale(rows, ["none", "same"]).collect()] == [(None, 0.0)] * 2
+    assert fit_yeo_johnson(rows, ["none", "same"]) == {"none": 0.0, "same": 0.0}
+
+
 def test_vector_expressions(spark):
     rows = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0], 2.0)], "v array<double>, z array<double>, n double")
     v, z = F.col("v"), F.col("z")
