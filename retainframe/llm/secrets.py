@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from retainframe.functions import bind
+
 KINDS = ("assign", "access", "hex", "entropy")
 # What the base rules look for. Runs of digits and a-f are found at once from the least length.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -60,24 +62,26 @@ def entropy_spans(text: Column, width: int = WIDTH) -> Column:
     letters = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(CHARACTERS), c))
     letters = F.filter(letters, lambda k: k > 0)  # a trailing empty piece
 
-    def step(state: Column, i: Column) -> Column:
-        came = F.element_at(state["letters"], i)
-        went = F.when(i > width, F.element_at(state["letters"], F.greatest(i - width, F.lit(1)))).otherwise(F.lit(0))
+    def step(letters: Column, limit: Column, state: Column, i: Column) -> Column:
+        came = F.element_at(letters, i)
+        went = F.when(i > width, F.element_at(letters, F.greatest(i - width, F.lit(1)))).otherwise(F.lit(0))
         n_in, n_out = F.element_at(state["counts"], came), F.when(went > 0, F.element_at(state["counts"], F.greatest(went, F.lit(1)))).otherwise(F.lit(0))
         same = came == went
         total = F.when(same, state["total"]).otherwise(state["total"] + _weight(n_in + 1) - _weight(n_in) + F.when(went > 0, _weight(n_out - 1) - _weight(n_out)).otherwise(F.lit(0.0)))
         counts = F.when(same, state["counts"]).otherwise(F.transform(state["counts"], lambda n, k: n + F.when(k + 1 == came, 1).otherwise(0) - F.when(k + 1 == went, 1).otherwise(0)))
-        high = (i >= width) & (F.lit(float(width)) * (F.log2(F.lit(float(width))) - state["limit"]) >= total - F.lit(1e-9))
+        high = (i >= width) & (F.lit(float(width)) * (F.log2(F.lit(float(width))) - limit) >= total - F.lit(1e-9))
         spans, n = state["spans"], F.size(state["spans"])
         joins = (n > 0) & (F.element_at(spans, F.greatest(n, F.lit(1)))["e"] >= i - width)
         grown = F.when(joins, F.concat(F.slice(spans, 1, F.greatest(n - 1, F.lit(0))), F.array(F.struct(F.element_at(spans, F.greatest(n, F.lit(1)))["s"].alias("s"), i.alias("e"))))).otherwise(F.concat(spans, F.array(F.struct((i - width).alias("s"), i.alias("e")))))
-        return F.struct(state["letters"].alias("letters"), state["limit"].alias("limit"), counts.alias("counts"), total.alias("total"), F.when(high, grown).otherwise(spans).alias("spans"))
+        return F.struct(counts.alias("counts"), total.alias("total"), F.when(high, grown).otherwise(spans).alias("spans"))
 
     start = F.struct(
-        letters.alias("letters"), limit.alias("limit"), F.array_repeat(F.lit(0), len(CHARACTERS)).alias("counts"), F.lit(0.0).alias("total"),
+        F.array_repeat(F.lit(0), len(CHARACTERS)).alias("counts"), F.lit(0.0).alias("total"),
         F.array().cast("array<struct<s:int,e:int>>").alias("spans"),
     )
-    return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step, lambda state: state["spans"])
+    # letters and limit are bound outside the fold: what a step carries on does not grow with the string
+    fold = lambda known, bits: F.aggregate(F.sequence(F.lit(1), F.size(known)), start, lambda state, i: step(known, bits, state, i), lambda state: state["spans"])
+    return bind(letters, lambda known: bind(limit, lambda bits: fold(known, bits)))
 
 
 def _matches(kind: int, hits: Column, inner: Column, gaps: Column) -> Column:

@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from llm_fixtures import edge_documents, no_documents
@@ -91,3 +92,14 @@ def test_harmless_text_does_not_hide_a_secret(spark):
     assert min(shares) > 0.9
     harmless = ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "2024-01-01T10-00-00_build_of_the_day", "some_long_function_name_here", "HttpServerRequestHandlerFactory", "src/main/java/org/words/Thing12"]
     assert all(r["n_entropy"] == 0 for r in secrets.secret_table(spark.createDataFrame(list(enumerate(harmless)), "doc_id long, text string")).collect())
+
+
+def test_a_very_long_candidate(spark):
+    """The work of a step does not grow with the string: 200,000 characters within seconds, one span over all of them."""
+    rng = random.Random(9)
+    text = "".join(rng.choice(secrets.CHARACTERS) for _ in range(200_000))
+    started = time.perf_counter()
+    got = secrets.secret_table(spark.createDataFrame([(1, f"x {text} y")], "doc_id long, text string")).first()
+    assert time.perf_counter() - started < 60
+    spans = [(x["s"], x["e"]) for x in got["spans"] if x["kind"] == 3]
+    assert sum(e - s for s, e in spans) > 199_000 and all(2 <= s < e <= 200_002 for s, e in spans)
