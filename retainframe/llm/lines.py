@@ -65,6 +65,31 @@ def jaccard(a: str, b: str, size: int = SHINGLE) -> float:
     return both / (len(x) + len(y) - both)
 
 
+def jaccards(x: pa.Array, y: pa.Array, size: int = SHINGLE) -> np.ndarray:
+    """Similarities of pairs of lines of ``size`` characters or more: each distinct line is cut once, shared shingles are counted by one sort."""
+    coded = pa.concat_arrays([x, y]).dictionary_encode()
+    lines = coded.dictionary.to_pylist()
+    if not lines:
+        return np.zeros(0)
+    h = _shingle_hashes(lines, size)
+    rank = np.unique(h, return_inverse=True)[1].astype(np.int64)
+    width = int(rank.max()) + 1
+    own = np.unique(np.repeat(np.arange(len(lines)), np.array([len(line) for line in lines]) - size + 1) * width + rank)
+    rank, n = own % width, np.bincount(own // width, minlength=len(lines))
+    first = np.cumsum(n) - n
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    a, b = code[: len(x)], code[len(x) :]
+
+    def cells(line: np.ndarray) -> np.ndarray:
+        count = n[line]
+        place = np.arange(count.sum()) + np.repeat(first[line] - (np.cumsum(count) - count), count)
+        return np.repeat(np.arange(len(line)), count) * width + rank[place]
+
+    keys = np.sort(np.concatenate([cells(a), cells(b)]))
+    both = np.bincount(keys[1:][keys[1:] == keys[:-1]] // width, minlength=len(a))
+    return both / (n[a] + n[b] - both)
+
+
 _SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 _FACTORS, _FLIPS = (_SEEDS[: BANDS * ROWS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (_SEEDS[BANDS * ROWS :] >> np.uint64(32)).astype(np.uint32)
 
@@ -219,8 +244,10 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [jaccard(x.as_py(), y.as_py()) for x, y in zip(batch.column("x"), batch.column("y"))]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
+            for i, j in chunks(batch, "x", 1 << 20):
+                part = batch.slice(i, j - i)
+                found = jaccards(part.column("x"), part.column("y"))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(found)], names=["a", "b", "similarity"])
 
     both = pairs.join(lines.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(lines.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
     return keep(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, similarity double"), "verified")
