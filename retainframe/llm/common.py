@@ -20,7 +20,42 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back: cuts lineage, survives lost executors."""
     path = shared_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_path = path
+    if _OPEN:
+        _OPEN[-1].paths.add(path)
+    return out
+
+
+class Scratch:
+    """A ``with`` block at whose end the tables kept inside are removed, but for those given to ``hold``.
+
+    Only what a later plan reads needs holding; held tables pass to the block around, if there is one.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, set()
+
+    def __enter__(self) -> Scratch:
+        _OPEN.append(self)
+        return self
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        self.paths.discard(df.kept_path)
+        outer = _OPEN[: _OPEN.index(self)]
+        if outer:
+            outer[-1].paths.add(df.kept_path)
+        return df
+
+    def __exit__(self, *error) -> None:
+        _OPEN.remove(self)
+        context = self.spark.sparkContext
+        for path in sorted(self.paths):
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
+_OPEN: list[Scratch] = []
 
 
 def free_name(df: DataFrame, name: str) -> str:

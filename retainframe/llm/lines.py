@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, chunks, free_name, keep, mix
+from .common import RollingHash, Scratch, chunks, free_name, keep, mix
 from .components import components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 10, 0.8, 12, 4
@@ -344,17 +344,18 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str | None = "doc_id") -
     """
     counted, cut = free_name(df, "n_lines"), free_name(df, "n_removed")
     schema = T.StructType([*df.schema.fields, T.StructField(counted, T.LongType(), False), T.StructField(cut, T.LongType(), False)])
-    blocks = make_blocks(df.sortWithinPartitions(F.col(key).asc_nulls_last()) if key else df, text)
-    places = first_places(blocks, text, key)
-    roots = keep(components(links(blocks, text)).withColumnRenamed("node", "h"), "roots")
-    # lines in several blocks or in a component; where a hash stands for two lines, all are left alone
-    each = places.groupBy("h").agg(F.min(F.struct("key", "block")).alias("first"), F.count("*").alias("n"), F.min("second").alias("s0"), F.max("second").alias("s1"))
-    each = each.join(roots, "h", "left").where("s0 = s1 and (n > 1 or root is not null)").withColumn("root", F.coalesce("root", "h"))
-    each = keep(each.select("h", "root", "first"), "repeated-lines")
-    winners = each.groupBy("root").agg(F.min(F.struct("first", "h")).alias("w")).select("root", F.col("w.first.block").alias("kept_in"), F.col("w.h").alias("kept"))
-    winners = keep(each.join(keep(winners, "winners"), "root").select("h", "kept", "kept_in"), "decisions")
-    lost = places.join(winners, "h").where("h != kept or block != kept_in")
-    listed = keep(lost.groupBy("block").agg(F.collect_set("h").alias("lost")), "lost-lines")
+    with Scratch(df.sparkSession) as scratch:
+        blocks = scratch.hold(make_blocks(df.sortWithinPartitions(F.col(key).asc_nulls_last()) if key else df, text))
+        places = first_places(blocks, text, key)
+        roots = keep(components(links(blocks, text)).withColumnRenamed("node", "h"), "roots")
+        # lines in several blocks or in a component; where a hash stands for two lines, all are left alone
+        each = places.groupBy("h").agg(F.min(F.struct("key", "block")).alias("first"), F.count("*").alias("n"), F.min("second").alias("s0"), F.max("second").alias("s1"))
+        each = each.join(roots, "h", "left").where("s0 = s1 and (n > 1 or root is not null)").withColumn("root", F.coalesce("root", "h"))
+        each = keep(each.select("h", "root", "first"), "repeated-lines")
+        winners = each.groupBy("root").agg(F.min(F.struct("first", "h")).alias("w")).select("root", F.col("w.first.block").alias("kept_in"), F.col("w.h").alias("kept"))
+        winners = keep(each.join(keep(winners, "winners"), "root").select("h", "kept", "kept_in"), "decisions")
+        lost = places.join(winners, "h").where("h != kept or block != kept_in")
+        listed = scratch.hold(keep(lost.groupBy("block").agg(F.collect_set("h").alias("lost")), "lost-lines"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

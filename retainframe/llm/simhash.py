@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, keep, mix
+from .common import Scratch, chunks, keep, mix
 from .components import components
 
 BITS, SEED = 64, 42
@@ -350,20 +350,22 @@ def near_copies(df: DataFrame, text: str = "text", key: str = "doc_id", words_ea
     row = "_row"
     while row in df.columns:
         row = f"_{row}"
-    numbered = keep(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    slim = numbered.select(F.col(row).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [t.as_py() or "" for t in batch.column("text")]
-            names = [xxhash.xxh3_128_digest(v) if v.encode().split() else b"" for v in values]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), pa.array(names, pa.binary())], names=["row", "key", "t"])
-
-    rows = slim.mapInArrow(run, f"row bigint, key {slim.schema['key'].dataType.simpleString()}, t binary")
-    texts = keep(rows.groupBy("t").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row")).alias("first")), "texts")
-    nodes = texts.where("t != X''").select(F.col("first.row").alias("node"))
-    bodies = keep(slim.select(F.col("row").alias("node"), "text").join(nodes, "node", "left_semi"), "bodies")
-    roots = components(near_links(bodies, words_each, least))
-    member = texts.select("first", F.col("first.row").alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    stays = member.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
-    return numbered.join(keep(stays, "stays"), row, "left_semi").drop(row)
+    with Scratch(df.sparkSession) as scratch:
+        numbered = scratch.hold(keep(df.withColumn(row, F.monotonically_increasing_id()), "numbered"))
+        slim = numbered.select(F.col(row).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                values = [t.as_py() or "" for t in batch.column("text")]
+                names = [xxhash.xxh3_128_digest(v) if v.encode().split() else b"" for v in values]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), pa.array(names, pa.binary())], names=["row", "key", "t"])
+
+        rows = slim.mapInArrow(run, f"row bigint, key {slim.schema['key'].dataType.simpleString()}, t binary")
+        texts = keep(rows.groupBy("t").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row")).alias("first")), "texts")
+        nodes = texts.where("t != X''").select(F.col("first.row").alias("node"))
+        bodies = keep(slim.select(F.col("row").alias("node"), "text").join(nodes, "node", "left_semi"), "bodies")
+        roots = components(near_links(bodies, words_each, least))
+        member = texts.select("first", F.col("first.row").alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        stays = member.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+        stays = scratch.hold(keep(stays, "stays"))
+    return numbered.join(stays, row, "left_semi").drop(row)

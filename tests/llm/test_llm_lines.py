@@ -1,10 +1,11 @@
+import os
 import random
 
 import pyarrow as pa
 import pytest
 from llm_fixtures import babble, components_of, edge_documents, no_documents
 
-from retainframe.llm import lines
+from retainframe.llm import common, lines
 
 
 def plain(rows):
@@ -89,3 +90,15 @@ def test_short_lines(spark):
     rows = [(1, "All rights reserved.\nalone"), (2, "first\nAll rights reserved."), (3, "  All rights reserved. \nten chars!"), (4, "ten chars!\nlast")]
     got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     assert got == {1: (rows[0][1], 1, 0), 2: ("first", 1, 1), 3: ("ten chars!", 2, 1), 4: ("last", 1, 1)}
+
+
+def test_only_what_the_result_reads_is_kept(spark, monkeypatch):
+    written, removed = [], []
+    shared = common.shared_dir
+    monkeypatch.setattr(common, "shared_dir", lambda spark, name: written.append(shared(spark, name)) or written[-1])
+    docs = spark.createDataFrame([(1, "a line that occurs twice in here\nother text"), (2, "a line that occurs twice in here")], "doc_id long, text string")
+    out = lines.dedup_lines(docs)
+    removed = [path for path in written if not os.path.exists(path)]
+    assert len(written) - len(removed) == 2 and len(removed) > 10
+    assert sorted(r["n_removed"] for r in out.collect()) == [0, 1]
+    assert not common._OPEN
