@@ -16,10 +16,13 @@ def shift_months(moment: Column, months: int) -> Column:
 
 
 def shift_days(moment: Column, days: Column) -> Column:
-    """Timestamp plus a possibly fractional number of days (1.5 days moves 36 hours)."""
+    """Date or moment plus a possibly fractional number of days (1.5 days moves 36 hours), as a moment without a time zone.
+
+    A day has 24 hours whatever the session's zone, also where its clocks change.
+    """
     zero = F.lit(0)
     seconds = (days * F.lit(86400)).cast("decimal(18,6)")
-    return moment.cast("timestamp") + F.make_dt_interval(zero, zero, zero, seconds)
+    return moment.cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def age_in_years(as_of: Column, since: Column) -> Column:

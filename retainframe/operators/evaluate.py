@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio_or_zero
 from ..functions.strings import pack_key
+from ..session import materialize
 
 
 def vote(neighbours: DataFrame, query: str = "query_id", label: str = "label", k: int = 10, threshold: float = 0.4) -> DataFrame:
@@ -57,22 +57,18 @@ def scored(predictions: DataFrame, score: str) -> DataFrame:
     return predictions.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
 
 
-def score_totals(
-    predictions: DataFrame, score: str, truth: str = "true_label", buckets: int = 4096
-) -> DataFrame:
-    """Per distinct score: positives and negatives there, and how many lie above it.
+def score_totals(predictions: DataFrame, score: str, truth: str = "true_label", buckets: int | None = None) -> DataFrame:
+    """Per distinct score: positives and negatives there, and how many lie at or above it.
 
-    Running totals over many scores are taken in two steps, so that no task sees all of them: cut
-    points give each bucket its range of scores, bucket totals (at most ``buckets`` + 1 rows) give
-    the offset, and a window inside the bucket gives the rest. Rows without a score are left out.
+    The predictions are read once, combined to distinct scores. Those are written in ranges of scores; the totals of the
+    ranges (``buckets`` at most, by default the shuffle partitions) give each range its offset, and a window
+    inside the range the rest, so that no task sees all scores. Rows without a score are left out.
     """
-    per_score = scored(predictions, score).groupBy(F.col(score).cast("double").alias("score")).agg(
+    per_score = materialize(scored(predictions, score).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(truth) == 1).alias("pos"), F.count_if(F.col(truth) == 0).alias("neg")
-    )
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(per_score.approxQuantile("score", shares, 0.5 / buckets)))
-    splits = [float("-inf"), *cuts, float("inf")]
-    placed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(per_score)
+    ), "scores")
+    ranged = per_score.repartitionByRange(buckets, "score") if buckets else per_score.repartitionByRange("score")
+    placed = materialize(ranged.withColumn("bucket", F.spark_partition_id()), "ranges")
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
@@ -93,9 +89,7 @@ def score_totals(
 def roc_points(predictions: DataFrame, score: str, truth: str = "true_label") -> DataFrame:
     """(threshold, fpr, tpr) per distinct score plus the (0, 0) start, whose threshold is null."""
     totals = score_totals(predictions, score, truth)
-    overall = scored(predictions, score).agg(
-        F.count_if(F.col(truth) == 1).alias("all_pos"), F.count_if(F.col(truth) == 0).alias("all_neg")
-    )
+    overall = totals.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("all_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("all_neg"))
     positives = overall.select("all_pos").scalar()
     negatives = overall.select("all_neg").scalar()
     points = totals.select(

@@ -48,7 +48,7 @@ def churn_label(features: DataFrame, split: Column, grace_months: int = 3) -> Da
     """Label 1 where the expected next visit plus the grace period is not after the split date."""
     expected = shift_days(F.col("last_date"), F.col("day_diff_median"))
     latest = shift_months(F.col("relative_next_instore_date"), grace_months)
-    lost = (F.col("max_relative_next_instore_date") <= split.cast("timestamp")) | F.col("inactive")
+    lost = (F.col("max_relative_next_instore_date") <= split.cast("timestamp_ntz")) | F.col("inactive")
     return (
         features.withColumn("relative_next_instore_date", expected)
         .withColumn("max_relative_next_instore_date", latest)

@@ -29,7 +29,7 @@ def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
             c = c.cast("bigint")
         elif dtype == "date":
             c = c.cast("string")
-        elif dtype == "timestamp":
+        elif dtype in ("timestamp", "timestamp_ntz"):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif dtype == "array<string>":
             c = F.array_join(c, ";")

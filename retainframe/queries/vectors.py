@@ -132,12 +132,11 @@ def knn_report(spark, sf_dir):
 
 
 def roc_hard(spark, sf_dir):
-    # the predictions are written once: cut points, totals and points each read them
-    return tidy(roc_points(materialize(predictions(spark, sf_dir), "predictions"), "pred_label"))
+    return tidy(roc_points(predictions(spark, sf_dir), "pred_label"))
 
 
 def roc_share(spark, sf_dir):
-    voted = materialize(predictions(spark, sf_dir), "predictions")
+    voted = predictions(spark, sf_dir)
     return tidy(roc_points(voted.withColumn("share", F.col("total_score") / 10), "share"))
 
 

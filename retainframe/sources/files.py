@@ -88,6 +88,43 @@ def write_vectors(rows: DataFrame, path: str, max_rows_per_file: int = 1_000_000
     return read_table(rows.sparkSession, path, rows.schema)
 
 
-def rebuild_vectors(first: DataFrame, second: DataFrame, path: str) -> DataFrame:
-    """Replace the vector table by the rows of both sources."""
-    return write_vectors(first.unionByName(second), path)
+# Names under a vector table's folder; Spark's readers of the folder itself skip what begins with an underscore.
+COMMITTED, VERSION = "_committed", "_version"
+
+
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def vector_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions of a rebuilt vector table, in order."""
+    files, place = _files(spark, f"{path}/{COMMITTED}")
+    return sorted(int(f.getPath().getName()) for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def read_vectors(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The current version of a vector table: the newest complete rebuild, else what :func:`write_vectors` wrote."""
+    versions = vector_versions(spark, path)
+    return read_table(spark, f"{path}/{VERSION}-{versions[-1]}" if versions else path, schema)
+
+
+def rebuild_vectors(first: DataFrame, second: DataFrame, path: str, keep_versions: int = 2) -> DataFrame:
+    """Replace the vector table by the rows of both sources, and return it.
+
+    The rows are written beside the current version. Only when all are there an empty file with the new number is created,
+    which no second rebuild can create too; from then on :func:`read_vectors` finds the new version. A rebuild
+    that fails leaves the table as it was. Plans made before go on reading the version they were made for; of those
+    the last ``keep_versions`` stay.
+    """
+    spark, rows = first.sparkSession, first.unionByName(second)
+    number = (vector_versions(spark, path) or [0])[-1] + 1
+    write_vectors(rows, f"{path}/{VERSION}-{number}")
+    files, mark = _files(spark, f"{path}/{COMMITTED}/{number}")
+    files.create(mark, False).close()  # fails where the number is taken
+    for old in vector_versions(spark, path)[:-keep_versions]:
+        for gone in (f"{path}/{COMMITTED}/{old}", f"{path}/{VERSION}-{old}"):
+            files.delete(_files(spark, gone)[1], True)
+    return read_vectors(spark, path, rows.schema)

@@ -3,12 +3,13 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from retainframe.operators import campaign as op
 from retainframe.plans.campaign import gated_queue, post_performance_report
 from retainframe.plans.churn import churn_features
 from retainframe.session import shared_dir
-from retainframe.sources.files import read_csv, read_visit_tables, rebuild_vectors, typed, write_csv, write_vectors
+from retainframe.sources.files import read_csv, read_visit_tables, read_vectors, rebuild_vectors, typed, vector_versions, write_csv, write_vectors
 from retainframe.sources.schemas import CONTENTS, MEMBER_COLUMNS, VISIT_COLUMNS
 from retainframe.sources.web import news_results, post_metric_rows, rejected_posts
 
@@ -169,3 +170,19 @@ def test_repeated_decisions_and_attempts_do_not_multiply_rows(spark):
     attempts = spark.createDataFrame([("a", "timeout", None), ("a", None, "p"), ("a", "timeout", None)], "content_id string, error string, post_id string")
     results = op.publish_results(op.publish_queue(rows, "page"), attempts)
     assert [(r["status"], r["post_id"]) for r in results.collect()] == [("success", "p")]
+
+
+def test_a_failed_rebuild_leaves_the_table(spark):
+    path = shared_dir(spark, "vectors")
+    rows = spark.createDataFrame([("a", [1.0], "t")], "id string, embedding array<double>, text string")
+    write_vectors(rows, path)
+    assert read_vectors(spark, path).count() == 1
+    first = rebuild_vectors(rows, rows, path)
+    broken = rows.select(F.when(F.rand() >= 0, F.raise_error(F.lit("no more rows"))).cast("string").alias("id"), "embedding", "text")
+    with pytest.raises(Exception, match="no more rows"):
+        rebuild_vectors(rows, broken, path)
+    assert read_vectors(spark, path).count() == 2 and vector_versions(spark, path) == [1]
+    second = rebuild_vectors(rows, rows.limit(0), path)
+    assert second.count() == 1 and first.count() == 2  # readers of the version before go on
+    rebuild_vectors(rows, rows, path)
+    assert vector_versions(spark, path) == [2, 3] and read_vectors(spark, path).count() == 2

@@ -201,6 +201,20 @@ def test_auc_and_roc_with_ties(spark):
     assert len(points) == len(set(score)) + 1
 
 
+def test_predictions_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(500).selectExpr("double(id % 90) AS s", "int(id % 7 = 0) AS true_label").mapInArrow(counted, "s double, true_label int")
+    assert roc_points(rows, "s").count() == 91
+    assert read.value == 500
+    assert roc_points(rows.limit(0), "s").count() == 1
+
+
 def test_roc_of_many_scores_uses_all_buckets(spark):
     score, label = RNG.normal(size=2000), RNG.integers(0, 2, size=2000)
     rows = spark.createDataFrame([(float(s), int(y)) for s, y in zip(score, label)], "s double, true_label int")

@@ -212,3 +212,24 @@ def test_packed_keys(spark):
     assert tuple(packed.select(*unpack_key(F.col("p"))).first()) == ("v1", 1)
 
 
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_labels_do_not_depend_on_the_session_zone(spark, zone):
+    """Days that clocks change on have 24 hours too."""
+    from retainframe.operators.features import churn_label
+
+    features = spark.createDataFrame([(i, date(2021, 3, 13), 0.5 + i / 4, False) for i in range(12)], "entity_id int, last_date date, day_diff_median double, inactive boolean")
+
+    def found():
+        out = churn_label(features, F.lit(date(2021, 6, 15)))
+        return {r[0]: tuple(r) for r in out.selectExpr("entity_id", "string(relative_next_instore_date)", "string(max_relative_next_instore_date)", "churn_label").collect()}
+
+    usual = found()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert found() == usual
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert {r[3] for r in usual.values()} == {0, 1} and usual[0][1] == "2021-03-13 12:00:00"
