@@ -1,7 +1,6 @@
 import os
 import random
 
-import pyarrow as pa
 import pytest
 from llm_fixtures import babble, components_of, edge_documents, no_documents
 
@@ -59,15 +58,6 @@ def test_jaccard_and_bands():
     assert lines.bands([]).shape == (0, lines.BANDS)
 
 
-def test_similarities_of_many_pairs():
-    rng = random.Random(4)
-    pool = [babble(rng, rng.randint(4, 30)).ljust(10, "x") for _ in range(40)] + ["a" * 10, "a" * 500, "é漢😀" * 5]
-    x, y = [rng.choice(pool) for _ in range(300)], [rng.choice(pool) for _ in range(200)]
-    y += [varied(rng, line).ljust(10, "y") for line in x[200:]]
-    assert lines.jaccards(pa.array(x), pa.array(y)).tolist() == [lines.jaccard(a, b) for a, b in zip(x, y)]
-    assert len(lines.jaccards(pa.array([], pa.string()), pa.array([], pa.string()))) == 0
-
-
 def test_edge_rows(spark):
     line = "this very line occurs in several of the documents"
     edge = edge_documents(spark, [(9, f"{line}\n\n{line}\nshort"), (8, f"  {line} \nother")])
