@@ -16,6 +16,8 @@ SHARED_SIDE_BYTES = 64 << 20
 # Vectors of one block of the grid, and similarities held at a time inside a task.
 BLOCK_BYTES = 32 << 20
 SCORES_AT_ONCE = 4 << 20
+# One row of this many of a scanned base tells how good a query's k-th row is at least.
+FLOOR_SHARE = 16
 # Pivots are held by every task; the error allowed for an angle computed from a cosine.
 MAX_PIVOTS = 1024
 ANGLE_ERROR = 1e-6
@@ -49,18 +51,18 @@ def nearest_neighbours(
     """
     queries = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector")).where("vector is not null")
     base = base.select("base_id", F.col("vector").cast("array<double>").alias("vector"), *carry).where("vector is not null")
-    n_queries, dims = _shape(queries)
-    n_base, base_dims = _shape(base)
+    n_queries, dims, query_extra = _shape(queries)
+    n_base, base_dims, base_extra = _shape(base)
     row_bytes = 8 * max(dims, base_dims, 1)
     result = T.StructType(
         [T.StructField("query_id", queries.schema["query_id"].dataType)]
         + [T.StructField(f.name, f.dataType) for f in base.schema if f.name != "vector"]
         + [T.StructField("score", T.DoubleType())]
     )
-    if n_base * row_bytes <= shared_side_bytes:
+    if n_base * row_bytes + base_extra <= shared_side_bytes:
         found = _scan_queries(queries, base, k, digits, result)
     else:
-        if n_queries * row_bytes <= shared_side_bytes:
+        if n_queries * row_bytes + query_extra <= shared_side_bytes:
             partial = _scan_base(queries, base, k, digits, result)
         else:
             partial = _by_pivot(queries, base, k, digits, result, n_base, max(1, block_bytes // row_bytes))
@@ -69,11 +71,13 @@ def nearest_neighbours(
     return found if min_similarity is None else found.where(F.col("score") >= min_similarity)
 
 
-def _shape(side: DataFrame) -> tuple[int, int]:
-    row = side.agg(F.count(F.lit(1)), F.min(F.size("vector")), F.max(F.size("vector"))).first()
+def _shape(side: DataFrame) -> tuple[int, int, int]:
+    """Rows, dimensions, and bytes of all columns beside the vector."""
+    others = F.octet_length(F.to_json(F.struct(*(c for c in side.columns if c != "vector"))))
+    row = side.agg(F.count(F.lit(1)), F.min(F.size("vector")), F.max(F.size("vector")), F.sum(others)).first()
     if row[1] != row[2]:
         raise ValueError(f"vectors of {row[1]} and {row[2]} dimensions in one column")
-    return row[0], row[2] or 0
+    return row[0], row[2] or 0, row[3] or 0
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -93,9 +97,10 @@ def _prepared(table: pa.Table, id_column: str) -> tuple[pa.Table, np.ndarray]:
 
 
 def _top(
-    queries: tuple[pa.Table, np.ndarray], base: tuple[pa.Table, np.ndarray], k: int, digits: int, schema: pa.Schema
+    queries: tuple[pa.Table, np.ndarray], base: tuple[pa.Table, np.ndarray], k: int, digits: int, schema: pa.Schema,
+    floors: np.ndarray | None = None,
 ) -> pa.Table:
-    """Top k rows of one base block for each query of one query block."""
+    """Top k rows of one base block for each query of one query block, without those below the query's floor."""
     (query_rows, q), (base_rows, b) = queries, base
     if not query_rows.num_rows or not base_rows.num_rows:
         return schema.empty_table()
@@ -107,6 +112,8 @@ def _top(
             limits = np.partition(block, len(b) - k, axis=1)[:, len(b) - k]
         else:
             limits = np.full(len(block), -np.inf)
+        if floors is not None:
+            limits = np.maximum(limits, floors[start:start + step])
         for i, row in enumerate(block):
             # all rows as good as the k-th, in base_id order, so that a stable sort settles the ties
             candidates = np.flatnonzero(row >= limits[i])
@@ -146,17 +153,30 @@ def _scan_queries(queries: DataFrame, base: DataFrame, k: int, digits: int, resu
     return queries.mapInArrow(answer, result)
 
 
-def _scan_base(queries: DataFrame, base: DataFrame, k: int, digits: int, result: T.StructType) -> DataFrame:
-    shared, schema = queries.toArrow(), _arrow_schema(result)
+def _scan_base(queries: DataFrame, base: DataFrame, k: int, digits: int, result: T.StructType, floor_share: int = FLOOR_SHARE) -> DataFrame:
+    """Partial results of a scan: about ``floor_share`` * k rows per query in all, however many tasks scan the base.
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, asked = schema.empty_table(), _prepared(shared, "query_id")
-        for batch in batches:
-            rows = _prepared(pa.Table.from_batches([batch]), "base_id")
-            best = _merge([best, _top(asked, rows, k, digits, schema)], k)
-        yield from best.to_batches()
+    The k-th best row among a hashed share of the base is a floor under a query's k-th best row of all, so tasks
+    give back only rows that reach it.
+    """
+    shared, schema = queries.toArrow(), _arrow_schema(result)
 
-    return base.mapInArrow(scan, result)
+    def scan(rows: DataFrame, floors: np.ndarray | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best, asked = schema.empty_table(), _prepared(shared, "query_id")
+            for batch in batches:
+                rows = _prepared(pa.Table.from_batches([batch]), "base_id")
+                best = _merge([best, _top(asked, rows, k, digits, schema, floors)], k)
+            yield from best.to_batches()
+
+        return rows.mapInArrow(run, result)
+
+    part = scan(base.where(F.pmod(F.xxhash64("base_id"), F.lit(floor_share)) == 0), None)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
+    kth = part.select("query_id", "score", place.alias("place")).where(F.col("place") == k).select("query_id", "score")
+    known = {r["query_id"]: r["score"] for r in kth.collect()}  # a number per query; the queries themselves fit a task
+    floors = np.array([known.get(q, -np.inf) for q in shared.sort_by("query_id").column("query_id").to_pylist()])
+    return scan(base, floors)
 
 
 def _by_pivot(

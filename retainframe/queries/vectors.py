@@ -9,6 +9,7 @@ from ..functions.vectors import as_doubles, fuse, norm, unit
 from ..operators.column_stats import column_profile
 from ..operators.evaluate import auc, classification_report, roc_points
 from ..operators.features import stratified_split
+from ..operators.hashed_neighbours import hashed_neighbours
 from ..operators.neighbours import nearest_neighbours
 from ..operators.retrieval import retrieve_by_vector
 from ..operators.scaling import auto_scale
@@ -110,6 +111,12 @@ def knn_neighbours_pivots(spark, sf_dir):
     ))
 
 
+def knn_hashed(spark, sf_dir):
+    """Every vector against every vector by random-projection hashing: nearly all of the nearest five."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return tidy(hashed_neighbours(vectors.withColumnRenamed("vec_id", "query_id"), vectors.withColumnRenamed("vec_id", "base_id"), 5))
+
+
 def predictions(spark, sf_dir):
     return knn_churn(labelled_vectors(spark, sf_dir))
 
@@ -217,6 +224,7 @@ QUERIES = {
     "vector_fuse_normalise": vector_fuse_normalise,
     "knn_neighbours": knn_neighbours,
     "knn_neighbours_pivots": knn_neighbours_pivots,
+    "knn_hashed": knn_hashed,
     "knn_vote": knn_vote,
     "prediction_sink": prediction_sink,
     "classification_report": knn_report,

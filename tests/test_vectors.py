@@ -4,11 +4,13 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retainframe.functions.vectors import cosine, fuse, norm, unit
 from retainframe.operators import column_stats as cs
 from retainframe.operators import neighbours as nb
 from retainframe.operators.evaluate import auc, classification_report, roc_points, vote
+from retainframe.operators.hashed_neighbours import hashed_neighbours
 from retainframe.operators.neighbours import nearest_neighbours
 from retainframe.operators.scaling import auto_scale, fit_yeo_johnson
 from retainframe.plans.churn import knn_churn
@@ -156,6 +158,32 @@ def test_pivots_skip_far_groups_and_stay_exact(spark, monkeypatch):
     assert routes < 60 * groups / 2
 
 
+def test_a_scan_gives_back_few_rows(spark):
+    """However many tasks scan the base, about FLOOR_SHARE * k rows per query are merged."""
+    base, queries = RNG.normal(size=(4000, 8)), RNG.normal(size=(20, 8))
+    rows = vectors(spark, base, "base_id").repartition(100)
+    asked = vectors(spark, queries, "query_id")
+    schema = T.StructType.fromDDL("query_id bigint, base_id bigint, score double")
+    partial = nb._scan_base(asked, rows, 5, 9, schema)
+    assert partial.count() < 20 * 5 * nb.FLOOR_SHARE * 2  # without the floor: 20 * 5 * 100
+    found = nearest_neighbours(asked, rows, 5, shared_side_bytes=20 * 8 * 8 + 2000)
+    assert {(r["query_id"], r["base_id"]): r["score"] for r in found.collect()} == pytest.approx(brute(queries, base, 5))
+
+
+def test_hashed_neighbours_find_nearly_all_with_exact_scores(spark):
+    centres = RNG.normal(size=(60, 32))
+    base = np.repeat(centres, 50, axis=0) + RNG.normal(size=(3000, 32)) * 0.6
+    base[:900] = base[0]  # copies fill one bucket
+    queries = np.r_[centres + RNG.normal(size=(60, 32)) * 0.6, base[:1], np.zeros((1, 32))]
+    exact = brute(queries, base, 10)
+    found = {(r["query_id"], r["base_id"]): r["score"] for r in hashed_neighbours(vectors(spark, queries, "query_id"), vectors(spark, base, "base_id"), 10, block_bytes=200 * 8 * 32).collect()}
+    everyone = brute(queries, base, len(base))
+    assert found == pytest.approx({pair: everyone[pair] for pair in found})
+    near = {pair for pair in exact if pair[0] < 61}
+    assert len(near & set(found)) >= 0.9 * len(near)
+    assert hashed_neighbours(vectors(spark, queries, "query_id"), vectors(spark, base, "base_id").limit(0)).count() == 0
+
+
 def test_neighbour_edge_cases(spark):
     base = vectors(spark, np.eye(3), "base_id")
     few = nearest_neighbours(vectors(spark, np.eye(3)[:1], "query_id"), base, 10)
