@@ -13,9 +13,8 @@ apart exactly if they share such a point, so the group links to one member and n
 
 Edge cases: a text without words (null, empty, white space) has fingerprint zero and is linked like any other; a
 null key is allowed, a component without any key gets a null id; repeated rows give repeated results; an empty
-table gives an empty result. Only the key and text columns are read, so other columns cannot clash.
-
-``near_copies`` takes no fingerprints: its relation is the similarity of shingle sets, which prefixes of the sets find exactly.
+table gives an empty result. Only the key and text columns are read, so other columns cannot clash; ``drop_near_duplicates``
+passes all columns of the rows that it keeps.
 """
 
 from __future__ import annotations
@@ -26,11 +25,10 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, chunks, keep, mix
+from .common import Scratch, free_name, keep
 from .components import components
 
 BITS, SEED = 64, 42
@@ -210,162 +208,16 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     return rows.join(named, "fp").select(F.col("key").alias(key), "fp", "component")
 
 
-# --- near copies above a similarity --------------------------------------------------------------------------
-
-#: Words of a shingle and similarity that make two texts near copies; bytes of text per bucket of shingles.
-SHINGLE_WORDS, SIMILARITY, BUCKET_BYTES = 5, 0.8, 48 << 20
-
-
-def similarity(a: str | None, b: str | None, words_each: int = SHINGLE_WORDS) -> float:
-    """Jaccard similarity of the texts' sets of word shingles."""
-    x, y = np.unique(shingle_hashes(a, words_each)), np.unique(shingle_hashes(b, words_each))
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
-
-
-def _prefix(n: int, least: float) -> tuple[int, int, int]:
-    """For ``n`` shingles: how many of the smallest two similar texts share one of, share ``more`` of, and ``more``."""
-    one, more = n - int(np.ceil(least * n - 1e-9)) + 1, max(1, n // 5)
-    return one, min(n, one + more - 1), more
-
-
-def shared_shingles(bodies: DataFrame, words_each: int, least: float) -> DataFrame:
-    """(kind, node, a, b): of each node its shingles and those of the longer prefix that others have (0: a, b), and the groups that share one of the shorter (1: group a).
+def drop_near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", words_each: int = 3, distance: int = 2) -> DataFrame:
+    """``df`` with one row of each component of ``near_duplicates``: the one with the smallest key (null last), of equal keys any one.
 
-    Shingles are ordered by their hash, which is cut to 32 bits within a bucket: a chance match is one more candidate, none is lost.
-    """
-    size = bodies.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            for i, j in chunks(batch, "text"):
-                nodes = np.asarray(batch.column("node").slice(i, j - i)).astype("<i8")
-                keys, short, sizes = [], [], []
-                for t in batch.column("text").slice(i, j - i):
-                    found = np.unique(shingle_hashes(t.as_py(), words_each))
-                    one, longer, _ = _prefix(len(found), least)
-                    keys.append(found[:longer])
-                    short.append(np.arange(longer) < one)
-                    sizes.append(len(found))
-                owner = np.repeat(np.arange(len(nodes)), [len(k) for k in keys])
-                key, short, sizes = mix(np.concatenate(keys)), np.concatenate(short), np.array(sizes)
-                bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
-                out = []
-                for part in parts:
-                    used, local = np.unique(owner[part], return_inverse=True)
-                    head = np.array([len(part), len(used)], "<u4").tobytes() + nodes[used].tobytes() + sizes[used].astype("<u4").tobytes()
-                    out.append(pack(head + (key[part] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (local * 2 + short[part]).astype("<u4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([int(bucket[part[0]]) for part in parts], pa.int32()), pa.array(out, pa.binary())], names=["bucket", "body"])
-
-    def find(table: pa.Table) -> pa.Table:
-        keys, nodes, sizes, short = [], [], [], []
-        for body in table.column("body"):
-            raw = zstandard.decompress(body.as_py())
-            n, m = (int(v) for v in np.frombuffer(raw, "<u4", 2))
-            at = np.frombuffer(raw, "<u4", n, 8 + 12 * m + 4 * n)
-            keys.append(np.frombuffer(raw, "<u4", n, 8 + 12 * m))
-            nodes.append(np.frombuffer(raw, "<i8", m, 8)[at >> 1])
-            sizes.append(np.frombuffer(raw, "<u4", m, 8 + 8 * m)[at >> 1])
-            short.append(at & 1 == 1)
-        k, node, n, short = map(np.concatenate, (keys, nodes, sizes, short))
-        order = np.lexsort((node, k))
-        k, node, n, short = k[order], node[order], n[order], short[order]
-        same = (k[1:] == k[:-1]) & (node[1:] != node[:-1])
-        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        seen, first, number = np.unique(node, return_index=True, return_inverse=True)
-        count = np.bincount(number, shared, len(seen)).astype(np.int64)
-        some = count > 0
-        k, member = k[short & shared], node[short & shared]
-        head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
-        group, each = np.empty(0, np.uint64), np.empty(0, bool)
-        if len(k):  # groups of the same members are one
-            length = np.diff(np.append(head, len(k)))
-            name = np.add.reduceat(mix(member.view(np.uint64) + np.uint64(1)), head)
-            _, kept = np.unique(name, return_index=True)
-            chosen = np.zeros(len(head), bool)
-            chosen[kept] = True
-            group, each = np.repeat(name, length), np.repeat(chosen & (length > 1), length)
-        kind = np.repeat([0, 1], [some.sum(), each.sum()]).astype(np.int32)
-        a = np.concatenate([n[first][some].astype(np.int64), group[each].view(np.int64)])
-        return pa.table({"kind": kind, "node": np.concatenate([seen[some], member[each]]), "a": a, "b": np.concatenate([count[some], np.zeros(each.sum(), np.int64)])})
-
-    sent = bodies.mapInArrow(send, "bucket int, body binary")
-    return keep(sent.groupBy("bucket").applyInArrow(find, "kind int, node bigint, a bigint, b bigint"), "shared-shingles")
-
-
-def near_links(bodies: DataFrame, words_each: int = SHINGLE_WORDS, least: float = SIMILARITY) -> DataFrame:
-    """(a, b): links whose components are those of all pairs of ``bodies`` (node, text) of the similarity ``least`` or more.
-
-    Candidates are exact: two such texts share one of the first (1 - least) of their shingles in any common order, and
-    ``more`` of a prefix that is longer by as many. A text with fewer shared shingles there has no partner. Of each group that shares
-    a shingle all members are compared with the one that shares the most, the pivot; pairs that are then still apart are
-    compared unless their sizes or, as Jaccard distance is a metric, their distances to the pivot rule it out.
-    """
-    shared = shared_shingles(bodies, words_each, least)
-    counts = shared.where("kind = 0").groupBy("node").agg(F.first("a").alias("n"), F.sum("b").alias("common"))
-    alive = keep(counts.where(F.col("common") >= F.greatest(F.lit(1), F.floor(F.col("n") / 5))), "alive")
-    members = keep(shared.where("kind = 1").select(F.col("a").alias("group"), "node").distinct().join(alive, "node"), "members")
-    best = F.max(F.struct((F.col("common") / F.col("n")).alias("share"), (-F.col("node")).alias("node")))
-    named = members.groupBy("group").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("name"), F.count("*").alias("size"), best.alias("best")).where("size > 1")
-    pivots = keep(named.groupBy("name", "size").agg(F.min("group").alias("group"), F.first("best").alias("best")).select("group", (-F.col("best.node")).alias("pivot")), "pivots")
-    grouped = keep(members.join(pivots, "group").select("group", "node", "n", "pivot"), "grouped")
-    wanted = grouped.select("node").distinct()
-    slim = keep(bodies.join(wanted, "node", "left_semi"), "candidates")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [similarity(x.as_py(), y.as_py(), words_each) for x, y in zip(batch.column("x"), batch.column("y"))]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "s"])
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        side = lambda at, text: slim.select(F.col("node").alias(at), F.col("text").alias(text))
-        both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
-        return keep(both.mapInArrow(run, "a bigint, b bigint, s double"), name)
-
-    spokes = verified(grouped.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "spokes")
-    found = spokes.where(F.col("s") >= least).select("a", "b")
-    roots = keep(components(found), "roots")
-    near = grouped.join(spokes.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "s"), ["pivot", "node"], "left").join(roots, "node", "left")
-    near = near.join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root")), "pivot", "left")
-    near = near.select("group", "node", "n", F.coalesce("s", F.lit(1.0)).alias("s"), F.coalesce("root", "node").alias("root"), F.coalesce("pivot_root", "pivot").alias("pivot_root"))
-    near = keep(near, "near")
-    side = lambda x: near.select("group", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "s", "root")])
-    left = near.where((F.col("root") != F.col("pivot_root")) & (F.col("s") < least)).select("group", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "s", "root")])
-    possible = (F.col("root_a") != F.col("root_b")) & (F.abs(F.col("s_a") - F.col("s_b")) <= 1 - least + 1e-9) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(least) - 1e-9)
-    rest = left.join(side("b").where("s_b < 1"), "group").where(possible)
-    rest = rest.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    return found.unionByName(verified(rest, "others").where(F.col("s") >= least).select("a", "b"))
-
-
-def near_copies(df: DataFrame, text: str = "text", key: str = "doc_id", words_each: int = SHINGLE_WORDS, least: float = SIMILARITY) -> DataFrame:
-    """``df`` without the near copies of rows with a smaller key (null last): one row of each group stays, all columns pass.
-
-    A group is a component of the texts whose shingles of ``words_each`` words have the similarity ``least`` or more; no such
-    pair is missed. Equal texts are one node. Texts without words are copies of each other.
+    All columns pass. Texts without words have the fingerprint zero and are one component.
     """
-    row = "_row"
-    while row in df.columns:
-        row = f"_{row}"
+    row = free_name(df, "row")
     with Scratch(df.sparkSession) as scratch:
         numbered = scratch.hold(keep(df.withColumn(row, F.monotonically_increasing_id()), "numbered"))
-        slim = numbered.select(F.col(row).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                values = [t.as_py() or "" for t in batch.column("text")]
-                names = [xxhash.xxh3_128_digest(v) if v.encode().split() else b"" for v in values]
-                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), pa.array(names, pa.binary())], names=["row", "key", "t"])
-
-        rows = slim.mapInArrow(run, f"row bigint, key {slim.schema['key'].dataType.simpleString()}, t binary")
-        texts = keep(rows.groupBy("t").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row")).alias("first")), "texts")
-        nodes = texts.where("t != X''").select(F.col("first.row").alias("node"))
-        bodies = keep(slim.select(F.col("row").alias("node"), "text").join(nodes, "node", "left_semi"), "bodies")
-        roots = components(near_links(bodies, words_each, least))
-        member = texts.select("first", F.col("first.row").alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        stays = member.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
-        stays = scratch.hold(keep(stays, "stays"))
+        found = near_duplicates(numbered, text, row, words_each, distance).select(F.col(row).alias("r"), "component")
+        ranked = numbered.select(F.col(row).alias("r"), F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col(row).alias("r")).alias("place"))
+        first = found.join(ranked, "r").groupBy("component").agg(F.min("place").alias("first"))
+        stays = scratch.hold(keep(first.select(F.col("first.r").alias(row)), "stays"))
     return numbered.join(stays, row, "left_semi").drop(row)

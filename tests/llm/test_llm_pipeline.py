@@ -1,10 +1,10 @@
 import corpus_pipeline
 import pytest
-from llm_fixtures import edge_documents, no_documents
+from llm_fixtures import components_of, edge_documents, no_documents
 from test_llm_lines import plain as plain_lines
 from test_llm_positional import plain as plain_phrases
+from test_llm_simhash import plain_fingerprint
 
-from retainframe.llm import simhash
 from retainframe.llm.common import keep
 from retainframe.llm.queries import TOKENIZER
 
@@ -46,11 +46,9 @@ def test_lines(steps):
 
 
 def test_near_copies(steps):
-    rows = {r["doc_id"]: r["text"] for r in steps[2].collect()}
-    left = sorted(ids(steps[3]))
-    assert not any(simhash.similarity(rows[a], rows[b]) >= 0.95 for k, a in enumerate(left) for b in left[:k] if abs(len(rows[a]) - len(rows[b])) < 50)
-    gone = set(rows) - set(left)
-    assert all(any(simhash.similarity(rows[g], rows[k]) >= 0.8 for k in rows if k != g) for g in gone)
+    fps = {r["doc_id"]: plain_fingerprint(r["text"], 3) for r in steps[2].collect()}
+    root = components_of(sorted(fps), [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2])
+    assert ids(steps[3]) == {i for i, r in root.items() if i == r}
 
 
 def test_contaminated_documents_go(spark, sf_dir, steps):

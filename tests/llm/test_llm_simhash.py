@@ -83,76 +83,27 @@ def test_edge_rows(spark):
     assert simhash.near_duplicates(no_documents(spark)).count() == 0
 
 
-def test_near_copies_leave_one_of_each_group(spark):
+def test_one_row_of_each_component_stays(spark):
     rng = random.Random(6)
-    base = [babble(rng, 200) for _ in range(80)]
-    rows = [(i, t) for i, t in enumerate(base)]
-    for i, t in enumerate(base[:30]):  # one word changed
+    texts = [babble(rng, 200) for _ in range(60)]
+    for t in texts[:30]:  # one word changed, another added
         words = t.split()
         words[rng.randrange(200)] = "changed"
-        rows.append((1000 + i, " ".join(words)))
-    rows += [(2000 + i, t) for i, t in enumerate(base[:30])]
-    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, fp string")
-    kept = simhash.near_copies(docs)
+        texts += [" ".join(words), f"{t} added"]
+    texts += texts[:20] + ["", None]
+    rows = [(1000 - i, t, "x") for i, t in enumerate(texts)]
+    fps = {i: plain_fingerprint(t, 3) for i, t, _ in rows}
+    root = components_of(sorted(fps), [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string").repartition(4)
+    kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
-    ids = {r["doc_id"] for r in kept.collect()}
-    assert set(range(80)) <= ids and not any(i >= 2000 for i in ids)
-    assert sum(1000 <= i < 2000 for i in ids) <= 1
-    edge = simhash.near_copies(edge_documents(spark)).collect()
-    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in edge if r["doc_id"] is not None) == [(False, 1), (False, 4), (False, 5)]
-    assert len(edge) == 4 and simhash.near_copies(no_documents(spark)).count() == 0
-
-
-def kept_by_brute_force(rows):
-    sets = [(i, set(simhash.shingle_hashes(t, 5).tolist())) for i, t in rows]
-    near = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[:k] if len(x & y) >= simhash.SIMILARITY * len(x | y)]
-    root = components_of([i for i, _ in rows], near)
-    return {i for i, _ in rows if root[i] == i}
-
-
-def edited(rng, text, n):
-    words = text.split()
-    for at in rng.sample(range(len(words)), n):
-        words[at] = babble(rng, 1) + str(rng.random())
-    return " ".join(words)
-
-
-def test_near_copies_of_one_base_in_a_large_group(spark):
-    rng = random.Random(11)
-    base = babble(rng, 300)
-    rows = [(0, base), *((i, edited(rng, base, 6)) for i in range(1, 200)), *((300 + i, babble(rng, 300)) for i in range(20))]
-    rows += [(400 + i, edited(rng, base, 9)) for i in range(40)]  # some only hang on other variants, some on none
-    want = kept_by_brute_force(rows)
-    for given in (rows, [(1_000 - i, t) for i, t in rows if i]):  # also without the base
-        got = {r["doc_id"] for r in simhash.near_copies(spark.createDataFrame(given, "doc_id long, text string").repartition(4)).collect()}
-        assert got == (want if given is rows else kept_by_brute_force(given))
-
-
-def test_near_copies_with_the_words_of_another_text(spark):
-    rng = random.Random(12)
-    words = babble(rng, 200).split()
-    turned = words[:]
-    rng.shuffle(turned)
-    swapped = words[:]
-    swapped[99], swapped[100] = swapped[100], swapped[99]
-    rows = [(1, " ".join(turned)), (2, " ".join(words)), (3, " ".join(swapped))]  # the same words, so equal fingerprints of words
-    got = {r["doc_id"] for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == kept_by_brute_force(rows) == {1, 2}
-
-
-def test_no_pair_above_the_similarity_is_missed(spark):
-    rng = random.Random(13)
-    rows, pairs = [], []
-    for length in (50, 200, 1_000):
-        for k in range(60):
-            text = " ".join(str(rng.randrange(50_000)) for _ in range(length))
-            other = edited(rng, text, max(1, round(length * rng.uniform(0.001, 0.025))))
-            pairs.append((length, simhash.similarity(text, other), 2 * len(pairs) + 1))
-            rows += [(2 * len(pairs) - 2, text), (2 * len(pairs) - 1, other)]
-    got = {r["doc_id"] for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
-    for length in (50, 200, 1_000):
-        for low, high in ((0.0, 0.8), (0.8, 0.85), (0.85, 0.9), (0.9, 1.01)):
-            these = [i for n, s, i in pairs if n == length and low <= s < high]
-            found = sum(i not in got for i in these)
-            print(f"{length} words, similarity {low} to {high}: {found} of {len(these)} found")
-            assert found == (len(these) if low else 0)
+    found = {r["doc_id"]: r for r in kept.collect()}
+    assert set(found) == {i for i, r in root.items() if i == r} and len(found) < 130
+    assert all(found[i]["text"] == t for i, t, _ in rows if i in found)
+
+
+def test_edge_rows_of_the_filter(spark):
+    edge = simhash.drop_near_duplicates(edge_documents(spark))
+    assert edge.columns == edge_documents(spark).columns
+    assert sorted(r["doc_id"] for r in edge.collect() if r["doc_id"] is not None) == [1, 4, 5]  # texts without words are one group
+    assert edge.count() == 4 and simhash.drop_near_duplicates(no_documents(spark)).count() == 0
