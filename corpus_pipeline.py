@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retainframe.llm import bpe, lines, positional, simhash, toxicity
-from retainframe.llm.common import free_name, keep, table
+from retainframe.llm.common import Scratch, free_name, keep, table
 from retainframe.llm.queries import TOKENIZER
 
 
@@ -37,16 +37,18 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.near_copies(docs)
+    """One document of each group that fingerprints of three-word shingles link at two or fewer bits."""
+    return simhash.drop_near_duplicates(docs, words_each=3, distance=2)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     row = free_name(docs, "row")
-    numbered = keep(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    found = positional.decontaminate(numbered, table(spark, sf_dir, "benchmark"), key=row).where("contaminated").select(row)
-    return numbered.join(keep(found, "contaminated"), row, "left_anti").drop(row)
+    with Scratch(spark) as scratch:
+        numbered = scratch.hold(keep(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"))
+        found = positional.decontaminate(numbered, table(spark, sf_dir, "benchmark"), key=row).where("contaminated").select(row)
+        found = scratch.hold(keep(found, "contaminated"))
+    return numbered.join(found, row, "left_anti").drop(row)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,5 +66,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), name)
+        with Scratch(spark) as scratch:
+            docs = scratch.hold(keep(stage(spark, docs, sf_dir), name))
     return docs
