@@ -6,17 +6,16 @@ verified by the exact Jaccard similarity of their shingle sets, links are joined
 occurrences of a component's lines the first (smallest key, then place) stays.
 
 Equal lines are one node throughout. Members of a band's group are paired out up to ``PAIRED``; in a larger group
-all are compared with one member, the pivot. As Jaccard distance is a metric, two members can only be within the
-threshold if their distances to the pivot differ by no more than it, and only if each has enough shingles that occur
-in other members' lines at all. Pairs of two members that are both linked to the pivot need no check, and the rest are
-verified under these bounds. So no link between components is lost.
+all are compared with one member, the pivot. Members that are then in the pivot's component need no more; the
+others are compared with every line of a large group that shares one of their rarest shingles: of two lines within the
+threshold, each has such a shingle among the fifth that comes first in one common order. So no link between components is lost.
 
 Documents are packed into blocks that are written once; only hashes, and the texts of candidate lines, are shuffled
 line by line. Hashes of lines are 64 bits wide; lines of which a second hash tells that they share the first
 by chance are left alone.
 
-Edge cases: null texts stay null, empty ones empty; blank lines and lines shorter than ``LEAST`` characters (white space
-around not counted) are left alone; a line of any length is read whole; a null key ranks after all others and ties
+Edge cases: null texts stay null, empty ones empty; blank lines are left alone; lines shorter than a shingle (white space
+around not counted) are like equal ones only; a line of any length is read whole; a null key ranks after all others and ties
 are broken by place, so repeated rows lose their lines to the first of them; an empty table gives an empty
 result. All columns pass through; only the text column changes, and added columns take free names.
 """
@@ -37,8 +36,10 @@ from .common import RollingHash, Scratch, chunks, free_name, keep, mix
 from .components import components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 10, 0.8, 12, 4
-#: Shortest line that is looked at (one shingle), members of a group that are paired out, bytes of a block and of a hash bucket.
-LEAST, PAIRED, BLOCK_BYTES, BUCKET_BYTES = SHINGLE, 8, 2 << 20, 32 << 20
+#: Members of a group that are paired out, bytes of a block, of a hash bucket and of lines that are hashed at once.
+PAIRED, BLOCK_BYTES, BUCKET_BYTES, PART_BYTES = 8, 2 << 20, 32 << 20, 1 << 20
+#: Counters for the frequency of shingles (4 MB, shared with the tasks), whatever the corpus.
+SLOTS = 1 << 20
 _SPACE = " \t\n\v\f\r"
 LAST = np.iinfo(np.int64).max
 
@@ -51,8 +52,7 @@ def line_hash(line: str) -> tuple[int, int]:
 
 def lines_of(text: str | None) -> list[str]:
     """Lines as they are compared; one that is left alone is empty."""
-    found = [x.strip(_SPACE) for x in text.split("\n")] if text else []
-    return [x if len(x) >= LEAST else "" for x in found]
+    return [x.strip(_SPACE) for x in text.split("\n")] if text else []
 
 
 def shingles(line: str, size: int = SHINGLE) -> set[str]:
@@ -60,7 +60,10 @@ def shingles(line: str, size: int = SHINGLE) -> set[str]:
 
 
 def jaccard(a: str, b: str, size: int = SHINGLE) -> float:
-    x, y = shingles(a, size), shingles(b, size)
+    return similarity(shingles(a, size), shingles(b, size))
+
+
+def similarity(x: set[str], y: set[str]) -> float:
     both = len(x & y)
     return both / (len(x) + len(y) - both)
 
@@ -151,7 +154,7 @@ def candidates(blocks: DataFrame, text: str, buckets: int) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for _, name, rows in _open(batch):
-                lines = list(_distinct(rows, text))
+                lines = [x for x in _distinct(rows, text) if len(x) >= SHINGLE]
                 if not lines:
                     continue
                 h = np.array([line_hash(x)[0] for x in lines], dtype=np.int64)
@@ -218,52 +221,72 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Pairs (a, b) with their exact Jaccard similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, theirs = None, set()  # many pairs in turn share their second line
         for batch in batches:
-            found = [jaccard(x.as_py(), y.as_py()) for x, y in zip(batch.column("x"), batch.column("y"))]
+            found = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                if y != last:
+                    last, theirs = y, shingles(y)
+                found.append(similarity(shingles(x), theirs))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
     both = pairs.join(lines.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(lines.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
     return keep(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, similarity double"), "verified")
 
 
-def shareable(lines: DataFrame, buckets: int) -> DataFrame:
-    """(h, size, common): a line's number of distinct shingles, and of those that another of ``lines`` has too."""
+def _distinct_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, hash) of each line's distinct shingles, ordered by both."""
+    x = _shingle_hashes(lines)
+    owner = np.repeat(np.arange(len(lines)), np.array([len(v) for v in lines]) - SHINGLE + 1)
+    order = np.lexsort((x, owner))
+    x, owner = x[order], owner[order]
+    new = np.concatenate([[True], (x[1:] != x[:-1]) | (owner[1:] != owner[:-1])])
+    return owner[new], x[new]
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
+
+def _slot(x: np.ndarray) -> np.ndarray:
+    return ((x >> np.uint64(32)) * np.uint64(SLOTS) >> np.uint64(32)).astype(np.int64)
+
+
+def slot_counts(lines: DataFrame) -> np.ndarray:
+    """How many of the distinct shingles of each of ``lines`` fall into each of SLOTS slots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for i in range(0, batch.num_rows, 4_096):
-                part = batch.slice(i, 4_096)
-                h = np.asarray(part.column("h"))
-                found = [np.unique(_shingle_hashes([x])) for x in part.column("line").to_pylist()]
-                key, line = np.concatenate(found), np.repeat(np.arange(len(h), dtype=np.uint32), [len(f) for f in found])
-                bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
-                bodies = []
-                for p in parts:
-                    used, local = np.unique(line[p], return_inverse=True)
-                    bodies.append(pack(np.array([len(p), len(used)], "<u4").tobytes() + key[p].tobytes() + h[used].tobytes() + local.astype("<u4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([int(bucket[p[0]]) for p in parts], pa.int32()), pa.array(bodies, pa.binary())], names=["bucket", "body"])
+            for i, j in chunks(batch, "line", PART_BYTES):
+                np.add.at(counts, _slot(_distinct_shingles(batch.column("line").slice(i, j - i).to_pylist())[1]), 1)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["slot", "n"])
+
+    found = lines.select("line").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
+    out = np.zeros(SLOTS, np.uint32)
+    out[found["slot"].to_numpy()] = np.minimum(found["n"].to_numpy(), np.iinfo(np.uint32).max)
+    return out
 
-    def find(table: pa.Table) -> pa.Table:
-        keys, lines_ = [], []
-        for body in table.column("body"):
-            raw = zstandard.decompress(body.as_py())
-            n, m = (int(v) for v in np.frombuffer(raw, "<u4", 2))
-            keys.append(np.frombuffer(raw, "<u8", n, 8))
-            lines_.append(np.frombuffer(raw, "<i8", m, 8 + 8 * n)[np.frombuffer(raw, "<u4", n, 8 + 8 * (n + m))])
-        k, h = np.concatenate(keys), np.concatenate(lines_)
-        order = np.argsort(k, kind="stable")
-        k, h = k[order], h[order]
-        same = k[1:] == k[:-1]
-        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        line, number = np.unique(h, return_inverse=True)
-        return pa.table({"h": line, "size": np.bincount(number).astype(np.int64), "common": np.bincount(number, shared).astype(np.int64)})
-
-    sent = lines.mapInArrow(send, "bucket int, body binary")
-    found = sent.groupBy("bucket").applyInArrow(find, "h bigint, size bigint, common bigint")
-    return keep(found.groupBy("h").agg(F.sum("size").alias("size"), F.sum("common").alias("common")), "shareable")
+
+def prefixes(lines: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(h, size, weight, prefix): a line's number of distinct shingles, their mean count, and those of its prefix that may occur in other lines.
+
+    Shingles are ordered by the count of their slot, then by hash. Any two lines within the threshold share one of the first
+    size - ceil(THRESHOLD * size) + 1 in whatever order all lines use, so slots that shingles share by chance cost work, not links.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in chunks(batch, "line", PART_BYTES):
+                owner, x = _distinct_shingles(batch.column("line").slice(i, j - i).to_pylist())
+                n = counts[_slot(x)]
+                order = np.lexsort((x, n, owner))
+                x, n = x[order], n[order]
+                size = np.bincount(owner, minlength=j - i)
+                place = np.arange(len(x)) - (np.cumsum(size) - size)[owner]
+                first = (place <= size[owner] - np.ceil(THRESHOLD * size[owner] - 1e-9)) & (n > 1)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(owner[first], minlength=j - i))]).astype(np.int32)
+                prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(x[first].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("h").slice(i, j - i), pa.array(size.astype(np.int64)), pa.array(np.bincount(owner, n, j - i) / size), prefix], names=["h", "size", "weight", "prefix"])
+
+    return keep(lines.select("h", "line").mapInArrow(run, "h bigint, size bigint, weight double, prefix array<bigint>"), "prefixes")
 
 
 def links(blocks: DataFrame, text: str) -> DataFrame:
@@ -272,22 +295,25 @@ def links(blocks: DataFrame, text: str) -> DataFrame:
     wanted = found.where("kind = 2").groupBy(F.col("x").alias("h")).agg(F.min("block").alias("block"))
     lines = texts(blocks, text, wanted)
     alike = F.col("similarity") >= THRESHOLD
-    pairs = verified(found.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), lines)
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    pairs = found.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b"))
     members = keep(found.where("kind = 1").select(F.col("x").alias("band"), F.col("y").alias("h")), "members")
-    pivots = keep(members.groupBy("band").agg(F.min("h").alias("pivot")), "pivots")
-    grouped = keep(members.join(pivots, "band"), "grouped")
-    spokes = verified(grouped.where("h != pivot").select(F.col("pivot").alias("a"), F.col("h").alias("b")).distinct(), lines)
-    near = grouped.join(spokes.withColumnsRenamed({"a": "pivot", "b": "h"}), ["pivot", "h"], "left").select("band", "h", F.coalesce("similarity", F.lit(1.0)).alias("s"))
     crowd = keep(lines.join(members.select("h").distinct(), "h", "left_semi"), "crowd")
-    near = keep(near.join(shareable(crowd, _buckets(blocks)), "h"), "spokes")
-    side = lambda x: near.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("h", "s", "size", "common")])
-    both = F.least("common_a", "common_b")
-    possible = (F.col("h_a") != F.col("h_b")) & (F.abs(F.col("s_a") - F.col("s_b")) <= 1 - THRESHOLD + 1e-9) & (both >= (F.col("size_a") + F.col("size_b") - both) * F.lit(THRESHOLD) - 1e-9)
-    # a line that shares too few shingles with all others has no partner, whatever its size
-    left = side("a").where((F.col("s_a") < THRESHOLD) & (F.col("common_a") >= F.col("size_a") * THRESHOLD - 1e-9))
-    rest = left.join(side("b").where(F.col("common_b") >= F.col("size_b") * THRESHOLD - 1e-9), "band").where(possible).select(F.col("h_a").alias("a"), F.col("h_b").alias("b"))
-    others = verified(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), lines)
-    return pairs.where(alike).unionByName(spokes.where(alike)).unionByName(others.where(alike)).select("a", "b")
+    known = prefixes(crowd, slot_counts(crowd))
+    # the pivot is the member whose shingles are the most common: the text that the others vary
+    pivots = members.join(known, "h").groupBy("band").agg(F.max(F.struct("weight", "h"))["h"].alias("pivot"))
+    grouped = keep(members.join(pivots, "band").where("h != pivot").select("h", "pivot").distinct(), "grouped")
+    first = verified(pairs.unionByName(grouped.select(F.col("h").alias("a"), F.col("pivot").alias("b")).select(*pair)).distinct(), lines).where(alike).select("a", "b")
+    roots = keep(components(first), "roots")
+    apart = grouped.join(roots.withColumnRenamed("node", "h"), "h", "left").withColumnRenamed("root", "own")
+    apart = apart.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").where(F.coalesce("own", "h") != F.coalesce("root", "pivot")).select("h").distinct()
+    rooted = keep(known.join(roots.withColumnRenamed("node", "h"), "h", "left").select("h", "size", F.coalesce("root", "h").alias("root"), F.explode("prefix").alias("shingle")), "rooted")
+    left = rooted.join(apart, "h", "left_semi")
+    right = rooted.join(left.select("shingle").distinct(), "shingle", "left_semi")
+    side = lambda df, x: df.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("h", "size", "root")])
+    possible = (F.col("root_a") != F.col("root_b")) & (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * F.lit(THRESHOLD) - 1e-9)
+    rest = side(left, "a").join(side(right, "b"), "shingle").where(possible).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).select(*pair).distinct()
+    return first.unionByName(verified(rest, lines).where(alike).select("a", "b"))
 
 
 # --- decisions -----------------------------------------------------------------------------------------------
