@@ -308,11 +308,15 @@ def links(blocks: DataFrame, text: str) -> DataFrame:
     apart = grouped.join(roots.withColumnRenamed("node", "h"), "h", "left").withColumnRenamed("root", "own")
     apart = apart.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").where(F.coalesce("own", "h") != F.coalesce("root", "pivot")).select("h").distinct()
     rooted = keep(known.join(roots.withColumnRenamed("node", "h"), "h", "left").select("h", "size", F.coalesce("root", "h").alias("root"), F.explode("prefix").alias("shingle")), "rooted")
-    left = rooted.join(apart, "h", "left_semi")
-    right = rooted.join(left.select("shingle").distinct(), "shingle", "left_semi")
-    side = lambda df, x: df.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("h", "size", "root")])
+    rooted = rooted.join(apart.withColumn("apart", F.lit(True)), "h", "left")
+    side = lambda df, x: df.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("h", "size", "root", "apart")])
     possible = (F.col("root_a") != F.col("root_b")) & (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * F.lit(THRESHOLD) - 1e-9)
-    rest = side(left, "a").join(side(right, "b"), "shingle").where(possible).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).select(*pair).distinct()
+    once = F.col("apart_b").isNull() | (F.col("h_a") < F.col("h_b"))
+    # what two lines share lies in both prefixes, or beyond the prefix that ends first
+    beyond = [F.ceil(F.col(c) * F.lit(THRESHOLD) - 1e-9) - 1 for c in ("size_a", "size_b")]
+    least = F.ceil((F.col("size_a") + F.col("size_b")) * F.lit(THRESHOLD / (1 + THRESHOLD)) - 1e-9) - F.greatest(*beyond)
+    met = side(rooted.where("apart"), "a").join(side(rooted, "b"), "shingle").where(possible & once)
+    rest = met.groupBy("h_a", "h_b").agg(F.count("*").alias("n"), F.first(least).alias("least")).where("n >= least").select(F.col("h_a").alias("a"), F.col("h_b").alias("b"))
     return first.unionByName(verified(rest, lines).where(alike).select("a", "b"))
 
 
