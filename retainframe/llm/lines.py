@@ -6,9 +6,9 @@ verified by the exact Jaccard similarity of their shingle sets, links are joined
 occurrences of a component's lines the first (smallest key, then place) stays.
 
 Equal lines are one node throughout. Members of a band's group are paired out up to ``PAIRED``; in a larger group
-all are compared with one member, the pivot. Members that are then in the pivot's component need no more; the
-others are compared with every line of a large group that shares one of their rarest shingles: of two lines within the
-threshold, each has such a shingle among the fifth that comes first in one common order. So no link between components is lost.
+all are compared with one member, the pivot. Members that are then in the pivot's component need no more. One that is
+not is within the threshold of another member only if both differ from the pivot in the same shingles, rare ones among them
+(``differing_rows``): it is compared with those that do. So no link between components is lost, and what all variants share pairs nothing.
 
 Documents are packed into blocks that are written once; only hashes, and the texts of candidate lines, are shuffled
 line by line. Hashes of lines are 64 bits wide; lines of which a second hash tells that they share the first
@@ -22,7 +22,7 @@ result. All columns pass through; only the text column changes, and added column
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +32,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, Scratch, chunks, free_name, keep, mix
+from .common import BASE, Scratch, chunks, free_name, keep, mix
 from .components import components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 10, 0.8, 12, 4
 #: Members of a group that are paired out, bytes of a block, of a hash bucket and of lines that are hashed at once.
 PAIRED, BLOCK_BYTES, BUCKET_BYTES, PART_BYTES = 8, 2 << 20, 32 << 20, 1 << 20
+#: Pairs that are compared in one sort, and bits of their number.
+PAIRS, PAIR_BITS = 1 << 12, 12
 #: Counters for the frequency of shingles (4 MB, shared with the tasks), whatever the corpus.
 SLOTS = 1 << 20
+#: Characters of lines that are hashed at once.
+CACHE_CHARS = 1 << 18
 _SPACE = " \t\n\v\f\r"
 LAST = np.iinfo(np.int64).max
 
@@ -72,18 +76,35 @@ _SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 _FACTORS, _FLIPS = (_SEEDS[: BANDS * ROWS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (_SEEDS[BANDS * ROWS :] >> np.uint64(32)).astype(np.uint32)
 
 
+def _windows(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` codes: runs are doubled, or lengthened by one, along the binary digits of ``size``."""
+    one = codes.astype(np.uint64) + np.uint64(1)
+    out, have = one, 1
+    for digit in f"{size:b}"[1:]:
+        out, have = out[: len(out) - have] + out[have:] * np.uint64(pow(BASE, have, 1 << 64)), 2 * have
+        if digit == "1":
+            out, have = out[: len(one) - have] + one[have:] * np.uint64(pow(BASE, have, 1 << 64)), have + 1
+    return mix(out)
+
+
 def _shingle_hashes(lines: list[str], size: int = SHINGLE) -> np.ndarray:
     """Hashes of the shingles of all lines (of ``size`` characters or more) in turn."""
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    count = np.array([len(x) for x in lines]) - size + 1
-    start = np.arange(count.sum()) + np.repeat(np.arange(len(lines)), count) * (size - 1)
-    return RollingHash(codes).of(start, start + size)
+    ends = np.cumsum([len(x) for x in lines])
+    inside = np.ones(len(codes), dtype=bool)
+    for k in range(1, size):  # no shingle starts so near to the end of its line
+        inside[ends - k] = False
+    return _windows(codes, size)[inside[: len(codes) - size + 1]]
 
 
 def bands(lines: list[str], size: int = SHINGLE) -> np.ndarray:
-    """Band keys of lines of ``size`` characters or more, one row per line."""
-    if not lines:
-        return np.empty((0, BANDS), dtype=np.uint64)
+    """Band keys of lines of ``size`` characters or more, one row per line; hashed by parts that stay in the processor's cache."""
+    part = np.cumsum([len(x) for x in lines]) // CACHE_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(lines)]
+    return np.concatenate([np.empty((0, BANDS), dtype=np.uint64), *(_bands(lines[i:j], size) for i, j in zip(cuts, cuts[1:]) if i < j)])
+
+
+def _bands(lines: list[str], size: int) -> np.ndarray:
     x = (_shingle_hashes(lines, size) >> np.uint64(32)).astype(np.uint32)
     count = np.array([len(x) for x in lines]) - size + 1
     first, work = np.cumsum(count) - count, np.empty_like(x)
@@ -217,17 +238,38 @@ def texts(blocks: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return keep(blocks.join(listed, "block").mapInArrow(run, "h bigint, line string"), "line-texts")
 
 
+def similarities(x: list[str], y: list[str]) -> np.ndarray:
+    """Exact Jaccard similarity of the shingle sets of x[i] and y[i], lines of SHINGLE characters or more.
+
+    All sets are merged in one sort of (pair, part of the hash). Only what falls within two shingles of the threshold could
+    change by a chance match, and is compared as text.
+    """
+    known = {line: i for i, line in enumerate(dict.fromkeys([*x, *y]))}
+    owner, h = _distinct_shingles(list(known))
+    size = np.bincount(owner, minlength=len(known))
+    start, out = np.cumsum(size) - size, np.empty(len(x))
+    at = np.array([[known[line] for line in side] for side in (x, y)])
+    for i in range(0, len(x), PAIRS):
+        n = size[at[:, i : i + PAIRS]]
+        pairs = n.shape[1]
+        flat = n.ravel()
+        place = np.arange(flat.sum()) - np.repeat(np.cumsum(flat) - flat - start[at[:, i : i + PAIRS]].ravel(), flat)
+        key = np.repeat(np.tile(np.arange(pairs, dtype=np.uint64), 2), flat) << np.uint64(64 - PAIR_BITS) | h[place] >> np.uint64(PAIR_BITS)
+        key.sort()
+        both = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(64 - PAIR_BITS)).astype(np.int64), minlength=pairs)
+        out[i : i + pairs] = both / (n.sum(axis=0) - both)
+        for k in np.flatnonzero(np.abs(both - n.sum(axis=0) * (THRESHOLD / (1 + THRESHOLD))) <= 2):
+            out[i + k] = jaccard(x[i + k], y[i + k])
+    return out
+
+
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Pairs (a, b) with their exact Jaccard similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, theirs = None, set()  # many pairs in turn share their second line
         for batch in batches:
-            found = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                if y != last:
-                    last, theirs = y, shingles(y)
-                found.append(similarity(shingles(x), theirs))
+            found = [similarities(batch.column("x").slice(i, j - i).to_pylist(), batch.column("y").slice(i, j - i).to_pylist()) for i, j in chunks(batch, "y", PART_BYTES)]
+            found = np.concatenate([np.empty(0), *found])
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
     both = pairs.join(lines.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(lines.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
@@ -248,45 +290,115 @@ def _slot(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(32)) * np.uint64(SLOTS) >> np.uint64(32)).astype(np.int64)
 
 
-def slot_counts(lines: DataFrame) -> np.ndarray:
-    """How many of the distinct shingles of each of ``lines`` fall into each of SLOTS slots."""
+def slot_counts(df: DataFrame, column: str, hashes: Callable[[pa.Array], np.ndarray]) -> np.ndarray:
+    """How many of the ``hashes`` made of ``column`` fall into each of SLOTS slots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for i, j in chunks(batch, "line", PART_BYTES):
-                np.add.at(counts, _slot(_distinct_shingles(batch.column("line").slice(i, j - i).to_pylist())[1]), 1)
+            for i, j in chunks(batch, "weighed", PART_BYTES):
+                np.add.at(counts, _slot(hashes(batch.column(column).slice(i, j - i))), 1)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["slot", "n"])
 
-    found = lines.select("line").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
+    rows = df.select(column, F.col(column).cast("binary").alias("weighed"))
+    found = rows.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
     out = np.zeros(SLOTS, np.uint32)
     out[found["slot"].to_numpy()] = np.minimum(found["n"].to_numpy(), np.iinfo(np.uint32).max)
     return out
 
 
-def prefixes(lines: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(h, size, weight, prefix): a line's number of distinct shingles, their mean count, and those of its prefix that may occur in other lines.
+def _line_shingles(lines: pa.Array) -> np.ndarray:
+    return _distinct_shingles(lines.to_pylist())[1]
 
-    Shingles are ordered by the count of their slot, then by hash. Any two lines within the threshold share one of the first
-    size - ceil(THRESHOLD * size) + 1 in whatever order all lines use, so slots that shingles share by chance cost work, not links.
-    """
+
+def weights(lines: DataFrame) -> DataFrame:
+    """(h, weight): the mean count of a line's distinct shingles among all ``lines``."""
+    counts = slot_counts(lines, "line", _line_shingles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in chunks(batch, "line", PART_BYTES):
                 owner, x = _distinct_shingles(batch.column("line").slice(i, j - i).to_pylist())
+                mean = np.bincount(owner, counts[_slot(x)], j - i) / np.bincount(owner, minlength=j - i)
+                yield pa.RecordBatch.from_arrays([batch.column("h").slice(i, j - i), pa.array(mean)], names=["h", "weight"])
+
+    return keep(lines.select("h", "line").mapInArrow(run, "h bigint, weight double"), "weights")
+
+
+def differences(members: DataFrame, lines: DataFrame) -> DataFrame:
+    """``members`` (h, pivot, root, apart) with pivot_size, n_added and n_lost (shingles beyond the pivot's and missing ones) and both as hashes with the pivot."""
+    names = members.columns
+    schema = T.StructType([*members.schema.fields, *[T.StructField(c, T.LongType()) for c in ("pivot_size", "n_added", "n_lost")], T.StructField("differing", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in chunks(batch, "line", PART_BYTES):
+                part = batch.slice(i, j - i)
+                texts, bases = part.column("line").to_pylist(), part.column("base").to_pylist()
+                known = {x: k for k, x in enumerate(dict.fromkeys([*texts, *bases]))}
+                owner, h = _distinct_shingles(list(known))
+                sets = np.split(h, np.cumsum(np.bincount(owner, minlength=len(known)))[:-1])
+                sizes, added, lost, differing = [], [], [], []
+                for x, y, p in zip(texts, bases, part.column("pivot").to_pylist()):
+                    x, y = sets[known[x]], sets[known[y]]
+                    d = np.setxor1d(x, y, assume_unique=True)
+                    sizes.append(len(y))
+                    added.append((len(d) + len(x) - len(y)) // 2)
+                    lost.append(len(d) - added[-1])
+                    differing.append(mix(d ^ np.uint64(p & (1 << 64) - 1)).tobytes())
+                columns = [part.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(c, pa.int64()) for c in (sizes, added, lost)], pa.array(differing, pa.binary())], names=[*names, "pivot_size", "n_added", "n_lost", "differing"])
+
+    both = members.join(lines, "h").join(lines.select(F.col("h").alias("pivot"), F.col("line").alias("base")), "pivot")
+    return keep(both.select(*names, "line", "base").mapInArrow(run, schema), "differences")
+
+
+def _differing_hashes(differing: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(differing.to_pylist()), np.uint64)
+
+
+def differing_rows(found: DataFrame) -> DataFrame:
+    """One row per difference that may count: ``first`` tells the rarest ones, all of a line apart from its pivot are given.
+
+    Let x be below the threshold t with its pivot p, and y within it of x. With c = t / (1 + t), x and y share at least c(|x| + |y|)
+    shingles and x and p fewer than c(|x| + |p|), so x and y have more than (1 - c) lost + c added of y's differences from p in
+    common. One of the others plus one, in whatever order all lines use, is therefore among those of x.
+    """
+    counts, c = slot_counts(found, "differing", _differing_hashes), THRESHOLD / (1 + THRESHOLD)
+    names = [x for x in found.columns if x != "differing"]
+    schema = T.StructType([*[found.schema[x] for x in names], T.StructField("difference", T.LongType()), T.StructField("first", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in chunks(batch, "differing", PART_BYTES):
+                part = batch.slice(i, j - i)
+                lost, added = (part.column(x).to_numpy() for x in ("n_lost", "n_added"))
+                x, size = _differing_hashes(part.column("differing")), lost + added
+                owner = np.repeat(np.arange(j - i), size)
                 n = counts[_slot(x)]
                 order = np.lexsort((x, n, owner))
                 x, n = x[order], n[order]
-                size = np.bincount(owner, minlength=j - i)
                 place = np.arange(len(x)) - (np.cumsum(size) - size)[owner]
-                first = (place <= size[owner] - np.ceil(THRESHOLD * size[owner] - 1e-9)) & (n > 1)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(owner[first], minlength=j - i))]).astype(np.int32)
-                prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(x[first].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("h").slice(i, j - i), pa.array(size.astype(np.int64)), pa.array(np.bincount(owner, n, j - i) / size), prefix], names=["h", "size", "weight", "prefix"])
+                first = place < (size - np.floor((1 - c) * lost + c * added - 1e-9))[owner]
+                apart = part.column("apart").to_numpy(zero_copy_only=False)[owner]
+                use = np.flatnonzero((first | apart) & (n > 1))
+                rows = part.select(names).take(pa.array(owner[use]))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(x[use].view(np.int64)), pa.array(first[use])], names=schema.names)
+
+    return keep(found.mapInArrow(run, schema), "differing-rows")
+
 
-    return keep(lines.select("h", "line").mapInArrow(run, "h bigint, size bigint, weight double, prefix array<bigint>"), "prefixes")
+def meetings(rows: DataFrame) -> DataFrame:
+    """(a, b): lines apart from their pivot, and other lines of its group, that share a difference from it and may be within the threshold."""
+    names = ("h", "root", "apart", "first", "pivot_size", "n_added", "n_lost")
+    side = lambda df, x: df.select("difference", *[F.col(n).alias(f"{n}_{x}") for n in names])
+    once = ~F.col("apart_b") | (F.col("first_a") & (F.col("h_a") < F.col("h_b")))
+    size = [F.col("pivot_size_a") - F.col(f"n_lost_{x}") + F.col(f"n_added_{x}") for x in "ab"]
+    most = F.col("pivot_size_a") - F.greatest("n_lost_a", "n_lost_b") + F.least("n_added_a", "n_added_b")
+    possible = (F.col("root_a") != F.col("root_b")) & (most >= (size[0] + size[1]) * F.lit(THRESHOLD / (1 + THRESHOLD)) - 1e-9)
+    met = side(rows.where("apart"), "a").join(side(rows.where("first"), "b"), "difference").where(once & possible)
+    return met.select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")).distinct()
 
 
 def links(blocks: DataFrame, text: str) -> DataFrame:
@@ -295,28 +407,19 @@ def links(blocks: DataFrame, text: str) -> DataFrame:
     wanted = found.where("kind = 2").groupBy(F.col("x").alias("h")).agg(F.min("block").alias("block"))
     lines = texts(blocks, text, wanted)
     alike = F.col("similarity") >= THRESHOLD
-    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     pairs = found.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b"))
     members = keep(found.where("kind = 1").select(F.col("x").alias("band"), F.col("y").alias("h")), "members")
     crowd = keep(lines.join(members.select("h").distinct(), "h", "left_semi"), "crowd")
-    known = prefixes(crowd, slot_counts(crowd))
     # the pivot is the member whose shingles are the most common: the text that the others vary
-    pivots = members.join(known, "h").groupBy("band").agg(F.max(F.struct("weight", "h"))["h"].alias("pivot"))
+    pivots = members.join(weights(crowd), "h").groupBy("band").agg(F.max(F.struct("weight", "h"))["h"].alias("pivot"))
     grouped = keep(members.join(pivots, "band").where("h != pivot").select("h", "pivot").distinct(), "grouped")
-    first = verified(pairs.unionByName(grouped.select(F.col("h").alias("a"), F.col("pivot").alias("b")).select(*pair)).distinct(), lines).where(alike).select("a", "b")
+    first = verified(pairs.unionByName(grouped.select(F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b"))).distinct(), lines).where(alike).select("a", "b")
     roots = keep(components(first), "roots")
-    apart = grouped.join(roots.withColumnRenamed("node", "h"), "h", "left").withColumnRenamed("root", "own")
-    apart = apart.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").where(F.coalesce("own", "h") != F.coalesce("root", "pivot")).select("h").distinct()
-    rooted = keep(known.join(roots.withColumnRenamed("node", "h"), "h", "left").select("h", "size", F.coalesce("root", "h").alias("root"), F.explode("prefix").alias("shingle")), "rooted")
-    rooted = rooted.join(apart.withColumn("apart", F.lit(True)), "h", "left")
-    side = lambda df, x: df.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("h", "size", "root", "apart")])
-    possible = (F.col("root_a") != F.col("root_b")) & (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * F.lit(THRESHOLD) - 1e-9)
-    once = F.col("apart_b").isNull() | (F.col("h_a") < F.col("h_b"))
-    # what two lines share lies in both prefixes, or beyond the prefix that ends first
-    beyond = [F.ceil(F.col(c) * F.lit(THRESHOLD) - 1e-9) - 1 for c in ("size_a", "size_b")]
-    least = F.ceil((F.col("size_a") + F.col("size_b")) * F.lit(THRESHOLD / (1 + THRESHOLD)) - 1e-9) - F.greatest(*beyond)
-    met = side(rooted.where("apart"), "a").join(side(rooted, "b"), "shingle").where(possible & once)
-    rest = met.groupBy("h_a", "h_b").agg(F.count("*").alias("n"), F.first(least).alias("least")).where("n >= least").select(F.col("h_a").alias("a"), F.col("h_b").alias("b"))
+    rooted = grouped.join(roots.withColumnRenamed("node", "h").withColumnRenamed("root", "own"), "h", "left").join(roots.withColumnRenamed("node", "pivot"), "pivot", "left")
+    rooted = rooted.select("h", "pivot", F.coalesce("own", "h").alias("root"), (F.coalesce("own", "h") != F.coalesce("root", "pivot")).alias("apart"))
+    rooted = keep(rooted, "rooted")
+    open_groups = rooted.join(rooted.where("apart").select("pivot").distinct(), "pivot", "left_semi").select(*rooted.columns)
+    rest = meetings(differing_rows(differences(open_groups, crowd)))
     return first.unionByName(verified(rest, lines).where(alike).select("a", "b"))
 
 

@@ -71,17 +71,35 @@ def test_a_large_group_of_variants_matches_all_pairs(spark):
     assert 1 < sum(bool(t) for t in got.values()) < 0.8 * len(rows)
 
 
-def test_prefixes_of_lines_within_the_threshold_meet(spark):
+def test_lines_within_the_threshold_but_apart_from_the_pivot_meet(spark):
     rng = random.Random(9)
-    known = [babble(rng, 20) for _ in range(20)]
-    known += [varied(rng, x) for x in known for _ in range(4)]
+    base = babble(rng, 25)
+    known = {base}
+    for _ in range(120):
+        line = base
+        for _ in range(rng.randint(1, 6)):
+            line = varied(rng, line)
+        known |= {line, varied(rng, line)}
+    known = [base, *sorted(known - {base})]
     table = spark.createDataFrame(list(enumerate(known)), "h long, line string").repartition(3)
-    counts = lines.slot_counts(table)
-    assert counts.sum() == sum(len(lines.shingles(x)) for x in known)
-    got = {r["h"]: r for r in lines.prefixes(table, counts).collect()}
-    assert all(got[i]["size"] == len(lines.shingles(x)) for i, x in enumerate(known))
-    near = [(i, j) for i in got for j in got if i < j and lines.jaccard(known[i], known[j]) >= lines.THRESHOLD]
-    assert len(near) > 20 and all(set(got[i]["prefix"]) & set(got[j]["prefix"]) for i, j in near)
+    near = [lines.jaccard(base, x) >= lines.THRESHOLD for x in known]
+    rows = [(i, 0, 0 if near[i] else i, not near[i]) for i in range(1, len(known))]
+    found = lines.differences(spark.createDataFrame(rows, "h long, pivot long, root long, apart boolean").repartition(3), table)
+    for r in found.collect():
+        x, p = lines.shingles(known[r["h"]]), lines.shingles(base)
+        assert (r["pivot_size"], r["n_added"], r["n_lost"], len(r["differing"])) == (len(p), len(x - p), len(p - x), 8 * len(x ^ p))
+    met = {(r["a"], r["b"]) for r in lines.meetings(lines.differing_rows(found)).collect()}
+    pairs = [(i, j) for j in range(1, len(known)) for i in range(1, j)]
+    want = {(i, j) for i, j in pairs if not (near[i] and near[j]) and lines.jaccard(known[i], known[j]) >= lines.THRESHOLD}
+    assert len(want) > 30 and want <= met and len(met) < len(pairs) / 4
+
+
+def test_similarities():
+    rng = random.Random(4)
+    x = [babble(rng, rng.randint(10, 30)) for _ in range(300)] + ["a" * 10, "a" * 50_000]
+    y = [varied(rng, v) if v[0] != "a" and rng.random() < 0.7 else rng.choice(x) for v in x]
+    assert lines.similarities(x, y).tolist() == [lines.jaccard(a, b) for a, b in zip(x, y)]
+    assert lines.similarities([], []).tolist() == []
 
 
 def test_jaccard_and_bands():
