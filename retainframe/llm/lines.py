@@ -244,6 +244,8 @@ def similarities(x: list[str], y: list[str]) -> np.ndarray:
     All sets are merged in one sort of (pair, part of the hash). Only what falls within two shingles of the threshold could
     change by a chance match, and is compared as text.
     """
+    if not x:
+        return np.empty(0)
     known = {line: i for i, line in enumerate(dict.fromkeys([*x, *y]))}
     owner, h = _distinct_shingles(list(known))
     size = np.bincount(owner, minlength=len(known))
