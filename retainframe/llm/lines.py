@@ -361,7 +361,7 @@ def _differing_hashes(differing: pa.Array) -> np.ndarray:
 
 
 def differing_rows(found: DataFrame) -> DataFrame:
-    """One row per difference that may count: ``first`` tells the rarest ones, all of a line apart from its pivot are given.
+    """One row per difference that may count: ``first`` tells the rarest ones, all of a line apart from its pivot are given, each with its ``place`` (rarest 0).
 
     Let x be below the threshold t with its pivot p, and y within it of x. With c = t / (1 + t), x and y share at least c(|x| + |y|)
     shingles and x and p fewer than c(|x| + |p|), so x and y have more than (1 - c) lost + c added of y's differences from p in
@@ -369,7 +369,7 @@ def differing_rows(found: DataFrame) -> DataFrame:
     """
     counts, c = slot_counts(found, "differing", _differing_hashes), THRESHOLD / (1 + THRESHOLD)
     names = [x for x in found.columns if x != "differing"]
-    schema = T.StructType([*[found.schema[x] for x in names], T.StructField("difference", T.LongType()), T.StructField("first", T.BooleanType())])
+    schema = T.StructType([*[found.schema[x] for x in names], T.StructField("difference", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("first", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -386,19 +386,25 @@ def differing_rows(found: DataFrame) -> DataFrame:
                 apart = part.column("apart").to_numpy(zero_copy_only=False)[owner]
                 use = np.flatnonzero((first | apart) & (n > 1))
                 rows = part.select(names).take(pa.array(owner[use]))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(x[use].view(np.int64)), pa.array(first[use])], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(x[use].view(np.int64)), pa.array(place[use].astype(np.int32)), pa.array(first[use])], names=schema.names)
 
     return keep(found.mapInArrow(run, schema), "differing-rows")
 
 
 def meetings(rows: DataFrame) -> DataFrame:
-    """(a, b): lines apart from their pivot, and other lines of its group, that share a difference from it and may be within the threshold."""
-    names = ("h", "root", "apart", "first", "pivot_size", "n_added", "n_lost")
+    """(a, b): lines apart from their pivot, and other lines of its group, that share a difference from it and may be within the threshold.
+
+    From |x and y| = |p| - lost(x) - lost(y) + shared differences, a pair of the threshold shares at least c(|x| + |y|) - |p| + lost(x) + lost(y).
+    The rarest that it shares has all the others behind it in both lines, so a row at whose place too few are left is not that one.
+    """
+    names = ("h", "root", "apart", "first", "place", "pivot_size", "n_added", "n_lost")
     side = lambda df, x: df.select("difference", *[F.col(n).alias(f"{n}_{x}") for n in names])
     once = ~F.col("apart_b") | (F.col("first_a") & (F.col("h_a") < F.col("h_b")))
     size = [F.col("pivot_size_a") - F.col(f"n_lost_{x}") + F.col(f"n_added_{x}") for x in "ab"]
-    most = F.col("pivot_size_a") - F.greatest("n_lost_a", "n_lost_b") + F.least("n_added_a", "n_added_b")
-    possible = (F.col("root_a") != F.col("root_b")) & (most >= (size[0] + size[1]) * F.lit(THRESHOLD / (1 + THRESHOLD)) - 1e-9)
+    needed = (size[0] + size[1]) * F.lit(THRESHOLD / (1 + THRESHOLD)) - F.col("pivot_size_a") + F.col("n_lost_a") + F.col("n_lost_b") - 1e-9
+    most = F.least("n_lost_a", "n_lost_b") + F.least("n_added_a", "n_added_b")
+    left = F.least(*[F.col(f"n_lost_{x}") + F.col(f"n_added_{x}") - F.col(f"place_{x}") for x in "ab"])
+    possible = (F.col("root_a") != F.col("root_b")) & (F.least(most, left) >= needed)
     met = side(rows.where("apart"), "a").join(side(rows.where("first"), "b"), "difference").where(once & possible)
     return met.select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")).distinct()
 

@@ -94,6 +94,30 @@ def test_lines_within_the_threshold_but_apart_from_the_pivot_meet(spark):
     assert len(want) > 30 and want <= met and len(met) < len(pairs) / 4
 
 
+def test_meetings_lose_no_pair_of_the_threshold(spark):
+    rng = random.Random(11)
+    words = babble(rng, 40).split()
+    swaps = [(i, babble(rng, 1)) for i in rng.sample(range(40), 12)]  # few edits, so that many variants share them
+    pivot, made = " ".join(words), set()
+    while len(made) < 150:
+        one = list(words)
+        for i, w in rng.sample(swaps, rng.randint(1, 8)):
+            one[i] = w
+        made.add(" ".join(one) + rng.choice(["", " and more", babble(rng, 2)]))
+    known = {lines.line_hash(x)[0]: x for x in [pivot, *made]}
+    top = lines.line_hash(pivot)[0]
+    apart = {h: lines.jaccard(x, pivot) < lines.THRESHOLD for h, x in known.items()}
+    roots = {h: h if apart[h] else top for h in known}
+    members = spark.createDataFrame([(h, top, roots[h], apart[h]) for h in known if h != top], "h long, pivot long, root long, apart boolean")
+    texts = spark.createDataFrame(list(known.items()), "h long, line string")
+    met = {(r.a, r.b) for r in lines.meetings(lines.differing_rows(lines.differences(members, texts))).collect()}
+    order = sorted(h for h in known if h != top)
+    pairs = [(a, b) for k, b in enumerate(order) for a in order[:k] if roots[a] != roots[b] and (apart[a] or apart[b])]
+    alike = {(a, b) for a, b in pairs if lines.jaccard(known[a], known[b]) >= lines.THRESHOLD}
+    assert len(alike) > 20 and any(apart[a] != apart[b] for a, b in alike)
+    assert alike <= met and len(met) < len(pairs) / 2
+
+
 def test_similarities():
     rng = random.Random(4)
     x = [babble(rng, rng.randint(10, 30)) for _ in range(300)] + ["a" * 10, "a" * 50_000]
