@@ -12,6 +12,7 @@ from ..functions.strings import (
     CHURN_NAMES, FIELD_LABELS, OTHER_TIER, TEXT_SEPARATOR, TIER_NAMES, UNIFIED_TYPES, labelled, named_bin, pack_key,
 )
 from ..functions.vectors import as_doubles, fuse, unit
+from ..operators.counts import StageCounts, counted
 from ..operators.evaluate import classification_report, prediction_table, vote
 from ..operators.features import churn_label, stratified_split, visit_features
 from ..operators.intervals import visit_intervals
@@ -26,18 +27,20 @@ from ..sources.schemas import NUMERIC_FEATURES
 def churn_features(
     visits: DataFrame, vehicles: DataFrame, members: DataFrame, purchases: DataFrame, as_of: date,
     internal: str = INTERNAL_TYPES, passive: str = PASSIVE_TYPES,
-    rules: Sequence[tuple[str, str]] = tuple(UNIFIED_TYPES), inactive: str = "drop",
+    rules: Sequence[tuple[str, str]] = tuple(UNIFIED_TYPES), inactive: str = "drop", counts: StageCounts | None = None,
 ) -> DataFrame:
     """Labelled feature row per entity, as one lazy plan.
 
     Raw visits are shuffled once combined per day, then once by entity; every window, join and
-    aggregation after that runs on the entity partitioning. The split date is a scalar subquery.
+    aggregation after that runs on the entity partitioning. The split date is a scalar subquery. ``counts`` counts
+    the rows of the stages visits, intervals and features in the job that runs the plan.
     """
     profile = customer_profile(vehicles, members, purchases)
     split = split_date(active_entities(visits, profile, internal, passive))
     past = history(clean_visits(visits, profile, internal, passive, rules, ["purchase_date"]), split)
-    features = visit_features(visit_intervals(past), profile, split, as_of, inactive)
-    return churn_label(features, split)
+    intervals = counted(visit_intervals(counted(past, counts, "visits")), counts, "intervals")
+    features = visit_features(intervals, profile, split, as_of, inactive)
+    return counted(churn_label(features, split), counts, "features")
 
 
 def labelled_dataset(features: DataFrame, valid_fraction: float = 0.1, seed: int = 42) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.corpus import chunk, document_text, page_bodies, page_text, top_insights
+from ..operators.counts import StageCounts, counted
 from ..operators.retrieval import retrieve_by_text
 from ..session import materialize
 
@@ -29,13 +30,16 @@ def corpus_chunks(corpus: DataFrame, method: str = "recursive", **sizes: int) ->
 
 
 def retrieve(
-    pages: DataFrame, lines: DataFrame, query: str, k: int = 50, threshold: float = 0.5, method: str = "recursive"
+    pages: DataFrame, lines: DataFrame, query: str, k: int = 50, threshold: float = 0.5, method: str = "recursive",
+    counts: StageCounts | None = None,
 ) -> DataFrame:
     """Chunks of both sources that answer the query, best first by score.
 
     The chunk table is rebuilt in the shared folder and indexed by term; see ``operators/text_index.py``.
+    ``counts`` counts the rows of the stages corpus and chunks while that table is written.
     """
-    chunks = materialize(corpus_chunks(clean_corpus(pages, lines), method), "chunks")
+    corpus = counted(clean_corpus(pages, lines), counts, "corpus")
+    chunks = materialize(counted(corpus_chunks(corpus, method), counts, "chunks"), "chunks")
     return retrieve_by_text(chunks, query, k, threshold)
 
 
