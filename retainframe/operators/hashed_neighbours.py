@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .neighbours import BLOCK_BYTES, _arrow_schema, _matrix, _prepared, _shape, _top
+from .neighbours import BLOCK_BYTES, _arrow_schema, _matrix, _prepared, _shape, _top, numbers
 
 # Tables, buckets probed in each, and rows that a bucket holds on average.
 TABLES, PROBES, BUCKET_ROWS = 12, 6, 256
@@ -32,8 +32,8 @@ def hashed_neighbours(
     of base rows by default. A bucket with many rows, such as those of equal vectors, is cut into blocks by key on both
     sides, and a block gives back k rows per query at most.
     """
-    queries = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector")).where("vector is not null")
-    base = base.select("base_id", F.col("vector").cast("array<double>").alias("vector"), *carry).where("vector is not null")
+    queries = queries.select("query_id", numbers(queries)).where("vector is not null")
+    base = base.select("base_id", numbers(base), *carry).where("vector is not null")
     n_base, dims, _ = _shape(base)
     result = T.StructType(
         [T.StructField("query_id", queries.schema["query_id"].dataType)]

@@ -261,3 +261,26 @@ def test_order_statistics_end_in_few_passes(spark):
     assert all(abs(got["x"][r] / values[r] - 1) < 1e-9 for r in got["x"]) and len(got["x"]) == 5
     (stats,) = profile_columns(rows, ["y"])
     assert stats.n == 99_998 and stats.max == 99_999.0 and abs(stats.median - 50_000) < 2
+
+
+def test_vectors_are_sent_per_cell_not_per_pivot(spark):
+    """Vectors without groups, where no pivot can be skipped: partial results are bounded by the cells along a side."""
+    base, queries = RNG.normal(size=(800, 16)), RNG.normal(size=(100, 16))
+    schema = T.StructType.fromDDL("query_id bigint, base_id bigint, score double")
+    partial = nb._by_pivot(vectors(spark, queries, "query_id"), vectors(spark, base, "base_id"), 5, 9, schema, 800, 8, 1000)
+    assert partial.count() <= 100 * 5 * 2 * nb.LEAST_CELLS  # one by one: 100 * 5 * 400 pivots
+    found = nearest_neighbours(vectors(spark, queries, "query_id"), vectors(spark, base, "base_id"), 5, shared_side_bytes=0, block_bytes=8 * 8 * 16)
+    assert {(r["query_id"], r["base_id"]): r["score"] for r in found.collect()} == pytest.approx(brute(queries, base, 5))
+
+
+def test_single_precision_decides_nothing(spark):
+    """Scores that differ by less than single precision can tell keep their order, and ties their ids."""
+    base = np.tile([1.0, 0.0], (400, 1))
+    base[:, 1] = np.arange(400)[::-1] // 2 * 1e-4
+    best = nb._Best(nb._matrix(pa.table({"vector": [[1.0, 0.0]]})), 7, 9)
+    rows = pa.table({"vector": base.tolist()})
+    for start in range(0, 400, 30):
+        part = np.arange(start, min(start + 30, 400))
+        best.add(nb._matrix(rows)[part], part)
+    expected = sorted(range(400), key=lambda j: (-round(1 / np.hypot(1, base[j, 1]), 9), j))[:7]
+    assert best.place[0].tolist() == expected
