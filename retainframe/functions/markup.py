@@ -7,6 +7,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import bind
 from .strings import strip
 
 # Elements that begin and end a line of their own.
@@ -54,10 +55,15 @@ def html_text(html: Column) -> Column:
     """Visible text: scripts, styles and comments go, block tags end lines, other tags vanish, entities are decoded."""
     for pattern, replacement in HTML_STEPS:
         html = F.regexp_replace(html, pattern, replacement)
-    named = numeric_entities(html)
-    for entity, character in ENTITIES:
-        named = F.replace(named, F.lit(entity), F.lit(character))
-    return F.when(html.contains("&"), named).otherwise(html)
+
+    def decoded(plain: Column) -> Column:
+        named = numeric_entities(plain)
+        for entity, character in ENTITIES:
+            named = F.replace(named, F.lit(entity), F.lit(character))
+        return F.when(plain.contains("&"), named).otherwise(plain)
+
+    # bound, so that the steps run once per page and not once per mention
+    return bind(html, decoded)
 
 
 def word_count(text: Column) -> Column:
@@ -73,6 +79,9 @@ def body_lines(text: Column, min_words: int = 10) -> Column:
 
 def document_piece(line: Column, min_length: int = 10) -> Column:
     """What a line adds to its document: null if short, glued on if it ends in a hyphen."""
-    clean = strip(line)
-    piece = F.when(clean.endswith("-"), F.rtrim(clean, F.lit("-"))).otherwise(F.concat(clean, F.lit(" ")))
-    return F.when(F.length(clean) >= min_length, piece)
+
+    def piece(clean: Column) -> Column:
+        glued = F.when(clean.endswith("-"), F.rtrim(clean, F.lit("-"))).otherwise(F.concat(clean, F.lit(" ")))
+        return F.when(F.length(clean) >= min_length, glued)
+
+    return bind(strip(line), piece)

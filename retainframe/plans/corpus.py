@@ -13,19 +13,24 @@ from ..session import materialize
 
 def clean_corpus(pages: DataFrame, lines: DataFrame, min_words: int = 10, min_length: int = 10) -> DataFrame:
     """(origin, doc_key, title, content) of fetched pages (doc_key, title, html) and of document lines."""
+    # empty bodies go by an outer explode: a filter on the content would clean every page a second time
+    some = F.explode_outer(F.filter(F.array("content"), lambda c: c != "")).alias("content")
     web = page_bodies(page_text(pages), min_words).select(
-        F.lit("web").alias("origin"), F.col("doc_key").cast("string").alias("doc_key"), "title", "content"
+        F.lit("web").alias("origin"), F.col("doc_key").cast("string").alias("doc_key"), "title", some
     )
     name = F.col("title").cast("string")
     local = document_text(lines, min_length=min_length).select(
         F.lit("local").alias("origin"), name.alias("doc_key"), name.alias("title"), "content"
     )
-    return web.where(F.col("content") != "").unionByName(local)
+    return web.where(F.col("content").isNotNull()).unionByName(local)
 
 
 def corpus_chunks(corpus: DataFrame, method: str = "recursive", **sizes: int) -> DataFrame:
-    """Chunk rows with a stable id made of origin, document key and place."""
-    chunks = chunk(corpus, method, **sizes)
+    """Chunk rows with a stable id made of origin, document key and place.
+
+    The corpus is written first: the chunk expressions mention a text many times, and would clean it as often.
+    """
+    chunks = chunk(materialize(corpus, "corpus"), method, **sizes)
     return chunks.withColumn("chunk_id", F.concat_ws("#", "origin", "doc_key", F.col("chunk_no").cast("string")))
 
 

@@ -286,3 +286,27 @@ def test_retrieval_over_both_sources(spark):
     found = retrieve(pages, lines, "quick brown fox", threshold=0.2).collect()
     assert [r["chunk_id"] for r in found] == ["web#p1#0"]
     assert retrieve(pages.limit(0), lines.limit(0), "quick").count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pages_are_cleaned_once(spark):
+    """The steps of a page's cleaning stand once in the plan of the corpus, and not at all in that of its chunks."""
+    from retainframe.plans.corpus import clean_corpus, corpus_chunks
+
+    words = "one two three four five six seven eight nine ten"
+    pages = spark.range(3).select(
+        F.col("id").alias("doc_key"), F.lit("t").alias("title"),
+        F.concat(F.lit("<p>"), F.when(F.col("id") > 0, F.concat(F.lit(f"{words} &amp; "), F.col("id").cast("string"))).otherwise("few words"), F.lit("</p>")).alias("html"),
+    )
+    lines = spark.range(2).select(F.lit("d").alias("doc"), F.lit(0).alias("page_no"), F.col("id").alias("line_no"), F.concat(F.lit("a line of text "), F.col("id").cast("string")).alias("line"))
+    corpus = clean_corpus(pages, lines)
+    assert _plan(corpus).count("<script") == 1
+    assert {(r["origin"], r["doc_key"], r["content"]) for r in corpus.collect()} == {
+        ("web", "1", f"{words} & 1"), ("web", "2", f"{words} & 2"), ("local", "d", "a line of text 0 a line of text 1"),
+    }
+    chunks = corpus_chunks(corpus)
+    assert "<script" not in _plan(chunks)
+    assert sorted(r["chunk_id"] for r in chunks.collect()) == ["local#d#0", "web#1#0", "web#2#0"]
