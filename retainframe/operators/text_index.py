@@ -24,7 +24,8 @@ SLACK = 1e-7
 
 def terms_of(text: Column) -> Column:
     """Array of (term, count), terms being the lower-case runs of letters and digits; null gives none."""
-    found = F.array_sort(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    # sort_array compares natively; array_sort would run a lambda per comparison
+    found = F.sort_array(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
 
     def counted(words: Column) -> Column:
         # positions where a new word starts in the sorted array; a word's count is the distance to the next

@@ -310,3 +310,12 @@ def test_pages_are_cleaned_once(spark):
     chunks = corpus_chunks(corpus)
     assert "<script" not in _plan(chunks)
     assert sorted(r["chunk_id"] for r in chunks.collect()) == ["local#d#0", "web#1#0", "web#2#0"]
+
+
+def test_terms_are_sorted_without_a_lambda(spark):
+    """A text's words are compared natively, not by an interpreted function per comparison."""
+    from retainframe.operators.text_index import terms_of
+
+    counted = spark.range(1).select(terms_of(F.concat(F.col("id").cast("string"), F.lit(" Zoo b zoo é b B"))).alias("t"))
+    assert "array_sort(" not in _plan(counted)
+    assert [tuple(t) for t in counted.first()["t"]] == [("0", 1), ("b", 3), ("zoo", 2), ("é", 1)]
