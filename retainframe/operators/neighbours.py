@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..session import materialize
 
 # A side is sent to every task only when rows x dimensions x 8 bytes stay below this; every Python worker holds it.
-SHARED_SIDE_BYTES = 64 << 20
+SHARED_SIDE_BYTES = 8 << 20
 # Vectors by which pivots are numbered, vectors of either side of a cell of the grid, and cells wanted along each side.
 BLOCK_BYTES = 32 << 20
 CELL_BYTES = 16 << 20

@@ -284,3 +284,14 @@ def test_single_precision_decides_nothing(spark):
         best.add(nb._matrix(rows)[part], part)
     expected = sorted(range(400), key=lambda j: (-round(1 / np.hypot(1, base[j, 1]), 9), j))[:7]
     assert best.place[0].tolist() == expected
+
+
+def test_a_large_base_is_not_held_by_every_worker(spark, monkeypatch):
+    """A base of 10 MB is read in batches or cells, not copied into each Python worker."""
+    def refused(*_):
+        raise AssertionError("the base was shared")
+
+    monkeypatch.setattr(nb, "_scan_queries", refused)
+    rows = spark.range(20_000).select("id", F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.sin(F.col("id") * i + i)).alias("vector"))
+    found = nearest_neighbours(rows.where("id < 3").withColumnRenamed("id", "query_id"), rows.withColumnRenamed("id", "base_id"), 1)
+    assert {(r["query_id"], r["base_id"], r["score"]) for r in found.collect()} == {(i, i, 1.0) for i in range(3)}
