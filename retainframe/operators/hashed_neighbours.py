@@ -20,6 +20,8 @@ from .neighbours import BLOCK_BYTES, _arrow_schema, _matrix, _prepared, _shape,
 
 # Tables, buckets probed in each, and rows that a bucket holds on average.
 TABLES, PROBES, BUCKET_ROWS = 12, 6, 256
+# Sizes of buckets are sent to every task up to this many buckets of all tables.
+SHARED_BUCKETS = 1 << 20
 
 
 def hashed_neighbours(
@@ -53,6 +55,8 @@ def hashed_neighbours(
     left, right = placed(queries, probes), placed(base, 1)
     count = lambda side, name: side.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
     sizes = count(left, "query_blocks").join(count(right, "base_blocks"), "bucket")
+    if tables << bits <= SHARED_BUCKETS:  # otherwise every vector would be shuffled by bucket before it is by cell
+        sizes = F.broadcast(sizes)
     own = lambda key, blocks: F.pmod(F.xxhash64(key), F.col(blocks)).cast("int")
     each = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
     keys = ["bucket", "query_block", "base_block"]
@@ -64,7 +68,9 @@ def hashed_neighbours(
     def cell(q: pa.Table, b: pa.Table) -> pa.Table:
         return _top(_prepared(q.drop_columns(keys), "query_id"), _prepared(b.drop_columns(keys), "base_id"), k, digits, schema)
 
-    found = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(cell, result).dropDuplicates(["query_id", "base_id"])
+    found = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(cell, result)
+    # one shuffle by query serves both the copies and the ranks
+    found = found.repartition("query_id").dropDuplicates(["query_id", "base_id"])
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "base_id")
     return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).drop("place")
 

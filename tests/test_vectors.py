@@ -295,3 +295,14 @@ def test_a_large_base_is_not_held_by_every_worker(spark, monkeypatch):
     rows = spark.range(20_000).select("id", F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.sin(F.col("id") * i + i)).alias("vector"))
     found = nearest_neighbours(rows.where("id < 3").withColumnRenamed("id", "query_id"), rows.withColumnRenamed("id", "base_id"), 1)
     assert {(r["query_id"], r["base_id"], r["score"]) for r in found.collect()} == {(i, i, 1.0) for i in range(3)}
+
+
+def test_hashed_search_shuffles_vectors_once(spark):
+    """Narrow vectors stay narrow, and go to their cells in one shuffle a side; the rows found are shuffled once, by query."""
+    rows = vectors(spark, RNG.normal(size=(300, 8)), "id").select("id", F.col("vector").cast("array<float>"))
+    found = hashed_neighbours(rows.withColumnRenamed("id", "query_id"), rows.withColumnRenamed("id", "base_id"), 3)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("BroadcastHashJoin [bucket") == 2  # the sizes of buckets are joined where the vectors lie
+    assert plan.count("hashpartitioning(query_id") == 1
+    assert "array<double>" not in plan and "as array<double>" not in plan
