@@ -6,8 +6,9 @@ verified by the exact Jaccard similarity of their shingle sets, links are joined
 occurrences of a component's lines the first (smallest key, then place) stays.
 
 Equal lines are one node throughout. Members of a band's group are paired out up to ``PAIRED``; in a larger group
-all are compared with one member, the pivot. Members that are then in the pivot's component need no more. One that is
-not is within the threshold of another member only if both differ from the pivot in the same shingles, rare ones among them
+all are compared with one member, the pivot. If they are then in one component, they need no more; else groups of the same main
+component are joined (``around``) and the others are compared with its most linked member, their new pivot. One still apart
+is within the threshold of another member only if both differ from the pivot in the same shingles, rare ones among them
 (``differing_rows``): it is compared with those that do. So no link between components is lost, and what all variants share pairs nothing.
 
 Documents are packed into blocks that are written once; only hashes, and the texts of candidate lines, are shuffled
@@ -38,8 +39,8 @@ from .components import components
 SHINGLE, THRESHOLD, BANDS, ROWS = 10, 0.8, 12, 4
 #: Members of a group that are paired out, bytes of a block, of a hash bucket and of lines that are hashed at once.
 PAIRED, BLOCK_BYTES, BUCKET_BYTES, PART_BYTES = 8, 2 << 20, 32 << 20, 1 << 20
-#: Pairs that are compared in one sort, and bits of their number.
-PAIRS, PAIR_BITS = 1 << 12, 12
+#: Pairs that are compared in one sort, and bits of the number of one of their lines.
+PAIRS, PAIR_BITS = 1 << 11, 12
 #: Counters for the frequency of shingles (4 MB, shared with the tasks), whatever the corpus.
 SLOTS = 1 << 20
 #: Characters of lines that are hashed at once.
@@ -241,30 +242,37 @@ def texts(blocks: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 def similarities(x: list[str], y: list[str]) -> np.ndarray:
     """Exact Jaccard similarity of the shingle sets of x[i] and y[i], lines of SHINGLE characters or more.
 
-    All sets are merged in one sort of (pair, part of the hash). Only what falls within two shingles of the threshold could
-    change by a chance match, and is compared as text.
+    Sets are made by one sort of (line, part of the hash) and merged by one of (pair, part of the hash). Only what falls within two
+    shingles of the threshold could change by a chance match, and is compared as text.
     """
-    if not x:
-        return np.empty(0)
-    known = {line: i for i, line in enumerate(dict.fromkeys([*x, *y]))}
-    owner, h = _distinct_shingles(list(known))
-    size = np.bincount(owner, minlength=len(known))
-    start, out = np.cumsum(size) - size, np.empty(len(x))
-    at = np.array([[known[line] for line in side] for side in (x, y)])
+    out = np.empty(len(x))
     for i in range(0, len(x), PAIRS):
-        n = size[at[:, i : i + PAIRS]]
-        pairs = n.shape[1]
+        left, right = x[i : i + PAIRS], y[i : i + PAIRS]
+        known = {line: k for k, line in enumerate(dict.fromkeys([*left, *right]))}
+        owner, h = _parts(list(known))
+        size = np.bincount(owner, minlength=len(known))
+        start, at = np.cumsum(size) - size, np.array([[known[line] for line in side] for side in (left, right)])
+        n, pairs = size[at], len(left)
         flat = n.ravel()
-        place = np.arange(flat.sum()) - np.repeat(np.cumsum(flat) - flat - start[at[:, i : i + PAIRS]].ravel(), flat)
-        key = np.repeat(np.tile(np.arange(pairs, dtype=np.uint64), 2), flat) << np.uint64(64 - PAIR_BITS) | h[place] >> np.uint64(PAIR_BITS)
+        place = np.arange(flat.sum()) - np.repeat(np.cumsum(flat) - flat - start[at].ravel(), flat)
+        key = np.repeat(np.tile(np.arange(pairs, dtype=np.uint64), 2), flat) << np.uint64(64 - PAIR_BITS) | h[place]
         key.sort()
         both = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(64 - PAIR_BITS)).astype(np.int64), minlength=pairs)
         out[i : i + pairs] = both / (n.sum(axis=0) - both)
         for k in np.flatnonzero(np.abs(both - n.sum(axis=0) * (THRESHOLD / (1 + THRESHOLD))) <= 2):
-            out[i + k] = jaccard(x[i + k], y[i + k])
+            out[i + k] = jaccard(left[k], right[k])
     return out
 
 
+def _parts(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, leading 64 - PAIR_BITS bits of the hash) of the distinct shingles of up to 2 * PAIRS lines, ordered by both."""
+    count = np.array([len(v) for v in lines]) - SHINGLE + 1
+    key = np.repeat(np.arange(len(lines), dtype=np.uint64), count) << np.uint64(64 - PAIR_BITS) | _shingle_hashes(lines) >> np.uint64(PAIR_BITS)
+    key.sort()
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    return (key >> np.uint64(64 - PAIR_BITS)).astype(np.int64), key & np.uint64((1 << 64 - PAIR_BITS) - 1)
+
+
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Pairs (a, b) with their exact Jaccard similarity."""
 
@@ -365,7 +373,8 @@ def differing_rows(found: DataFrame) -> DataFrame:
 
     Let x be below the threshold t with its pivot p, and y within it of x. With c = t / (1 + t), x and y share at least c(|x| + |y|)
     shingles and x and p fewer than c(|x| + |p|), so x and y have more than (1 - c) lost + c added of y's differences from p in
-    common. One of the others plus one, in whatever order all lines use, is therefore among those of x.
+    common. One of the others plus one, in whatever order all lines use, is therefore among those of x. These have also more than
+    (1 - c) lost + c added of x's own, less (1 - 2c)|p|, in common with any y, so as many of the last in order need not be given.
     """
     counts, c = slot_counts(found, "differing", _differing_hashes), THRESHOLD / (1 + THRESHOLD)
     names = [x for x in found.columns if x != "differing"]
@@ -375,15 +384,16 @@ def differing_rows(found: DataFrame) -> DataFrame:
         for batch in batches:
             for i, j in chunks(batch, "differing", PART_BYTES):
                 part = batch.slice(i, j - i)
-                lost, added = (part.column(x).to_numpy() for x in ("n_lost", "n_added"))
+                lost, added, base = (part.column(x).to_numpy() for x in ("n_lost", "n_added", "pivot_size"))
                 x, size = _differing_hashes(part.column("differing")), lost + added
                 owner = np.repeat(np.arange(j - i), size)
                 n = counts[_slot(x)]
                 order = np.lexsort((x, n, owner))
                 x, n = x[order], n[order]
                 place = np.arange(len(x)) - (np.cumsum(size) - size)[owner]
-                first = place < (size - np.floor((1 - c) * lost + c * added - 1e-9))[owner]
-                apart = part.column("apart").to_numpy(zero_copy_only=False)[owner]
+                shared = (1 - c) * lost + c * added - 1e-9
+                first = place < (size - np.floor(shared))[owner]
+                apart = part.column("apart").to_numpy(zero_copy_only=False)[owner] & (place <= (size - np.ceil(shared - (1 - 2 * c) * base))[owner])
                 use = np.flatnonzero((first | apart) & (n > 1))
                 rows = part.select(names).take(pa.array(owner[use]))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(x[use].view(np.int64)), pa.array(place[use].astype(np.int32)), pa.array(first[use])], names=schema.names)
@@ -409,6 +419,20 @@ def meetings(rows: DataFrame) -> DataFrame:
     return met.select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")).distinct()
 
 
+def around(rooted: DataFrame, found: DataFrame) -> DataFrame:
+    """(h, root, main, pivot): members of the large groups (band, pivot, h, root) that hold several components, once per main component.
+
+    Main is the component with the most members of a group, so groups of several bands that are about the same text are one. Its
+    new pivot is the member with the most links in ``found``; it is not listed itself.
+    """
+    sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n"), F.max(F.col("h") == F.col("pivot")).alias("own"))
+    main = sizes.groupBy("band").agg(F.max(F.struct("n", "own", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    near = keep(rooted.join(main, "band").select("h", "root", "main").distinct(), "near")
+    degree = found.select(F.explode(F.array("a", "b")).alias("h")).groupBy("h").agg(F.count("*").alias("links"))
+    pivots = near.where("root = main").join(degree, "h", "left").groupBy("main").agg(F.max(F.struct(F.coalesce("links", F.lit(0)), "h"))["h"].alias("pivot"))
+    return keep(near.join(pivots, "main").where("h != pivot").select("h", "root", "main", "pivot"), "around")
+
+
 def links(blocks: DataFrame, text: str) -> DataFrame:
     """(a, b): links between hashes of lines whose components are those of all verified candidates."""
     found = candidates(blocks, text, _buckets(blocks))
@@ -422,13 +446,15 @@ def links(blocks: DataFrame, text: str) -> DataFrame:
     pivots = members.join(weights(crowd), "h").groupBy("band").agg(F.max(F.struct("weight", "h"))["h"].alias("pivot"))
     grouped = keep(members.join(pivots, "band").where("h != pivot").select("h", "pivot").distinct(), "grouped")
     first = verified(pairs.unionByName(grouped.select(F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b"))).distinct(), lines).where(alike).select("a", "b")
-    roots = keep(components(first), "roots")
-    rooted = grouped.join(roots.withColumnRenamed("node", "h").withColumnRenamed("root", "own"), "h", "left").join(roots.withColumnRenamed("node", "pivot"), "pivot", "left")
-    rooted = rooted.select("h", "pivot", F.coalesce("own", "h").alias("root"), (F.coalesce("own", "h") != F.coalesce("root", "pivot")).alias("apart"))
-    rooted = keep(rooted, "rooted")
-    open_groups = rooted.join(rooted.where("apart").select("pivot").distinct(), "pivot", "left_semi").select(*rooted.columns)
+    rooted = keep(members.join(pivots, "band").join(components(first).withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h")), "rooted")
+    near = around(rooted, first)
+    second = verified(near.where("root != main").select(F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b")).distinct(), lines).where(alike).select("a", "b")
+    close = near.join(second, (F.least("h", "pivot") == F.col("a")) & (F.greatest("h", "pivot") == F.col("b")), "left")
+    close = close.select("h", "pivot", F.when(F.col("a").isNull(), F.col("root")).otherwise(F.col("main")).alias("root"), (F.col("a").isNull() & (F.col("root") != F.col("main"))).alias("apart"))
+    close = keep(close, "close")
+    open_groups = close.join(close.where("apart").select("pivot").distinct(), "pivot", "left_semi").select(*close.columns)
     rest = meetings(differing_rows(differences(open_groups, crowd)))
-    return first.unionByName(verified(rest, lines).where(alike).select("a", "b"))
+    return first.unionByName(second).unionByName(verified(rest, lines).where(alike).select("a", "b"))
 
 
 # --- decisions -----------------------------------------------------------------------------------------------

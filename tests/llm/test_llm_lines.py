@@ -118,6 +118,24 @@ def test_meetings_lose_no_pair_of_the_threshold(spark):
     assert alike <= met and len(met) < len(pairs) / 2
 
 
+def test_groups_of_several_bands_about_one_text_are_one(spark):
+    rows = [(band, pivot, h) for band, pivot in enumerate((1, 20, 21, 2)) for h in (1, 2, 3, 4, 20, 21)]  # two bands have a stranger for pivot
+    rows += [(9, 30, h) for h in (30, 31)] + [(10, 1, h) for h in (1, 2, 3)]  # strangers only, and a group of one component
+    found = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (3, 4)], "a long, b long")
+    rooted = spark.createDataFrame([(b, p, h, 1 if h < 5 else h) for b, p, h in rows], "band long, pivot long, h long, root long")
+    got = sorted(map(tuple, lines.around(rooted.repartition(3), found).select("h", "root", "main", "pivot").collect()))
+    assert got == [(2, 1, 1, 1), (3, 1, 1, 1), (4, 1, 1, 1), (20, 20, 1, 1), (21, 21, 1, 1), (31, 31, 30, 30)]
+
+
+def test_similarities_of_more_pairs_than_are_sorted_at_once():
+    rng = random.Random(8)
+    base = [babble(rng, 4) for _ in range(400)]
+    x = [base[i % 400] for i in range(2 * lines.PAIRS + 5)]
+    y = [base[i % 397] if i % 3 else varied(rng, x[i]) for i in range(len(x))]
+    assert 2 * lines.PAIRS <= 1 << lines.PAIR_BITS  # the lines of a slice are numbered by so many bits
+    assert lines.similarities(x, y).tolist() == [lines.jaccard(a, b) for a, b in zip(x, y)]
+
+
 def test_similarities():
     rng = random.Random(4)
     x = [babble(rng, rng.randint(10, 30)) for _ in range(300)] + ["a" * 10, "a" * 50_000]
