@@ -43,6 +43,8 @@ PAIRED, BLOCK_BYTES, BUCKET_BYTES, PART_BYTES = 8, 2 << 20, 32 << 20, 1 << 20
 PAIRS, PAIR_BITS = 1 << 11, 12
 #: Counters for the frequency of shingles (4 MB, shared with the tasks), whatever the corpus.
 SLOTS = 1 << 20
+#: Bits of a difference that are looked up to tell whether another line can meet there (three maps of 2 MB, shared with the tasks), and parts a map is made in.
+MAP_BITS, MAP_PARTS = 24, 64
 #: Characters of lines that are hashed at once.
 CACHE_CHARS = 1 << 18
 _SPACE = " \t\n\v\f\r"
@@ -368,15 +370,74 @@ def _differing_hashes(differing: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(differing.to_pylist()), np.uint64)
 
 
-def differing_rows(found: DataFrame) -> DataFrame:
-    """One row per difference that may count: ``first`` tells the rarest ones, all of a line apart from its pivot are given, each with its ``place`` (rarest 0).
+def _ranked(part: pa.RecordBatch, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(line number, hash, place, first, given) of the differences of some lines, the rarest of each line before its others.
 
     Let x be below the threshold t with its pivot p, and y within it of x. With c = t / (1 + t), x and y share at least c(|x| + |y|)
     shingles and x and p fewer than c(|x| + |p|), so x and y have more than (1 - c) lost + c added of y's differences from p in
-    common. One of the others plus one, in whatever order all lines use, is therefore among those of x. These have also more than
-    (1 - c) lost + c added of x's own, less (1 - 2c)|p|, in common with any y, so as many of the last in order need not be given.
+    common. One of the others plus one, in whatever order all lines use, is therefore among those of x: these are ``first``. x and y
+    have in common k + (1 - c) lost + c added of y's at least, k being as much of x's less (1 - 2c)|p|. What they share of either kind
+    is no more than y's, so c of the lost and 1 - c of the added ones that they share make k at least: so many of x's that are last in order need not
+    be ``given``, nor be first if x is y's side of another such pair.
+    """
+    c = THRESHOLD / (1 + THRESHOLD)
+    lost, added, base = (part.column(x).to_numpy() for x in ("n_lost", "n_added", "pivot_size"))
+    apart = part.column("apart").to_numpy(zero_copy_only=False)
+    x, size = _differing_hashes(part.column("differing")), lost + added
+    owner = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((x, counts[_slot(x)], owner))
+    x, place = x[order], np.arange(len(x)) - (np.cumsum(size) - size)[owner]
+    shared = (1 - c) * lost + c * added - 1e-9
+    k = shared - (1 - 2 * c) * base
+    least = np.ceil(np.where((1 - c) * added >= k, k / (1 - c), added + (k - (1 - c) * added) / c) - 1e-9)
+    most = np.floor(shared) + 1
+    first = place <= (size - np.where(apart, np.maximum(most, least), most))[owner]
+    return owner, x, place, first, apart[owner] & (place <= (size - least)[owner])
+
+
+def _map_slot(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(64 - MAP_BITS)).astype(np.uint32)
+
+
+def _marked(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def meeting_maps(found: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bits of the differences given by a line apart, first of a line that is not, and first of two lines apart."""
+    names, width = ("given", "others", "two"), (1 << MAP_BITS) // MAP_PARTS
+    schema = T.StructType([T.StructField("part", T.IntegerType()), *[T.StructField(x, T.BinaryType()) for x in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in chunks(batch, "differing", PART_BYTES):
+                part = batch.slice(i, j - i)
+                owner, x, _, first, given = _ranked(part, counts)
+                apart, slot = part.column("apart").to_numpy(zero_copy_only=False)[owner], _map_slot(x)
+                columns = []
+                for use in (given, first & ~apart, first & apart):
+                    mine = np.sort(slot[use])
+                    columns.append(pa.array([y.tobytes() for y in np.split(mine, np.searchsorted(mine, width * np.arange(1, MAP_PARTS)))], pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(range(MAP_PARTS), pa.int32()), *columns], names=schema.names)
+
+    def fold(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        slots = [np.frombuffer(b"".join(table.column(x).to_pylist()), np.uint32) - np.uint32(part * width) for x in names]
+        bits = [np.packbits(np.bincount(x, minlength=width) >= n, bitorder="little").tobytes() for x, n in zip(slots, (1, 1, 2))]
+        return pa.table([pa.array([part], pa.int32()), *[pa.array([x], pa.binary()) for x in bits]], names=schema.names)
+
+    made = found.mapInArrow(run, schema).groupBy("part").applyInArrow(fold, schema).toArrow().sort_by("part")  # MAP_PARTS rows, 6 MB
+    return tuple(np.frombuffer(b"".join(made.column(x).to_pylist()) or bytes((1 << MAP_BITS) // 8), np.uint8) for x in names)
+
+
+def differing_rows(found: DataFrame) -> DataFrame:
+    """One row per difference at which a line can meet another: ``first`` tells the rarest ones, all of a line apart from its pivot are given, each with its ``place`` (rarest 0).
+
+    A line that is not apart meets those apart at its first differences; of two lines apart both do. A difference that no such line has is left out;
+    what shares its bits by chance is not, which costs a row, no link. So rows follow the meetings that can be, not the size of a group.
     """
-    counts, c = slot_counts(found, "differing", _differing_hashes), THRESHOLD / (1 + THRESHOLD)
+    counts = slot_counts(found, "differing", _differing_hashes)
+    by_apart, by_others, by_two = meeting_maps(found, counts)
     names = [x for x in found.columns if x != "differing"]
     schema = T.StructType([*[found.schema[x] for x in names], T.StructField("difference", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("first", T.BooleanType())])
 
@@ -384,17 +445,10 @@ def differing_rows(found: DataFrame) -> DataFrame:
         for batch in batches:
             for i, j in chunks(batch, "differing", PART_BYTES):
                 part = batch.slice(i, j - i)
-                lost, added, base = (part.column(x).to_numpy() for x in ("n_lost", "n_added", "pivot_size"))
-                x, size = _differing_hashes(part.column("differing")), lost + added
-                owner = np.repeat(np.arange(j - i), size)
-                n = counts[_slot(x)]
-                order = np.lexsort((x, n, owner))
-                x, n = x[order], n[order]
-                place = np.arange(len(x)) - (np.cumsum(size) - size)[owner]
-                shared = (1 - c) * lost + c * added - 1e-9
-                first = place < (size - np.floor(shared))[owner]
-                apart = part.column("apart").to_numpy(zero_copy_only=False)[owner] & (place <= (size - np.ceil(shared - (1 - 2 * c) * base))[owner])
-                use = np.flatnonzero((first | apart) & (n > 1))
+                owner, x, place, first, given = _ranked(part, counts)
+                apart, slot = part.column("apart").to_numpy(zero_copy_only=False)[owner], _map_slot(x)
+                met = given & (_marked(by_others, slot) | first & _marked(by_two, slot))
+                use = np.flatnonzero(met | first & ~apart & _marked(by_apart, slot))
                 rows = part.select(names).take(pa.array(owner[use]))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(x[use].view(np.int64)), pa.array(place[use].astype(np.int32)), pa.array(first[use])], names=schema.names)
 
@@ -434,7 +488,7 @@ def around(rooted: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def links(blocks: DataFrame, text: str) -> DataFrame:
-    """(a, b): links between hashes of lines whose components are those of all verified candidates."""
+    """(a, b): links between hashes of lines whose components are those of all verified candidates; lines already in a component are linked to its root."""
     found = candidates(blocks, text, _buckets(blocks))
     wanted = found.where("kind = 2").groupBy(F.col("x").alias("h")).agg(F.min("block").alias("block"))
     lines = texts(blocks, text, wanted)
@@ -446,7 +500,8 @@ def links(blocks: DataFrame, text: str) -> DataFrame:
     pivots = members.join(weights(crowd), "h").groupBy("band").agg(F.max(F.struct("weight", "h"))["h"].alias("pivot"))
     grouped = keep(members.join(pivots, "band").where("h != pivot").select("h", "pivot").distinct(), "grouped")
     first = verified(pairs.unionByName(grouped.select(F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b"))).distinct(), lines).where(alike).select("a", "b")
-    rooted = keep(members.join(pivots, "band").join(components(first).withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h")), "rooted")
+    roots = components(first)
+    rooted = keep(members.join(pivots, "band").join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h")), "rooted")
     near = around(rooted, first)
     second = verified(near.where("root != main").select(F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b")).distinct(), lines).where(alike).select("a", "b")
     close = near.join(second, (F.least("h", "pivot") == F.col("a")) & (F.greatest("h", "pivot") == F.col("b")), "left")
@@ -454,7 +509,7 @@ def links(blocks: DataFrame, text: str) -> DataFrame:
     close = keep(close, "close")
     open_groups = close.join(close.where("apart").select("pivot").distinct(), "pivot", "left_semi").select(*close.columns)
     rest = meetings(differing_rows(differences(open_groups, crowd)))
-    return first.unionByName(second).unionByName(verified(rest, lines).where(alike).select("a", "b"))
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second).unionByName(verified(rest, lines).where(alike).select("a", "b"))
 
 
 # --- decisions -----------------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ import random
 import pytest
 from llm_fixtures import babble, components_of, edge_documents, no_documents
 
-from retainframe.llm import common, lines
+from retainframe.llm import common, components, lines
 
 
 def plain(rows):
@@ -190,3 +190,30 @@ def test_only_what_the_result_reads_is_kept(spark, monkeypatch):
     assert len(written) - len(removed) == 2 and len(removed) > 10
     assert sorted(r["n_removed"] for r in out.collect()) == [0, 1]
     assert not common._OPEN
+
+
+def test_only_differences_at_which_lines_can_meet_are_given(spark):
+    rng = random.Random(13)
+    base = babble(rng, 40)
+    one, other = varied(rng, base), babble(rng, 40)
+    known = [base, *{varied(rng, one) for _ in range(60)}, *{varied(rng, other) for _ in range(6)}]
+    near = [lines.jaccard(base, x) >= lines.THRESHOLD for x in known]
+    assert 30 < sum(near) <= 61
+    table = spark.createDataFrame(list(enumerate(known)), "h long, line string")
+    rows = [(i, 0, 0 if near[i] else i, not near[i]) for i in range(1, len(known))]
+    given = lines.differing_rows(lines.differences(spark.createDataFrame(rows, "h long, pivot long, root long, apart boolean"), table)).collect()
+    of = {}
+    for r in given:
+        of.setdefault(r["difference"], []).append((r["apart"], r["first"]))
+    # the variants of one edit share their differences with each other only, and need not meet
+    for sides in of.values():
+        assert any(apart for apart, _ in sides) and ((False, True) in sides or sides.count((True, True)) > 1)
+    assert given
+
+
+def test_components_that_are_stars_take_no_step(spark, monkeypatch):
+    made, real = [], components.keep
+    monkeypatch.setattr(components, "keep", lambda df, name: made.append(name) or real(df, name))
+    found = components.components(spark.createDataFrame([(1, k) for k in range(2, 40)] + [(50, 51)], "a long, b long"))
+    assert {(r["node"], r["root"]) for r in found.collect()} == {(k, 1) for k in range(1, 40)} | {(50, 50), (51, 50)}
+    assert made == ["edges"]
