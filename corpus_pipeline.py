@@ -42,13 +42,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
-    row = free_name(docs, "row")
+    """Documents that hold no window of a benchmark item.
+
+    That depends on the text alone, so the contaminated ones are named by a digest of it and the documents need not be written again.
+    """
+    digest = free_name(docs, "digest")
+    named = docs.withColumn(digest, F.unhex(F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 32)))
     with Scratch(spark) as scratch:
-        numbered = scratch.hold(keep(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"))
-        found = positional.decontaminate(numbered, table(spark, sf_dir, "benchmark"), key=row).where("contaminated").select(row)
+        found = positional.decontaminate(named, table(spark, sf_dir, "benchmark"), key=digest).where("contaminated").select(digest).distinct()
         found = scratch.hold(keep(found, "contaminated"))
-    return numbered.join(found, row, "left_anti").drop(row)
+    return named.join(found, digest, "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,3 +83,14 @@ def test_run_is_registered():
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     names = set(entry.queries())
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_decontamination_does_not_write_the_documents_again(spark, tmp_path, monkeypatch):
+    item = " ".join(f"word{i}" for i in range(12))
+    rows = [(1, f"so {item} end"), (1, f"so {item} end"), (None, f"so {item} end"), (1, "clean"), (None, "clean"), (2, None), (3, "")]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    made = []
+    monkeypatch.setattr(corpus_pipeline, "keep", lambda df, name: made.append(df.columns) or keep(df, name))
+    left = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
+    assert left.columns == ["doc_id", "text"] and sorted(map(repr, map(tuple, left.collect()))) == sorted(map(repr, rows[3:]))
+    assert made and all("text" not in columns for columns in made)
