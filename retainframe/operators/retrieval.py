@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bind
 from ..functions.vectors import as_doubles, cosine, unit
+from ..session import Scratch
 from .text_index import TextIndex, build_index, idf, search, terms_of
 
 # Places of a dense text vector; texts with more terms bring an embedding of their own.
@@ -45,7 +46,7 @@ def retrieve_by_text(
     of the query are not listed.
     """
     asked = chunks.sparkSession.createDataFrame([(0, query)], "query_id int, text string")
-    found = search(index or build_index(chunks, tie, text), asked, k, threshold)
+    found = _found(chunks, asked, k, threshold, text, tie, index)
     best = found.select(F.col("row").alias(tie), "score")
     return chunks.join(F.broadcast(best), tie).select(*chunks.columns, "score")  # at most k rows
 
@@ -55,8 +56,13 @@ def retrieve_many(
     index: TextIndex | None = None,
 ) -> DataFrame:
     """(query_id, ``tie``, score) for every row of ``queries`` (query_id, text), each as in :func:`retrieve_by_text`."""
-    found = search(index or build_index(chunks, tie, text), queries, k, threshold)
-    return found.withColumnRenamed("row", tie)
+    return _found(chunks, queries, k, threshold, text, tie, index).withColumnRenamed("row", tie)
+
+
+def _found(chunks: DataFrame, queries: DataFrame, k: int, threshold: float, text: str, tie: str, index: TextIndex | None) -> DataFrame:
+    # an index built here serves this search alone, and goes with it
+    with Scratch(chunks.sparkSession) as scratch:
+        return scratch.hold(search(index or build_index(chunks, tie, text), queries, k, threshold))
 
 
 def fit_vocabulary(rows: DataFrame, text: str, most: int = MOST_TERMS) -> list[tuple[str, float]]:

@@ -11,7 +11,7 @@ from ..operators.campaign import insight_text
 from ..operators.corpus import chunk, document_text, drop_copies, page_bodies, page_text, top_insights
 from ..operators.retrieval import retrieve_many
 from ..plans.corpus import clean_corpus, corpus_chunks, insights, retrieve
-from ..session import materialize
+from ..session import Scratch, materialize
 from . import inputs
 from .inputs import rounded, table, tidy
 
@@ -97,7 +97,8 @@ def corpus_retrieve(spark, sf_dir):
 
 def corpus_retrieve_many(spark, sf_dir):
     """For every benchmark passage the chunks that resemble it."""
-    chunks = materialize(corpus_chunks(clean_corpus(pages(spark, sf_dir), inputs.lines(spark, sf_dir))), "chunks")
+    with Scratch(spark) as scratch:
+        chunks = scratch.hold(materialize(corpus_chunks(clean_corpus(pages(spark, sf_dir), inputs.lines(spark, sf_dir))), "chunks"))
     passages = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return tidy(retrieve_many(chunks, passages, 10, RETRIEVAL_THRESHOLD))
 

@@ -50,15 +50,59 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Spark removes a query's shuffle files at its end where this is set, not when the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where a result feeds several jobs: the written table survives lost executors and cuts the
-    lineage, so later jobs do not recompute the shuffles behind it.
+    lineage, so later jobs do not recompute the shuffles behind it. Those are removed once it is written.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    if _OPEN:
+        _OPEN[-1].paths.add(path)
+    return out
+
+
+class Scratch:
+    """A ``with`` block at whose end the tables that ``materialize`` wrote inside are removed, but for those given to ``hold``.
+
+    Only what a later plan reads needs holding; held tables pass to the block around, if there is one.
     """
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, set()
+
+    def __enter__(self) -> Scratch:
+        _OPEN.append(self)
+        return self
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        self.paths.discard(df.written_path)
+        outer = _OPEN[: _OPEN.index(self)]
+        if outer:
+            outer[-1].paths.add(df.written_path)
+        return df
+
+    def __exit__(self, *error) -> None:
+        _OPEN.remove(self)
+        context = self.spark.sparkContext
+        for path in sorted(self.paths):
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
+_OPEN: list[Scratch] = []
 
 
 def ship(spark: SparkSession) -> None:

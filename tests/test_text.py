@@ -1,6 +1,8 @@
 """Markup, lines, chunks, insights and retrieval on small texts."""
 
+import itertools
 import math
+import pathlib
 import random
 import re
 from collections import Counter
@@ -261,6 +263,66 @@ def test_text_index_edge_cases(spark):
     assert search(index, queries.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shared, asked_at_once", [(0, 1 << 17), (5, 40), (1 << 17, 1)])
+def test_many_blocks_match_brute_force(spark, monkeypatch, shared, asked_at_once):
+    """Rows in many blocks, queries in several parts, and terms that are not sent to every task."""
+    from retainframe.operators import text_index
+
+    for name, value in (("BLOCK_ROWS", 9), ("SHARED_TERMS", shared), ("ASKED_AT_ONCE", asked_at_once), ("LISTED_TERMS", 10)):
+        monkeypatch.setattr(text_index, name, value)
+    texts, asked = some_corpus(3, 90), some_corpus(4, 12) + ["", "all", "w1 w59 all never"]
+    rows = spark.createDataFrame([(1000 - i, t) for i, t in enumerate(texts)], "chunk_id long, text string").repartition(4)
+    index = build_index(rows)
+    assert index.n_blocks == 10 and index.postings.count() == index.postings.select("block", "term").distinct().count()
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, text string")
+    for threshold, light in ((0.0, 10_000), (0.2, 3)):
+        got = {(r["query_id"], r["row"]): r["score"] for r in search(index, queries, 6, threshold, light_rows=light).collect()}
+        for q, query in enumerate(asked):
+            scores = tfidf(texts, query)
+            order = sorted((i for i in range(len(texts)) if scores[i] > 0), key=lambda i: (-scores[i], 1000 - i))[:6]
+            expected = {1000 - i: scores[i] for i in order if scores[i] >= threshold}
+            assert {row: s for (i, row), s in got.items() if i == q} == pytest.approx(expected, abs=2e-9), query
+
+
+def test_text_index_with_repeated_and_null_keys(spark):
+    """Rows under one key are one row, whose length is that of all of them; null is a key."""
+    rows = spark.createDataFrame([("a", "red apple"), ("a", "red pear"), ("b", "red apple"), (None, "green apple"), ("c", "blue")], "chunk_id string, text string").repartition(3)
+    index = build_index(rows)
+    queries = spark.createDataFrame([(1, "red apple"), (None, "blue")], "query_id int, text string")
+    w = {t: math.log(6 / (n + 1)) for t, n in (("red", 3), ("apple", 3), ("pear", 1), ("green", 1))}
+    both = math.sqrt(2 * w["red"] ** 2 + w["apple"] ** 2 + w["pear"] ** 2)
+    expected = {
+        "a": (2 * w["red"] + w["apple"]) / both / math.sqrt(2), "b": 1.0, None: w["apple"] / math.hypot(w["green"], w["apple"]) / math.sqrt(2),
+    }
+    assert {r["row"]: r["score"] for r in search(index, queries, 5, 0.0).collect()} == pytest.approx(expected, abs=2e-9)
+
+
+def _shared(monkeypatch, folder):
+    from retainframe import session
+
+    numbers = itertools.count()
+    monkeypatch.setattr(session, "shared_dir", lambda spark, name: f"{folder}/{name}-{next(numbers)}")
+
+
+def _tables(folder):
+    sizes = {}
+    for path in folder.rglob("*.parquet"):
+        name = path.relative_to(folder).parts[0].rsplit("-", 1)[0]
+        sizes[name] = sizes.get(name, 0) + path.stat().st_size
+    return sizes
+
+
+def test_text_index_takes_less_room_than_the_text(spark, monkeypatch, tmp_path):
+    rng = random.Random(7)
+    common = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(3000)]
+    texts = [" ".join(rng.choice(common[: rng.choice([30, 300, 3000])]) for _ in range(120)) for _ in range(2000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string").repartition(4)
+    rows.write.parquet(str(tmp_path / "text"))
+    _shared(monkeypatch, tmp_path / "index")
+    build_index(spark.read.parquet(str(tmp_path / "text")))
+    assert 0 < sum(_tables(tmp_path / "index").values()) < sum(p.stat().st_size for p in (tmp_path / "text").rglob("*.parquet"))
+
+
 def test_vocabulary_vectors(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, text string")
     vocabulary = fit_vocabulary(frame, "text")
