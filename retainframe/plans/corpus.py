@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.corpus import chunk, document_text, page_bodies, page_text, top_insights
 from ..operators.counts import StageCounts, counted
 from ..operators.retrieval import retrieve_by_text
-from ..session import materialize
+from ..session import Scratch, materialize
 
 
 def clean_corpus(pages: DataFrame, lines: DataFrame, min_words: int = 10, min_length: int = 10) -> DataFrame:
@@ -43,8 +43,9 @@ def retrieve(
     The chunk table is rebuilt in the shared folder and indexed by term; see ``operators/text_index.py``.
     ``counts`` counts the rows of the stages corpus and chunks while that table is written.
     """
-    corpus = counted(clean_corpus(pages, lines), counts, "corpus")
-    chunks = materialize(counted(corpus_chunks(corpus, method), counts, "chunks"), "chunks")
+    with Scratch(pages.sparkSession) as scratch:
+        corpus = counted(clean_corpus(pages, lines), counts, "corpus")
+        chunks = scratch.hold(materialize(counted(corpus_chunks(corpus, method), counts, "chunks"), "chunks"))
     return retrieve_by_text(chunks, query, k, threshold)
 
 

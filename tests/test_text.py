@@ -312,6 +312,27 @@ def _tables(folder):
     return sizes
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from retainframe.session import materialize
+
+    places = [pathlib.Path(str(d)) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {f.name for d in places for f in d.rglob("shuffle_*.data")}
+    before = shuffled()
+    kept = materialize(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("x")).count(), "counts")
+    assert sorted(tuple(r) for r in kept.collect())[0] == (0, 143)
+    assert shuffled() <= before
+
+
+def test_retrieval_leaves_only_what_is_read(spark, monkeypatch, tmp_path):
+    """The corpus goes once it is cut, the index once it is searched."""
+    _shared(monkeypatch, tmp_path)
+    pages = spark.range(200).select(F.col("id").alias("doc_key"), F.lit("t").alias("title"), F.concat(F.lit("<p>one two three four five six seven eight nine w"), F.col("id").cast("string"), F.lit("</p>")).alias("html"))
+    lines = spark.range(400).select((F.col("id") % 50).alias("doc"), F.lit(0).alias("page_no"), F.col("id").alias("line_no"), F.concat(F.lit("a line of text "), F.col("id").cast("string")).alias("line"))
+    found = retrieve(pages, lines, "w7 33", threshold=0.1)
+    assert set(_tables(tmp_path)) == {"chunks", "found"}
+    assert {r["chunk_id"] for r in found.collect()} == {"web#7#0", "local#33#0"}
+
+
 def test_text_index_takes_less_room_than_the_text(spark, monkeypatch, tmp_path):
     rng = random.Random(7)
     common = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(3000)]
